@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from stoptide.llm.licenses import op5_licenses
 from stoptide.llm.quality import op9_quality
 
 QUERIES = {
+    "op5_licenses": (op5_licenses, None),
     "op9_quality": (op9_quality, None),
 }
