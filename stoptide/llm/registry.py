@@ -5,8 +5,10 @@ from __future__ import annotations
 from stoptide.llm.licenses import op5_licenses
 from stoptide.llm.quality import op9_quality
 from stoptide.llm.secrets import op6_secrets
+from stoptide.llm.urls import op4_urls
 
 QUERIES = {
+    "op4_urls": (op4_urls, None),
     "op5_licenses": (op5_licenses, None),
     "op6_secrets": (op6_secrets, None),
     "op9_quality": (op9_quality, None),
