@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from stoptide.llm.licenses import op5_licenses
+from stoptide.llm.ngram_join import op2_ngram_join
 from stoptide.llm.quality import op9_quality
 from stoptide.llm.secrets import op6_secrets
 from stoptide.llm.urls import op4_urls
 
 QUERIES = {
+    "op2_ngram_join": (op2_ngram_join, None),
     "op4_urls": (op4_urls, None),
     "op5_licenses": (op5_licenses, None),
     "op6_secrets": (op6_secrets, None),
