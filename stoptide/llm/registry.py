@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stoptide.llm.decontaminate import op8_decontaminate
 from stoptide.llm.licenses import op5_licenses
 from stoptide.llm.ngram_join import op2_ngram_join
 from stoptide.llm.quality import op9_quality
@@ -13,5 +14,6 @@ QUERIES = {
     "op4_urls": (op4_urls, None),
     "op5_licenses": (op5_licenses, None),
     "op6_secrets": (op6_secrets, None),
+    "op8_decontaminate": (op8_decontaminate, None),
     "op9_quality": (op9_quality, None),
 }
