@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stoptide.llm.decontaminate import op8_decontaminate
+from stoptide.llm.langid import op3_langid
 from stoptide.llm.licenses import op5_licenses
 from stoptide.llm.ngram_join import op2_ngram_join
 from stoptide.llm.quality import op9_quality
@@ -11,6 +12,7 @@ from stoptide.llm.urls import op4_urls
 
 QUERIES = {
     "op2_ngram_join": (op2_ngram_join, None),
+    "op3_langid": (op3_langid, None),
     "op4_urls": (op4_urls, None),
     "op5_licenses": (op5_licenses, None),
     "op6_secrets": (op6_secrets, None),
