@@ -7,6 +7,7 @@ from stoptide.llm.langid import op3_langid
 from stoptide.llm.licenses import op5_licenses
 from stoptide.llm.ngram_join import op2_ngram_join
 from stoptide.llm.quality import op9_quality
+from stoptide.llm.sampling import op10_sampling
 from stoptide.llm.secrets import op6_secrets
 from stoptide.llm.urls import op4_urls
 
@@ -18,4 +19,5 @@ QUERIES = {
     "op6_secrets": (op6_secrets, None),
     "op8_decontaminate": (op8_decontaminate, None),
     "op9_quality": (op9_quality, None),
+    "op10_sampling": (op10_sampling, None),
 }
