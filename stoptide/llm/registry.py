@@ -5,6 +5,7 @@ from __future__ import annotations
 from stoptide.llm.decontaminate import op8_decontaminate
 from stoptide.llm.langid import op3_langid
 from stoptide.llm.licenses import op5_licenses
+from stoptide.llm.lm_score import op7_lm_score
 from stoptide.llm.ngram_join import op2_ngram_join
 from stoptide.llm.quality import op9_quality
 from stoptide.llm.sampling import op10_sampling
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_urls": (op4_urls, None),
     "op5_licenses": (op5_licenses, None),
     "op6_secrets": (op6_secrets, None),
+    "op7_lm_score": (op7_lm_score, None),
     "op8_decontaminate": (op8_decontaminate, None),
     "op9_quality": (op9_quality, None),
     "op10_sampling": (op10_sampling, None),
