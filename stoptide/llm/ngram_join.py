@@ -4,7 +4,8 @@ A document is the set of its n-word shingles. Two sets that overlap by the thres
 token among the first ``size - ceil(t * size) + 1`` of each, whatever order all tokens are put in.
 
 1. Equal sets are one class, named by a 128-bit fingerprint; copies are never expanded into pairs.
-2. Under the first order (by hash) a semi-join keeps the classes that share any prefix token.
+2. Under the first order (by hash) a semi-join keeps the classes that share enough tokens of a
+   lengthened prefix: one of k tokens more must hold k tokens of the overlap.
 3. Of those, the frequency of each shingle gives the second order (rare first, by hash) and the
    third (rare first, by another hash). A pair is proposed by the second, if sizes and positions of
    the shared token still allow the threshold; it is verified only if prefixes also meet under the
@@ -65,8 +66,13 @@ def _fingerprint(x: np.ndarray) -> bytes:
     return np.array([a, b], dtype=">u8").tobytes()
 
 
-def _prefix_length(size: int, num: int, den: int) -> int:
-    return size - -(-num * size // den) + 1
+def _agree(size: int, num: int, den: int) -> int:
+    """Tokens that two linked sets are sure to share in their heads, for the smaller set's size."""
+    return 1 + (size - -(-num * size // den)) // 2
+
+
+def _head_length(size: int, num: int, den: int) -> int:
+    return size - -(-num * size // den) + _agree(size, num, den)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -76,20 +82,38 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def class_table(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Per row: doc_id, sid (the class, null without shingles), size, and its prefix by hash order."""
+    """Per row: doc_id, sid (the class, null without shingles), size, and, for the first row of a class
+    in its task, cid (a short form of sid) and the head of its tokens in hash order."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # 16 bytes a class of this task's rows
         for b in batches:
-            sids, sizes, heads = [], [], []
+            sids, sizes, cids, heads = [], [], [], []
             for s in shingle_sets(b.column(1), n):
-                sids.append(_fingerprint(s) if len(s) else None)
+                sid = _fingerprint(s) if len(s) else None
+                new = sid is not None and sid not in seen
+                if new:
+                    seen.add(sid)
+                sids.append(sid)
                 sizes.append(len(s))
-                heads.append(s[: _prefix_length(len(s), num, den)] if len(s) else s)
-            cols = [b.column(0), pa.array(sids, pa.binary()), pa.array(sizes, pa.int64()), _lists(heads)]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "sid", "size", "head"])
+                cids.append(int.from_bytes(sid[:8], "big", signed=True) if new else None)
+                heads.append(s[: _head_length(len(s), num, den)] if new else s[:0])
+            cols = [b.column(0), pa.array(sids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(cids, pa.int64()), _lists(heads)]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "sid", "size", "cid", "head"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, sid binary, size bigint, cid bigint, head array<bigint>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, sid binary, size bigint, head array<bigint>")
+def wanted_classes(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """The sids of classes of whose head tokens enough stand in other classes' heads too."""
+    heads = rows.filter("cid IS NOT NULL").select("cid", F.explode("head").alias("token"))
+    shared = heads.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).filter("lo < hi").select("token")
+    counts = heads.join(shared, "token", "left_semi").distinct().groupBy("cid").agg(F.count("*").alias("n"))
+    least = f"(({num} * size + {den - 1}) div {den})"  # the size of the smallest partner
+    need = f"1 + ({least} - (({num} * {least} + {den - 1}) div {den})) div 2"
+    named = rows.filter("cid IS NOT NULL").select("sid", "cid", "size").distinct()
+    return named.join(counts, "cid").filter(f"n >= {need}").select("sid").distinct()
 
 
 def _slot(sid: bytes) -> int:
@@ -205,10 +229,7 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     rows = stored(class_table(docs, n, num, den), "classes")
     classes = rows.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least_id"))
-    heads = rows.filter("sid IS NOT NULL").select("sid", F.xxhash64("sid").alias("key"), F.explode("head").alias("token"))
-    # copies of a class share all tokens: a token counts once a class
-    shared = heads.groupBy("token").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo < hi").select("token")
-    wanted = stored(heads.join(shared, "token", "left_semi").select("sid").distinct(), "wanted")
+    wanted = stored(wanted_classes(rows, num, den), "wanted")
     sets = stored(set_table(docs, wanted, n), "sets")
     roots = join_classes(sets, num, den)
     joined = sets.select("nid", "sid").join(roots, F.col("nid") == F.col("node")).select("sid", "root").join(classes, "sid")
