@@ -10,9 +10,11 @@ from stoptide.llm.ngram_join import op2_ngram_join
 from stoptide.llm.quality import op9_quality
 from stoptide.llm.sampling import op10_sampling
 from stoptide.llm.secrets import op6_secrets
+from stoptide.llm.token_files import op1_token_files
 from stoptide.llm.urls import op4_urls
 
 QUERIES = {
+    "op1_token_files": (op1_token_files, None),
     "op2_ngram_join": (op2_ngram_join, None),
     "op3_langid": (op3_langid, None),
     "op4_urls": (op4_urls, None),
