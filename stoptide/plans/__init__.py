@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import importlib
+
 from stoptide.catalog import CATALOG, Query
 
+MODULES = ("tabs", "feed", "study", "forensics")
+
 
 def load_catalog() -> dict[str, Query]:
     """Imports every query module once and returns the catalogue."""
+    for name in MODULES:
+        importlib.import_module(f"stoptide.plans.{name}")
     return CATALOG
