@@ -158,9 +158,12 @@ def _ordered_prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
     """(nid, size, head: [(pos, token)], third: [hash]) of classes that share a rare-first prefix token."""
     flat = sets.select("nid", F.explode("tokens").alias("token"))
     often = flat.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = flat.join(often, "token").groupBy("nid").agg(
-        F.sort_array(F.collect_list(F.struct("df", F.xxhash64("token").alias("h"), "token"))).alias("ts"),
-        F.sort_array(F.collect_list(F.struct("df", F.xxhash64("token", F.lit(7)).alias("h")))).alias("us"),
+    # (df, token) is all that travels; the hashes are worked out where the lists meet
+    shared = flat.join(often, "token").groupBy("nid").agg(F.collect_list(F.struct("df", "token")).alias("l"))
+    shared = shared.select(
+        "nid",
+        F.expr("sort_array(transform(l, x -> struct(x.df AS df, xxhash64(x.token) AS h, x.token AS token)))").alias("ts"),
+        F.expr("sort_array(transform(l, x -> struct(x.df AS df, xxhash64(x.token, 7) AS h)))").alias("us"),
     )
     # the tokens that stand alone come first in either order
     keep = f"size - ((({num} * size) + {den} - 1) div {den}) + 1 - alone"
