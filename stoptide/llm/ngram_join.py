@@ -68,7 +68,8 @@ def _fingerprint(x: np.ndarray) -> bytes:
 
 def _agree(size: int, num: int, den: int) -> int:
     """Tokens that two linked sets are sure to share in their heads, for the smaller set's size."""
-    return 1 + (size - -(-num * size // den)) // 2
+    least = -(-num * size // den)
+    return min(1 + size - least, least)
 
 
 def _head_length(size: int, num: int, den: int) -> int:
@@ -111,7 +112,8 @@ def wanted_classes(rows: DataFrame, num: int, den: int) -> DataFrame:
     shared = heads.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).filter("lo < hi").select("token")
     counts = heads.join(shared, "token", "left_semi").distinct().groupBy("cid").agg(F.count("*").alias("n"))
     least = f"(({num} * size + {den - 1}) div {den})"  # the size of the smallest partner
-    need = f"1 + ({least} - (({num} * {least} + {den - 1}) div {den})) div 2"
+    inner = f"(({num} * {least} + {den - 1}) div {den})"
+    need = f"least(1 + {least} - {inner}, {inner})"
     named = rows.filter("cid IS NOT NULL").select("sid", "cid", "size").distinct()
     return named.join(counts, "cid").filter(f"n >= {need}").select("sid").distinct()
 
