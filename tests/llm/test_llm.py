@@ -22,7 +22,7 @@ GAP = r"[^\x20\x09-\x0D]+"
 #: Null, empty, blank, repeated, very long, and odd texts; the id is null once and repeats once.
 HOSTILE = [
     (1, None, "x"), (2, "", "x"), (3, " \n\t ", "x"), (4, "one", "x"), (5, "the same words stand here twice over", "x"), (6, "the same words stand here twice over", "x"),
-    (6, "the same words stand here twice over", "x"), (None, "no id but words", "x"), (7, "a b c " * 20_000, "x"), (8, "é漢字 😀 \x00 ﷽", "x"), (9, "x" * 100_000, "x"),
+    (6, "the same words stand here twice over", "x"), (None, "no id but words", "x"), (7, "a b c " * 5_000, "x"), (8, "é漢字 😀 \x00 ﷽", "x"), (9, "x" * 20_000, "x"),
 ]
 
 
