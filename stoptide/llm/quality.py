@@ -153,12 +153,12 @@ def judged(feats: DataFrame, model: tuple[float, list[dict]]) -> DataFrame:
 def quality_filter(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that are kept, with the input's columns.
 
-    Features are worked out once for the votes and once with the rows: texts are never shuffled.
+    Rows and features are kept in a shared table: the optimizer would otherwise work out a text's
+    features again for every vote that looks at them.
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    plain, own = docs.toDF(*names), names[docs.columns.index(text)]
-    model = fit_rules(text_features(plain, own).select("_f"))
-    return judged(text_features(plain, own), model).filter("kept").select(*names).toDF(*docs.columns)
+    feats = stored(text_features(docs.toDF(*names), names[docs.columns.index(text)]), "quality")
+    return judged(feats, fit_rules(feats)).filter("kept").select(*names).toDF(*docs.columns)
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
