@@ -45,9 +45,18 @@ def plain_words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), _KEEP, " ")), " "), "")
 
 
-def _windows(words: str, length: int) -> str:
-    """SQL for the array of hashes of all windows of a length; null where there are none."""
-    return f"CASE WHEN size({words}) >= {length} THEN transform(sequence(1, size({words}) - {length - 1}), i -> xxhash64(slice({words}, i, {length}))) END"
+def _windows(hashes: str, length: int) -> str:
+    """SQL for the array of hashes of all windows of a length, from the words' hashes; null where there are none.
+
+    Words are reached by index: a slice in the lambda would copy the whole text for each window.
+    """
+    words = ", ".join(["x", *(f"get({hashes}, i + {k})" for k in range(1, length))])
+    return f"CASE WHEN size({hashes}) >= {length} THEN slice(transform({hashes}, (x, i) -> xxhash64({words})), 1, size({hashes}) - {length - 1}) END"
+
+
+def _window_hash(words: str) -> Column:
+    """The hash that ``_windows`` gives a window, from its words: arrays are hashed element by element."""
+    return F.xxhash64(F.transform(words, lambda x: F.xxhash64(x)))
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -57,7 +66,7 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     t = t.select("*", F.posexplode(F.expr("transform(sequence(1, size(_t) - len + 1), i -> slice(_t, i, len))")).alias("j", "_win"))
     plain = F.size(F.filter("_win", lambda x: ~x.isin(NAME, NUMBER, UNIT)))
     t = t.filter(plain >= F.lit(PLAIN) * F.col("len"))
-    return t.select(F.xxhash64("_win").alias("h"), "len", "j", "item_id", (F.size("_t") - F.col("len") + 1).alias("n_item"), _slots("_t", "_p", "j", "len").alias("b_slots"))
+    return t.select(_window_hash("_win").alias("h"), "len", "j", "item_id", (F.size("_t") - F.col("len") + 1).alias("n_item"), _slots("_t", "_p", "j", "len").alias("b_slots"))
 
 
 def _slots(words: str, plain: str, at: str, length: str) -> Column:
@@ -80,7 +89,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     small = sum(r["count"] for r in rows) <= BROADCAST_WINDOWS
     d = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
     # only ids and hashes are exploded; the words behind placeholders are fetched for the few that meet
-    hashed = d.select("doc_id", template_words(F.col("text")).alias("_t")).select("doc_id", F.array(*(F.expr(_windows("_t", n)) for n in lengths)).alias("_h"))
+    hashed = d.select("doc_id", F.transform(template_words(F.col("text")), lambda x: F.xxhash64(x)).alias("_w"))
+    hashed = hashed.select("doc_id", F.array(*(F.expr(_windows("_w", n)) for n in lengths)).alias("_h"))
     if len(lengths) == 1:
         flat = hashed.select("doc_id", F.posexplode(F.get("_h", F.lit(0))).alias("i", "h"))
     else:
@@ -91,7 +101,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     ids = again.select("doc_id").distinct()
     few = ids.count() <= BROADCAST_WINDOWS
     texts = d.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").withColumn("_t", template_words(F.col("text"))).withColumn("_p", plain_words(F.col("text")))
-    again = again.join(texts, "doc_id").filter(F.expr("xxhash64(slice(_t, i + 1, len)) = h"))
+    again = again.join(texts, "doc_id").filter(F.expr("xxhash64(transform(slice(_t, i + 1, len), x -> xxhash64(x))) = h"))
     cols = ("doc_id", "item_id", "j", "i", "n_item", "b_slots")
     met = plain.select(*cols, "d_slots").union(again.select(*cols, _slots("_t", "_p", "i", "len").alias("d_slots")))
     pairs = "zip_with(b_slots, d_slots, (b, d) -> struct(b.type AS type, b.value AS b, d.value AS d))"
