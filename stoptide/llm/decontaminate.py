@@ -63,7 +63,7 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(h, len, j, item_id, n_item, b_slots): every window that has enough plain words."""
     t = items.filter("item_id IS NOT NULL").select("item_id", template_words(F.col("text")).alias("_t"), plain_words(F.col("text")).alias("_p"))
     t = t.filter(F.size("_t") > 0).withColumn("len", F.least(F.size("_t"), F.lit(window)))
-    t = t.select("*", F.posexplode(F.expr("transform(sequence(1, size(_t) - len + 1), i -> slice(_t, i, len))")).alias("j", "_win"))
+    t = t.select("*", F.posexplode_outer(F.expr("transform(sequence(1, size(_t) - len + 1), i -> slice(_t, i, len))")).alias("j", "_win"))
     plain = F.size(F.filter("_win", lambda x: ~x.isin(NAME, NUMBER, UNIT)))
     t = t.filter(plain >= F.lit(PLAIN) * F.col("len"))
     return t.select(_window_hash("_win").alias("h"), "len", "j", "item_id", (F.size("_t") - F.col("len") + 1).alias("n_item"), _slots("_t", "_p", "j", "len").alias("b_slots"))
@@ -88,13 +88,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     lengths = sorted(r["len"] for r in rows) or [window]
     small = sum(r["count"] for r in rows) <= BROADCAST_WINDOWS
     d = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
+    # outer explodes: from the others the optimizer derives a filter that works out the text's template
+    # again for every word; their null hashes meet nothing
     # only ids and hashes are exploded; the words behind placeholders are fetched for the few that meet
     hashed = d.select("doc_id", F.transform(template_words(F.col("text")), lambda x: F.xxhash64(x)).alias("_w"))
     hashed = hashed.select("doc_id", F.array(*(F.expr(_windows("_w", n)) for n in lengths)).alias("_h"))
     if len(lengths) == 1:
-        flat = hashed.select("doc_id", F.posexplode(F.get("_h", F.lit(0))).alias("i", "h"))
+        flat = hashed.select("doc_id", F.posexplode_outer(F.get("_h", F.lit(0))).alias("i", "h"))
     else:
-        flat = hashed.select("doc_id", F.explode("_h").alias("_hs")).select("doc_id", F.posexplode("_hs").alias("i", "h"))
+        flat = hashed.select("doc_id", F.explode_outer("_h").alias("_hs")).select("doc_id", F.posexplode_outer("_hs").alias("i", "h"))
     met = stored(flat.join(F.broadcast(bench) if small else bench, "h"), "leaks")
     plain = met.filter("size(b_slots) = 0").withColumn("d_slots", F.col("b_slots"))
     again = met.filter("size(b_slots) > 0")
