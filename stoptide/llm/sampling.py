@@ -38,7 +38,7 @@ BLANK = "▁"
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _P = 0x100000001B3
-TEXT_BYTES = 3_000_000
+TEXT_BYTES = 1_000_000
 
 
 def default_vocabulary() -> str:
