@@ -12,8 +12,8 @@ token among the first ``size - ceil(t * size) + 1`` of each, whatever order all
    first and the third.
 4. In a token's group, pairs are proposed with a few leaders first; what their verified links join
    needs no further comparison. A last round compares, in the groups that still hold several
-   components, each pair of different components that sizes and positions allow. No group is
-   collected, and no links between different texts are lost.
+   components, each pair of different components that sizes, positions and the counts of tokens by
+   part allow. No group is collected, and no links between different texts are lost.
 
 Defined results: null or empty text has no shingles and is linked with nothing; a text of fewer
 words than n is one shingle; repeated rows are copies of each other; a null doc_id is kept, never
@@ -37,6 +37,8 @@ from stoptide.llm.components import star_components
 LEADERS = (1, 16)
 #: Bits of the filter that spares the second reading's rows; rows beyond its use only cost time.
 FILTER_BITS = 1 << 23
+#: Parts into which a set's tokens are counted; the counts bound from above what two sets share.
+PARTS = 64
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -139,7 +141,7 @@ def set_table(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near, seen = np.unpackbits(sent.value).astype(bool), set()
         for b in batches:
-            sids, sets = [], []
+            sids, sets, spreads = [], [], []
             for s in shingle_sets(b.column(0), n):
                 if not len(s):
                     continue
@@ -148,12 +150,13 @@ def set_table(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     seen.add(sid)  # 16 bytes a class of this task's rows
                     sids.append(sid)
                     sets.append(s)
+                    spreads.append(np.bincount(s & (PARTS - 1), minlength=PARTS))
             if sids:
-                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), _lists(sets)], names=["sid", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), _lists(sets), _lists(spreads)], names=["sid", "tokens", "spread"])
 
-    found = docs.select("text").mapInArrow(run, "sid binary, tokens array<bigint>")
-    once = found.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("tokens").alias("tokens"))
-    return once.select(F.monotonically_increasing_id().alias("nid"), "sid", F.size("tokens").cast("long").alias("size"), "tokens")
+    found = docs.select("text").mapInArrow(run, "sid binary, tokens array<bigint>, spread array<bigint>")
+    once = found.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first(F.struct("tokens", "spread")).alias("s"))
+    return once.select(F.monotonically_increasing_id().alias("nid"), "sid", F.size("s.tokens").cast("long").alias("size"), "s.tokens", "s.spread")
 
 
 def _ordered_prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -210,15 +213,21 @@ def join_classes(sets: DataFrame, num: int, den: int) -> DataFrame | None:
             own = own.withColumn("comp", F.col("nid"))
         mixed = own.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
         own = own.join(mixed, "token")
+        extra = []
+        if not leaders:
+            own, extra = own.join(sets.select("nid", "spread"), "nid"), ["spread"]
         if leaders:
             lead = own.groupBy("token", F.pmod(F.xxhash64("nid"), F.lit(leaders)).alias("k")).agg(F.min(F.struct("nid", "pos", "size", "comp")).alias("l"))
             lead = lead.select("token", "l.*")
         else:
             lead = own
-        lead = lead.select(F.col("token").alias("l_token"), *(F.col(x).alias(f"l_{x}") for x in ("nid", "pos", "size", "comp")))
+        lead = lead.select(F.col("token").alias("l_token"), *(F.col(x).alias(f"l_{x}") for x in ("nid", "pos", "size", "comp", *extra)))
         reach = f"least(size - pos, l_size - l_pos) * {num + den} >= {num} * (size + l_size)"
         order = "nid != l_nid" if leaders else "nid > l_nid"
         close = f"least(size, l_size) * {den} >= {num} * greatest(size, l_size)"
+        if extra:  # a part's counts differ by no more than the tokens that only one of the sets holds
+            apart = "aggregate(zip_with(spread, l_spread, (x, y) -> abs(x - y)), 0L, (s, v) -> s + v)"
+            reach += f" AND (size + l_size - {apart}) * {num + den} >= {2 * num} * (size + l_size)"
         met = own.join(lead, F.expr(f"token = l_token AND {order} AND comp != l_comp AND {close} AND {reach}"))
         pairs = met.select(F.least("nid", "l_nid").alias("a"), F.greatest("nid", "l_nid").alias("b")).distinct()
         new = stored(_verified(stored(pairs, "pairs"), sides, num, den), "new")
