@@ -1,15 +1,18 @@
 """Language-model scoring by a weighted backoff automaton over words.
 
-States are the empty context, frequent words, and frequent word pairs; an arc reads a word with a
-discounted probability, and a failure arc drops the oldest word at the price of the left-over mass.
-One left-to-right traversal of a text carries the state (its longest suffix that is a state) and
-adds up log-probabilities, its end included.
+States are the empty context, words, and word pairs; an arc reads a word with a discounted
+probability, and a failure arc drops the oldest word at the price of the left-over mass. Arcs are all
+training words and all pairs and triples that occur ``LEAST_ARC`` times or more, whatever the size
+of the corpus; a triple's two pairs are then arcs too.
 
-Unigram arcs cover every training word. They are never sent whole: documents are packed into blocks
-of bounded size, each block asks for its distinct words' counts through a join, and the answers come
-back to the block. Higher arcs are those of a share of ``ARC_SHARE`` and more of all training tokens,
-so there are at most 1 / ARC_SHARE of each order, and these are what is broadcast. Counts are summed
-over all training documents, per task first, so a frequent word is one row per block.
+The logarithm of a text's probability is therefore a sum over its words, pairs and triples: a word
+weighs its unigram arc and its failure, a pair what its arc adds to those, and its own failure, a
+triple what its arc adds to these; what isn't an arc weighs nothing.
+
+No table of arcs is sent whole. Documents are packed into blocks of bounded size; each block asks
+for its distinct words through a join, and for its distinct pairs and triples by parts: ranges of
+their hashes, as many as the text asks for. A part counts what all blocks hold of it, and gives each
+block the weights of its own arcs.
 
 Defined results: null or empty text is its end alone; rows without an id are scored and neither
 train nor are held out; repeated rows count and are scored each; without training rows all
@@ -27,11 +30,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoptide.llm.common import crc_mod, hashed_words, read_table, stored
+from stoptide.llm.common import crc_mod, hashed_words, mix, read_table, stored
 
-#: Bytes of text in a block, the discount, and the least shares of words in contexts and of arcs.
-BLOCK_BYTES, DISCOUNT = 24_000_000, 0.5
-PAIR_SHARE, TRIPLE_SHARE, ARC_SHARE = 2.0**-14, 2.0**-12, 2.0**-20
+#: Bytes of text in a block, bytes of text to a part of the pairs or triples, the discount, and the
+#: least occurrences of a pair or triple that make an arc.
+BLOCK_BYTES, PART_BYTES, DISCOUNT, LEAST_ARC = 6_000_000, 16_000_000, 0.5, 2
+#: No share of all tokens is asked of a context or an arc.
+PAIR_SHARE, TRIPLE_SHARE, ARC_SHARE = 0.0, 0.0, 0.0
 #: The end of a text, as a word's hash.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 
@@ -54,12 +59,58 @@ def _unpacked(body: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4").astype(np.int64)
 
 
-BLOCK_SCHEMA = "block bigint, lid int, h bigint, n bigint, doc_id {id}, held boolean, body binary"
+def _packed_keys(*columns: np.ndarray) -> bytes:
+    """Equally long columns of 64 bits, the first one ascending and kept as differences."""
+    first = np.diff(columns[0], prepend=columns[0].dtype.type(0))
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T for x in (first, *columns[1:])]
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(np.concatenate(planes)).tobytes())
+
+
+def _unpacked_keys(body: bytes, n: int) -> list[np.ndarray]:
+    """The ``n`` columns, as unsigned integers."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), dtype=np.uint8).reshape(n, 8, -1)
+    out = [np.ascontiguousarray(x.T).reshape(-1).view(np.uint64) for x in planes]
+    return [np.cumsum(out[0], dtype=np.uint64), *out[1:]]
+
+
+_LEFT = np.uint64(0x9E3779B97F4A7C15)
+_UNMIX = [np.uint64(pow(x, -1, 1 << 64)) for x in (0xC4CEB9FE1A85EC53, 0xFF51AFD7ED558CCD)]
+
+
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash of two words on end, or of two pairs that share a word."""
+    return mix(left * _LEFT + right)
+
+
+def _right(key: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """What ``_joined`` was given on the right."""
+    x = key ^ (key >> np.uint64(33))
+    for inverse in _UNMIX:
+        x = x * inverse
+        x = x ^ (x >> np.uint64(33))
+    return x - left * _LEFT
 
 
-def blocks_of(docs: DataFrame) -> DataFrame:
+def _grams(flat: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of pairs, then of triples: their hashes, their contexts' hashes, and the place of the last token of each."""
+    left = np.ones(len(flat), dtype=bool)
+    left[first[:-1]] = False
+    at = np.flatnonzero(left)
+    pair = _joined(flat[at - 1], flat[at])
+    yield pair, flat[at - 1], at
+    left[first[:-1][np.diff(first) > 1] + 1] = False
+    inner = left[at]
+    spot = np.flatnonzero(inner)
+    yield _joined(pair[spot - 1], pair[spot]), pair[spot - 1], at[inner]
+
+
+BLOCK_SCHEMA = "block bigint, lid int, h bigint, n bigint, doc_id {id}, held boolean, body binary, part int"
+
+
+def blocks_of(docs: DataFrame, parts: int) -> DataFrame:
     """Rows (doc_id, text, train, held) as blocks: per document its tokens as the block's word numbers
-    (body), and per distinct word of the block its hash and training count (lid, h, n)."""
+    (body), per distinct word of the block its hash and training count (lid, h, n), and per part of the
+    block's distinct pairs (and, from ``parts`` on, triples) their hashes, contexts and training counts."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,6 +128,7 @@ def blocks_of(docs: DataFrame) -> DataFrame:
             flat = np.concatenate(tokens)
             words, back = np.unique(flat, return_inverse=True)
             lengths = np.array([len(x) for x in tokens])
+            tokens.clear()
             train = np.repeat(np.array([r[1] for r in rows], dtype=bool), lengths)
             counts = np.bincount(back[train], minlength=len(words))
             rank = np.empty(len(words), dtype=np.int64)
@@ -86,16 +138,29 @@ def blocks_of(docs: DataFrame) -> DataFrame:
             bodies = [_packed(ids[e - n : e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
             none = pa.nulls
             n, w = len(rows), len(words)
-            names = ["block", "lid", "h", "n", "doc_id", "held", "body"]
+            names = ["block", "lid", "h", "n", "doc_id", "held", "body", "part"]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(w, block)), pa.array(rank.astype(np.int32)), pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64)), none(w, id_kind), none(w, pa.bool_()), none(w, pa.binary())],
+                [pa.array(np.full(w, block)), pa.array(rank.astype(np.int32)), pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64)), none(w, id_kind), none(w, pa.bool_()), none(w, pa.binary()), none(w, pa.int32())],
                 names=names,
             )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block)), none(n, pa.int32()), none(n, pa.int64()), none(n, pa.int64()), pa.array([r[0] for r in rows], id_kind), pa.array([r[2] for r in rows], pa.bool_()), pa.array(bodies, pa.binary())],
+                [pa.array(np.full(n, block)), none(n, pa.int32()), none(n, pa.int64()), none(n, pa.int64()), pa.array([r[0] for r in rows], id_kind), pa.array([r[2] for r in rows], pa.bool_()), pa.array(bodies, pa.binary()), none(n, pa.int32())],
                 names=names,
             )
-            tokens.clear()
+            del words, back, ids
+            for size, (keys, left, at) in enumerate(_grams(flat, np.append([0], ends))):
+                own, where, back = np.unique(keys, return_index=True, return_inverse=True)
+                counts = np.bincount(back[train[at]], minlength=len(own))
+                left = left[where]
+                del keys, where, back, at
+                edge = np.searchsorted(((own >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+                asked = [k for k in range(parts) if edge[k] < edge[k + 1]]
+                bodies = [_packed_keys(*(x[edge[k] : edge[k + 1]] for x in (own, left, counts))) for k in asked]
+                k = len(asked)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(k, block)), none(k, pa.int32()), none(k, pa.int64()), none(k, pa.int64()), none(k, id_kind), none(k, pa.bool_()), pa.array(bodies, pa.binary()), pa.array(np.array(asked, dtype=np.int32) + np.int32(size * parts))],
+                    names=names,
+                )
             rows.clear()
 
         for b in batches:
@@ -114,164 +179,133 @@ def blocks_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "train", "held").mapInArrow(run, BLOCK_SCHEMA.format(id=id_type))
 
 
-def _gram_counts(docs: DataFrame, words: np.ndarray, few: np.ndarray) -> DataFrame:
-    """(n_words, key, n) of pairs of the frequent ``words`` and triples of those marked in ``few``."""
-    sent = docs.sparkSession.sparkContext.broadcast((words, few))
+GRAM_SCHEMA = "part int, block bigint, body binary, key bigint, left bigint, right bigint, n bigint"
+
+
+def gram_table(asked: DataFrame) -> DataFrame:
+    """From the blocks' parts, the pairs and triples that are arcs (key, left, right, n), and per block and
+    part the places of the block's arcs among the part's (block, body)."""
+
+    def run(part: pa.Table) -> pa.Table:
+        number, blocks = part["part"][0].as_py(), part["block"].to_pylist()
+        held = [_unpacked_keys(x, 3) for x in part["body"].to_pylist()]
+        keys = np.concatenate([x[0] for x in held])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        start = np.flatnonzero(np.append([True], keys[1:] != keys[:-1]))
+        n = np.add.reduceat(np.concatenate([x[2] for x in held])[order], start).astype(np.int64)
+        good = n >= LEAST_ARC
+        keys, n, left = keys[start][good], n[good], np.concatenate([x[1] for x in held])[order[start[good]]]
+        bodies = []
+        for own, _, _ in held:
+            at = np.searchsorted(keys, own) if len(keys) else np.zeros(0, np.int64)
+            bodies.append(_packed_keys(at[keys[np.minimum(at, len(keys) - 1)] == own]) if len(keys) else _packed_keys(at))
+        k, m = len(keys), len(blocks)
+        arcs = [x.view(np.int64) for x in (keys, left, _right(keys, left))] + [n]
+        return pa.table(
+            {
+                "part": pa.array(np.full(k + m, number, dtype=np.int32)),
+                "block": pa.chunked_array([pa.nulls(k, pa.int64()), pa.array(blocks, pa.int64())]),
+                "body": pa.chunked_array([pa.nulls(k, pa.binary()), pa.array(bodies, pa.binary())]),
+                **{x: pa.chunked_array([pa.array(y), pa.nulls(m, pa.int64())]) for x, y in zip(("key", "left", "right", "n"), arcs, strict=True)},
+            }
+        )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, marked = sent.value
-        total = {2: (np.zeros(0, np.int64), np.zeros(0, np.int64)), 3: (np.zeros(0, np.int64), np.zeros(0, np.int64))}
-        for b in batches:
-            for _, _, flat, first in _tokens(b.column(0)):
-                at = _numbers(known, flat)
-                for size, keys in _keys(at, first, marked).items():
-                    keys = keys[keys >= 0]
-                    own, counts = np.unique(keys, return_counts=True)
-                    old, had = total[size]
-                    merged, back = np.unique(np.append(old, own), return_inverse=True)
-                    total[size] = merged, np.bincount(back, weights=np.append(had, counts), minlength=len(merged)).astype(np.int64)
-        for size, (keys, counts) in total.items():
-            if len(keys):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), size, dtype=np.int32)), pa.array(keys), pa.array(counts)], names=["size", "key", "n"])
-
-    return docs.select("text").mapInArrow(run, "size int, key bigint, n bigint").groupBy("size", "key").agg(F.sum("n").alias("n"))
-
-
-def _numbers(known: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """Each token's place among the known words, -1 for others."""
-    if not len(known):
-        return np.full(len(flat), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-    return np.where(known[at] == flat, at, -1)
-
-
-def _keys(at: np.ndarray, first: np.ndarray, marked: np.ndarray) -> dict[int, np.ndarray]:
-    """For each token the key of the pair and the triple that it ends; -1 where a word is missing."""
-    start = np.zeros(len(at), dtype=np.int64)
-    start[first[:-1]] = 1
-    one = np.append([-1], at[:-1])[: len(at)]
-    one[start == 1] = -1
-    two = np.append([-1], one[:-1])[: len(at)]
-    two[start == 1] = -1
-    pair = np.where((at >= 0) & (one >= 0), one << 18 | at, -1)
-    fine = (at >= 0) & (one >= 0) & (two >= 0)
-    fine[fine] = marked[at[fine]] & marked[one[fine]] & marked[two[fine]]
-    return {2: pair, 3: np.where(fine, two << 36 | one << 18 | at, -1)}
-
-
-class Automaton:
-    """Arcs and failure weights of the contexts of one and two words; natural logarithms."""
-
-    def __init__(self, words: np.ndarray, marked: np.ndarray, counts: np.ndarray, total: int, distinct: int, pairs: tuple, triples: tuple):
-        self.words, self.marked, self.total = words, marked, total
-        self.unknown = np.log(DISCOUNT * distinct / total) if total else 0.0
-        one = self.single(counts)
-        self.pair, n = pairs
-        u, v = self.pair >> 18, self.pair & ((1 << 18) - 1)
-        self.pair_logp = np.log((n - DISCOUNT) / counts[u]) if len(u) else np.zeros(0)
-        self.fail = self._left(u, len(words), self.pair_logp, one[v])
-        self.triple, m = triples
-        uv, vw = self.triple >> 18, self.triple & ((1 << 36) - 1)
-        at = np.minimum(np.searchsorted(self.pair, uv), max(0, len(self.pair) - 1))
-        good = self.pair[at] == uv if len(self.pair) else np.zeros(len(uv), bool)
-        self.triple, m, uv, vw, at = self.triple[good], m[good], uv[good], vw[good], at[good]
-        self.triple_logp = np.log((m - DISCOUNT) / n[at]) if len(at) else np.zeros(0)
-        w, v2 = vw & ((1 << 18) - 1), vw >> 18
-        has, low = self._arc(vw)
-        lower = np.where(has, low, self.fail[v2] + one[w]) if len(vw) else np.zeros(0)
-        self.pair_fail = self._left(at, len(self.pair), self.triple_logp, lower)
-
-    def single(self, counts: np.ndarray) -> np.ndarray:
-        """Unigram log-probabilities by count; a word never seen shares the discounted mass."""
-        if not self.total:
-            return np.zeros(len(counts))
-        return np.where(counts > 0, np.log(np.maximum(counts - DISCOUNT, 0.5) / self.total), self.unknown)
-
-    @staticmethod
-    def _left(context: np.ndarray, n: int, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-        upper = 1 - np.bincount(context, weights=np.exp(high), minlength=n)
-        lower = 1 - np.bincount(context, weights=np.exp(low), minlength=n)
-        return np.log(np.maximum(upper, 1e-9)) - np.log(np.maximum(lower, 1e-9))
-
-    def _arc(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.pair):
-            return np.zeros(len(keys), bool), np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(self.pair, keys), len(self.pair) - 1)
-        return self.pair[at] == keys, self.pair_logp[at]
-
-    def traverse(self, at: np.ndarray, first: np.ndarray, single: np.ndarray) -> np.ndarray:
-        """Each token's log-probability from the state that the tokens before it lead to.
-
-        A state is fixed by the last two words, so all positions of all texts advance side by side:
-        the failure arcs of each are followed until an arc reads its token.
-        """
-        keys = _keys(at, first, self.marked)
-        one = np.append([-1], at[:-1])[: len(at)]
-        one[first[:-1]] = -1
-        has, arc = self._arc(keys[2])
-        has &= keys[2] >= 0
-        out = np.where(has, arc, single + np.where(one >= 0, self.fail[one] if len(self.fail) else 0.0, 0.0))
-        if len(self.triple):
-            before = np.append([-1], keys[2][:-1])[: len(at)]
-            before[first[:-1]] = -1
-            spot = np.minimum(np.searchsorted(self.pair, before), len(self.pair) - 1)
-            state = (before >= 0) & (self.pair[spot] == before)
-            spot3 = np.minimum(np.searchsorted(self.triple, keys[3]), len(self.triple) - 1)
-            read = state & (keys[3] >= 0) & (self.triple[spot3] == keys[3])
-            out = np.where(read, self.triple_logp[spot3], np.where(state, out + self.pair_fail[spot], out))
-        return out
-
-
-def fit_automaton(docs: DataFrame, counts: DataFrame) -> tuple[Automaton, int, int]:
-    """The automaton's bounded part, with all training tokens and distinct words; ``counts`` has (h, c)."""
-    row = counts.agg(F.sum("c"), F.count("*")).first()
-    total, distinct = int(row[0] or 0), int(row[1])
-    often = counts.filter(F.col("c") >= max(2.0, total * PAIR_SHARE)).collect()  # 1 / PAIR_SHARE rows at most
-    hashes = np.array([r["h"] for r in often], dtype=np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    words, known = hashes[order], np.array([r["c"] for r in often], dtype=np.int64)[order]
-    marked = known >= total * TRIPLE_SHARE
-    kept = _gram_counts(docs.filter("train"), words, marked).filter(F.col("n") >= max(2.0, total * ARC_SHARE)).toPandas()  # 2 / ARC_SHARE rows at most
-    grams = []
-    for size in (2, 3):
-        own = kept[kept["size"] == size].sort_values("key")
-        grams.append((own["key"].to_numpy(dtype=np.int64), own["n"].to_numpy(dtype=np.int64)))
-    return Automaton(words, marked, known, total, distinct, *grams), total, distinct
+    return asked.select("part", "block", "body").groupBy("part").applyInArrow(run, GRAM_SCHEMA)
+
+
+def arc_weights(grams: DataFrame, counts: DataFrame, parts: int, total: int) -> tuple[DataFrame, DataFrame]:
+    """(part, key, weight) of pairs and triples, and (h, fail) of words; natural logarithms.
+
+    The masses left over are whole numbers and multiples of the discount, so none is lost to rounding.
+    """
+
+    def fail(kept: DataFrame, above: str, lower: str, below: str) -> DataFrame:
+        some = kept.groupBy("left").agg(F.sum("n").alias("s"), F.sum(lower).alias("t"), F.count("*").alias("m"), F.first(above).alias("a"), F.first(F.expr(below)).alias("b"))
+        return some.select("left", F.expr(f"ln((a - s + {DISCOUNT}D * m) / a) - ln((b - t + {DISCOUNT}D * m) / b)").alias("fail"))
+
+    kept = grams.filter("key IS NOT NULL").select("part", "key", "left", "right", "n")
+    pairs = kept.filter(F.col("part") < parts).join(counts.select(F.col("h").alias("left"), F.col("c").alias("c_left")), "left")
+    pairs = stored(pairs.join(counts.select(F.col("h").alias("right"), F.col("c").alias("c_right")), "right").drop("right"), "pairs")
+    triples = kept.filter(F.col("part") >= parts).join(pairs.select(F.col("key").alias("left"), F.col("n").alias("n_left"), F.col("c_right").alias("c_mid")), "left")
+    triples = stored(triples.join(pairs.select(F.col("key").alias("right"), F.col("n").alias("n_right")), "right").drop("right"), "triples")
+    word_fail = stored(fail(pairs, "c_left", "c_right", f"{total}L"), "word_fail")
+    pair_fail = stored(fail(triples, "n_left", "n_right", "c_mid"), "pair_fail")
+    two = pairs.join(word_fail, "left").join(pair_fail.select(F.col("left").alias("key"), F.col("fail").alias("own")), "key", "left")
+    two = two.select("part", "key", F.expr(f"ln((n - {DISCOUNT}D) / c_left) - fail - ln((c_right - {DISCOUNT}D) / {total}L) + coalesce(own, 0D)").alias("weight"))
+    three = triples.join(pair_fail, "left").select("part", "key", F.expr(f"ln((n - {DISCOUNT}D) / n_left) - fail - ln((n_right - {DISCOUNT}D) / c_mid)").alias("weight"))
+    return two.union(three), word_fail.select(F.col("left").alias("h"), "fail")
+
+
+def gram_answers(grams: DataFrame, weights: DataFrame) -> DataFrame:
+    """(block, body): per part the hashes and weights of the block's arcs."""
+    asked = grams.filter("block IS NOT NULL").select("part", "block", "body", F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("double").alias("weight"))
+    told = weights.select("part", F.lit(None).cast("bigint").alias("block"), F.lit(None).cast("binary").alias("body"), "key", "weight")
+
+    def run(part: pa.Table) -> pa.Table:
+        arcs, blocks = part.filter(pc.is_valid(part["key"])), part.filter(pc.is_valid(part["block"]))
+        keys, weight = arcs["key"].to_numpy().view(np.uint64), arcs["weight"].to_numpy()
+        order = np.argsort(keys)
+        keys, weight = keys[order], weight[order].view(np.uint64)
+        bodies = []
+        for x in blocks["body"].to_pylist():
+            at = _unpacked_keys(x, 1)[0].astype(np.int64)
+            bodies.append(_packed_keys(keys[at], weight[at]))
+        return pa.table({"block": blocks["block"], "body": pa.array(bodies, pa.binary())})
+
+    return asked.union(told).groupBy("part").applyInArrow(run, "block bigint, body binary")
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
     """From (doc_id, text, train, held), per row: held_out, n_tokens, n_known, train_tokens, base_score, score."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    blocks = stored(blocks_of(docs), "lm")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = 1 + size // PART_BYTES
+    blocks = stored(blocks_of(docs, parts), "lm")
     asked = blocks.filter("lid IS NOT NULL").select("block", "lid", "h", "n")
-    counts = asked.groupBy("h").agg(F.sum("n").alias("c")).filter("c > 0")
-    model, total, distinct = fit_automaton(docs, counts)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    told = asked.drop("n").join(counts, "h", "left").select("block", "lid", "h", F.coalesce("c", F.lit(0)).alias("n"))
-    empty = blocks.filter("lid IS NULL")
-    rows = told.select("block", "lid", "h", "n", F.lit(None).cast(id_type).alias("doc_id"), F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("binary").alias("body")).union(empty.select(*blocks.columns))
+    counts = stored(asked.groupBy("h").agg(F.sum("n").alias("c")).filter("c > 0"), "counts")
+    row = counts.agg(F.sum("c"), F.count("*")).first()
+    total, distinct = int(row[0] or 0), int(row[1])
+    unknown = float(np.log(DISCOUNT * distinct / total)) if total else 0.0
+    grams = stored(gram_table(blocks.filter("part IS NOT NULL")), "grams")
+    weights, fails = arc_weights(grams, counts, parts, total)
+    known = counts.join(fails, "h", "left")
+    told = asked.drop("n").join(known, "h", "left").select("block", "lid", "h", F.coalesce("c", F.lit(0)).alias("n"), F.coalesce("fail", F.lit(0.0)).alias("fail"))
+    told = told.select("*", F.lit(None).cast(id_type).alias("doc_id"), F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("binary").alias("body"), F.lit(None).cast("binary").alias("arcs"))
+    none = {"lid": "int", "h": "bigint", "n": "bigint", "fail": "double", "doc_id": id_type, "held": "boolean", "body": "binary"}
+    arcs = gram_answers(grams, weights).select("block", *(F.lit(None).cast(t).alias(x) for x, t in none.items()), F.col("body").alias("arcs"))
+    bodies = blocks.filter("lid IS NULL AND part IS NULL").withColumn("fail", F.lit(None).cast("double")).withColumn("arcs", F.lit(None).cast("binary"))
+    rows = told.union(bodies.select(*told.columns)).union(arcs.select(*told.columns))
 
     def run(block: pa.Table) -> pa.Table:
-        m = sent.value
-        body = block.filter(pc.is_valid(block["body"]))
-        words = block.filter(pc.is_valid(block["lid"]))
+        body = block.filter(pc.is_valid(block["body"])).select(["doc_id", "held", "body"])
+        words = block.filter(pc.is_valid(block["lid"])).select(["lid", "h", "n", "fail"])
+        held = [_unpacked_keys(x, 2) for x in block["arcs"].drop_null().to_pylist()]
+        keys, weight = (np.concatenate([np.zeros(0, np.uint64), *(x[k] for x in held)]) for k in range(2))
+        del held, block
+        order = np.argsort(keys)
+        keys, weight = keys[order], weight.view(np.float64)[order]
         lid = words["lid"].to_numpy()
-        c, at = np.zeros(len(lid), np.int64), np.zeros(len(lid), np.int64)
-        c[lid] = words["n"].to_numpy()
-        at[lid] = _numbers(m.words, words["h"].to_numpy().view(np.uint64))
+        c, h, one = np.zeros(len(lid), np.int64), np.zeros(len(lid), np.uint64), np.zeros(len(lid))
+        c[lid], h[lid], one[lid] = words["n"].to_numpy(), words["h"].to_numpy().view(np.uint64), words["fail"].to_numpy()
         base = np.log10((c + 1.0) / (total + distinct + 1.0))
-        single = m.single(c)
+        if total:
+            one += np.where(c > 0, np.log(np.maximum(c - DISCOUNT, 0.5) / total), unknown)
         out: dict[str, list] = {x: [] for x in ("n_tokens", "n_known", "base", "score")}
         packs = body["body"].to_pylist()
         for lo in range(0, len(packs), 256):
             ids = [_unpacked(x) for x in packs[lo : lo + 256]]
             first = np.append([0], np.cumsum([len(x) for x in ids]))
             flat = np.concatenate(ids)
-            logp = m.traverse(at[flat], first, single[flat]) / np.log(10)
+            logp = one[flat]
+            if len(keys):
+                for own, _, at in _grams(h[flat], first):
+                    spot = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                    logp[at] += np.where(keys[spot] == own, weight[spot], 0.0)
             out["n_tokens"].append(np.diff(first))
             out["n_known"].append(np.add.reduceat((c[flat] > 0).astype(np.int64), first[:-1]))
             out["base"].append(np.add.reduceat(base[flat], first[:-1]))
-            out["score"].append(np.add.reduceat(logp, first[:-1]))
+            out["score"].append(np.add.reduceat(logp, first[:-1]) / np.log(10))
         merged = {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}
         n = len(packs)
         return pa.table(

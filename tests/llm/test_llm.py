@@ -313,6 +313,15 @@ def test_lm_hostile(hostile):
     assert lm_score.score_texts(df.limit(0)).count() == 0
 
 
+def test_lm_rare_words_have_arcs(spark):
+    rows = [(i, "so it goes " * 10_000) for i in range(8)] + [(i, "rare pair here") for i in range(8, 11)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("train", F.lit(True)).withColumn("held", F.lit(False))
+    got = {r["doc_id"]: r for r in lm_score.score_texts(df).collect()}
+    n = 8 * 30_001 + 3 * 4
+    assert got[9]["train_tokens"] == n
+    assert got[9]["score"] == pytest.approx(math.log10(2.5 / n) + 3 * math.log10(2.5 / 3), rel=1e-9)
+
+
 # ------------------------------------------------------------- 8 decontamination
 
 
