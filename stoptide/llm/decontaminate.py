@@ -4,7 +4,9 @@ Texts and benchmark items become templates: words in lower case without punctuat
 (capitalised words inside a sentence), numbers and units after numbers are typed placeholders.
 Windows of templates are hash-joined; where they meet, the words behind the placeholders are
 compared, and a match counts only if each value of the item stands for one value of the text and
-the other way round, so re-parameterised questions are found and look-alikes are not.
+the other way round, so re-parameterised questions are found and look-alikes are not. Windows of the
+words themselves, in lower case and with no placeholders, are joined too: what stands there word for
+word is a match whatever its capitals, its numbers, or what surrounds it.
 
 Defined results: null or empty text or items match nothing; an item shorter than the window is one
 window of its own length; items that are repeated are each matched; a document found twice under
@@ -20,8 +22,8 @@ from pyspark.sql import functions as F
 
 from stoptide.llm.common import read_table, stored
 
-#: Words in a template window, the least share of an item's windows that makes a leak, and the
-#: least share of plain words for a window to count.
+#: Words in a window, the least share of an item's windows that makes a leak, and the least share of
+#: plain words for a window with placeholders to count.
 WINDOW, SHARE, PLAIN = 8, 0.2, 0.5
 #: The benchmark's windows are sent to all tasks only up to this many (about 64 MB).
 BROADCAST_WINDOWS = 1_000_000
@@ -54,19 +56,23 @@ def _windows(hashes: str, length: int) -> str:
     return f"CASE WHEN size({hashes}) >= {length} THEN slice(transform({hashes}, (x, i) -> xxhash64({words})), 1, size({hashes}) - {length - 1}) END"
 
 
-def _window_hash(words: str) -> Column:
+def _window_hash(words: Column) -> Column:
     """The hash that ``_windows`` gives a window, from its words: arrays are hashed element by element."""
     return F.xxhash64(F.transform(words, lambda x: F.xxhash64(x)))
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(h, len, j, item_id, n_item, b_slots): every window that has enough plain words."""
+    """(h, exact, len, j, item_id, n_item, b_slots): every window word for word, and with placeholders
+    every one that has some and enough plain words."""
     t = items.filter("item_id IS NOT NULL").select("item_id", template_words(F.col("text")).alias("_t"), plain_words(F.col("text")).alias("_p"))
-    t = t.filter(F.size("_t") > 0).withColumn("len", F.least(F.size("_t"), F.lit(window)))
-    t = t.select("*", F.posexplode_outer(F.expr("transform(sequence(1, size(_t) - len + 1), i -> slice(_t, i, len))")).alias("j", "_win"))
-    plain = F.size(F.filter("_win", lambda x: ~x.isin(NAME, NUMBER, UNIT)))
-    t = t.filter(plain >= F.lit(PLAIN) * F.col("len"))
-    return t.select(_window_hash("_win").alias("h"), "len", "j", "item_id", (F.size("_t") - F.col("len") + 1).alias("n_item"), _slots("_t", "_p", "j", "len").alias("b_slots"))
+    t = t.filter(F.size("_p") > 0).withColumn("len", F.least(F.size("_p"), F.lit(window)))
+    t = t.select("*", F.explode(F.expr("sequence(0, size(_p) - len)")).alias("j"))
+    t = t.select("*", (F.size("_p") - F.col("len") + 1).alias("n_item"), _slots("_t", "_p", "j", "len").alias("b_slots"))
+    cols = ("len", "j", "item_id", "n_item")
+    word_for_word = t.select(_window_hash(F.expr("slice(_p, j + 1, len)")).alias("h"), F.lit(True).alias("exact"), *cols, F.filter("b_slots", lambda x: F.lit(False)).alias("b_slots"))
+    typed = t.filter(F.size("b_slots") > 0).filter(F.col("len") - F.size("b_slots") >= F.lit(PLAIN) * F.col("len"))
+    typed = typed.select(_window_hash(F.expr("slice(_t, j + 1, len)")).alias("h"), F.lit(False).alias("exact"), *cols, "b_slots")
+    return word_for_word.union(typed)
 
 
 def _slots(words: str, plain: str, at: str, length: str) -> Column:
@@ -80,7 +86,8 @@ def _slots(words: str, plain: str, at: str, length: str) -> Column:
 def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, n_windows, n_item, first_word, changed): items that documents contain.
 
-    ``n_windows`` of the item's ``n_item`` windows stand in the document with consistent values;
+    ``n_windows`` of the item's ``n_item`` windows stand in the document, word for word or with
+    consistent values;
     ``changed`` tells that some value differs, that is, that the question was re-parameterised.
     """
     bench = benchmark_windows(items, window)
@@ -91,23 +98,21 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     # outer explodes: from the others the optimizer derives a filter that works out the text's template
     # again for every word; their null hashes meet nothing
     # only ids and hashes are exploded; the words behind placeholders are fetched for the few that meet
-    hashed = d.select("doc_id", F.transform(template_words(F.col("text")), lambda x: F.xxhash64(x)).alias("_w"))
-    hashed = hashed.select("doc_id", F.array(*(F.expr(_windows("_w", n)) for n in lengths)).alias("_h"))
-    if len(lengths) == 1:
-        flat = hashed.select("doc_id", F.posexplode_outer(F.get("_h", F.lit(0))).alias("i", "h"))
-    else:
-        flat = hashed.select("doc_id", F.explode_outer("_h").alias("_hs")).select("doc_id", F.posexplode_outer("_hs").alias("i", "h"))
-    met = stored(flat.join(F.broadcast(bench) if small else bench, "h"), "leaks")
-    plain = met.filter("size(b_slots) = 0").withColumn("d_slots", F.col("b_slots"))
-    again = met.filter("size(b_slots) > 0")
+    hashed = d.select("doc_id", *(F.transform(w(F.col("text")), lambda x: F.xxhash64(x)).alias(x) for x, w in (("_t", template_words), ("_p", plain_words))))
+    sides = [F.struct(F.lit(exact).alias("exact"), F.expr(_windows(x, n)).alias("hs")) for n in lengths for exact, x in ((False, "_t"), (True, "_p"))]
+    flat = hashed.select("doc_id", F.explode_outer(F.array(*sides)).alias("_s"))
+    flat = flat.select("doc_id", F.col("_s.exact").alias("exact"), F.posexplode_outer("_s.hs").alias("i", "h"))
+    met = stored(flat.join(F.broadcast(bench) if small else bench, ["h", "exact"]), "leaks")
+    plain = met.filter("exact").withColumn("d_slots", F.col("b_slots"))
+    again = met.filter("NOT exact")
     ids = again.select("doc_id").distinct()
     few = ids.count() <= BROADCAST_WINDOWS
     texts = d.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").withColumn("_t", template_words(F.col("text"))).withColumn("_p", plain_words(F.col("text")))
     again = again.join(texts, "doc_id").filter(F.expr("xxhash64(transform(slice(_t, i + 1, len), x -> xxhash64(x))) = h"))
-    cols = ("doc_id", "item_id", "j", "i", "n_item", "b_slots")
+    cols = ("doc_id", "item_id", "exact", "j", "i", "n_item", "b_slots")
     met = plain.select(*cols, "d_slots").union(again.select(*cols, _slots("_t", "_p", "i", "len").alias("d_slots")))
     pairs = "zip_with(b_slots, d_slots, (b, d) -> struct(b.type AS type, b.value AS b, d.value AS d))"
-    line = met.groupBy("doc_id", "item_id", "n_item", (F.col("i") - F.col("j")).alias("shift")).agg(
+    line = met.groupBy("doc_id", "item_id", "n_item", "exact", (F.col("i") - F.col("j")).alias("shift")).agg(
         F.collect_set("j").alias("js"),
         F.min("i").alias("first_word"),
         F.array_distinct(F.flatten(F.collect_set(F.expr(pairs)))).alias("ps"),

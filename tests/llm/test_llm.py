@@ -348,6 +348,15 @@ def test_templates(spark, hostile):
     assert decontaminate.drop_leaks(hostile, items).columns == hostile.columns
 
 
+def test_verbatim_copies_leak(spark):
+    base = "If John has 12 apples and Mary has 5 apples how many apples does John have today"
+    sums, short = "Compute 12 + 7 - 3 * 4 + 18 - 6 * 2 + 9 exactly", "What is the capital of France"
+    items = spark.createDataFrame([(10, base), (11, sums), (12, short)], "item_id bigint, text string")
+    rows = [(1, base.lower()), (2, base.upper()), (3, sums), (4, "as we asked before, " + short), (5, short.replace("capital", "river"))]
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), items).collect()
+    assert {(r["doc_id"], r["item_id"], r["n_windows"], r["n_item"], r["changed"]) for r in got} == {(1, 10, 10, 10, False), (2, 10, 10, 10, False), (3, 11, 3, 3, False), (4, 12, 1, 1, False)}
+
+
 # ------------------------------------------------------------- 9 quality
 
 
