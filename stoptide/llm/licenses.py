@@ -11,6 +11,7 @@ rows are scanned each on its own; an empty table gives an empty result; other co
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -29,62 +30,62 @@ BASE_PHRASES = (
     ("cc by nc", "cc-by-nc"),
 )
 
-#: Label, keyword, the license's name as a pattern over lower-case words, SPDX id.
+#: Label, the license's name as a pattern over lower-case words, SPDX id.
 FAMILIES = (
-    ("mit", "mit", r"mit(?: x11)?|expat|massachusetts institute of technology", "mit"),
-    ("apache-2", "apache", r"apache(?: software)?(?: license)?(?: version)? 2(?: 0)?", "apache 2 0"),
-    ("apache-1.1", "apache", r"apache(?: software)?(?: license)?(?: version)? 1 1", "apache 1 1"),
-    ("gpl-3", "gnu", r"gnu (?:gpl|general public license)(?: as published by the free software foundation)?(?: either)?(?: version)? v?3(?: 0)?", "gpl 3 0"),
-    ("gpl-2", "gnu", r"gnu (?:gpl|general public license)(?: as published by the free software foundation)?(?: either)?(?: version)? v?2(?: 0)?", "gpl 2 0"),
-    ("gpl-1", "gnu", r"gnu (?:gpl|general public license)(?: version)? v?1(?: 0)?", "gpl 1 0"),
-    ("gpl", "gpl|gnu", r"gnu general public license|gnu gpl|gpl(?: ?v?[123])?", "gpl"),
-    ("lgpl-3", "gnu", r"gnu (?:lgpl|lesser general public license)(?: version)? v?3(?: 0)?", "lgpl 3 0"),
-    ("lgpl-2.1", "gnu", r"gnu (?:lgpl|lesser general public license)(?: version)? v?2 1", "lgpl 2 1"),
-    ("lgpl-2", "gnu", r"gnu (?:lgpl|library general public license)(?: version)? v?2(?: 0)?", "lgpl 2 0"),
-    ("agpl-3", "affero", r"(?:gnu )?affero general public license(?: version)? v?3(?: 0)?", "agpl 3 0"),
-    ("gfdl", "free documentation", r"gnu free documentation license(?: version)?(?: 1 [123])?", "gfdl 1 3"),
-    ("mpl-2", "mozilla", r"mozilla public license(?: version)? v?2(?: 0)?", "mpl 2 0"),
-    ("mpl-1.1", "mozilla", r"mozilla public license(?: version)? v?1 1", "mpl 1 1"),
-    ("bsd-2-clause", "bsd", r"bsd 2 clause|simplified bsd|freebsd", "bsd 2 clause"),
-    ("bsd-3-clause", "bsd", r"bsd 3 clause|new bsd|modified bsd|revised bsd", "bsd 3 clause"),
-    ("bsd-4-clause", "bsd", r"bsd 4 clause|original bsd", "bsd 4 clause"),
-    ("0bsd", "bsd", r"zero clause bsd|bsd zero clause", "0bsd"),
-    ("bsd", "bsd", r"bsd|berkeley software distribution", "bsd"),
-    ("isc", "isc", r"isc|internet systems consortium", "isc"),
-    ("epl-2", "eclipse", r"eclipse public license(?: version)? v?2(?: 0)?", "epl 2 0"),
-    ("epl-1", "eclipse", r"eclipse public license(?: version)? v?1(?: 0)?", "epl 1 0"),
-    ("cddl", "common development", r"common development and distribution license(?: version)?(?: 1 [01])?", "cddl 1 0"),
-    ("cpl", "common public", r"common public license(?: version)?(?: 1 0)?", "cpl 1 0"),
-    ("eupl", "european union", r"european union public licen[sc]e(?: version)?(?: 1 [012])?", "eupl 1 2"),
-    ("artistic-2", "artistic", r"artistic license(?: version)? 2(?: 0)?", "artistic 2 0"),
-    ("artistic-1", "artistic", r"artistic license(?: version)? 1(?: 0)?", "artistic 1 0"),
-    ("ofl", "font", r"(?:sil )?open font license(?: version)?(?: 1 [01])?", "ofl 1 1"),
-    ("bsl-1", "boost", r"boost software license(?: version)?(?: 1 0)?", "bsl 1 0"),
-    ("busl", "business source", r"business source license(?: version)?(?: 1 1)?", "busl 1 1"),
-    ("zlib", "zlib", r"zlib(?: libpng)?", "zlib"),
-    ("unlicense", "unlicense", r"(?:the )?unlicense", "unlicense"),
-    ("wtfpl", "what the fuck", r"do what the fuck you want to public license", "wtfpl"),
-    ("psf-2", "python", r"python software foundation license(?: version)?(?: 2)?", "psf 2 0"),
-    ("ruby", "ruby", r"ruby", "ruby"),
-    ("openssl", "openssl", r"openssl", "openssl"),
-    ("postgresql", "postgresql", r"postgresql", "postgresql"),
-    ("vim", "vim", r"vim", "vim"),
-    ("curl", "curl", r"curl", "curl"),
-    ("ncsa", "illinois", r"university of illinois(?: ncsa)?(?: open source)?", "ncsa"),
-    ("upl", "universal permissive", r"universal permissive license(?: version)?(?: 1 0)?", "upl 1 0"),
-    ("ms-pl", "microsoft", r"microsoft public license", "ms pl"),
-    ("ms-rl", "microsoft", r"microsoft reciprocal license", "ms rl"),
-    ("odbl", "open database", r"open database license(?: version)?(?: 1 0)?", "odbl 1 0"),
-    ("odc-by", "open data commons", r"open data commons attribution license(?: version)?(?: 1 0)?", "odc by 1 0"),
-    ("pddl", "public domain dedication", r"open data commons public domain dedication(?: and license)?", "pddl 1 0"),
-    ("cc0", "cc0|creative commons", r"cc0(?: 1 0)?|creative commons zero", "cc0 1 0"),
-    ("cc-by-nc-nd", "nd|noderiv", r"(?:cc|creative commons) (?:by nc nd|attribution noncommercial noderiv(?:ative)?s)(?: [1234] [05])?", "cc by nc nd 4 0"),
-    ("cc-by-nc-sa", "sa|sharealike", r"(?:cc|creative commons) (?:by nc sa|attribution noncommercial sharealike)(?: [1234] [05])?", "cc by nc sa 4 0"),
-    ("cc-by-nc", "nc|noncommercial", r"(?:cc|creative commons) (?:by nc|attribution non ?commercial)(?: [1234] [05])?", "cc by nc 4 0"),
-    ("cc-by-nd", "nd|noderiv", r"(?:cc|creative commons) (?:by nd|attribution noderiv(?:ative)?s)(?: [1234] [05])?", "cc by nd 4 0"),
-    ("cc-by-sa", "sa|sharealike", r"(?:cc|creative commons) (?:by sa|attribution sharealike)(?: [1234] [05])?", "cc by sa 4 0"),
-    ("cc-by", "cc|creative commons", r"(?:cc|creative commons) (?:by|attribution)(?: [1234] [05])?", "cc by 4 0"),
-    ("proprietary", "rights reserved", r"all rights reserved", "proprietary"),
+    ("mit", r"mit(?: x11)?|expat|massachusetts institute of technology", "mit"),
+    ("apache-2", r"apache(?: software)?(?: license)?(?: version)? 2(?: 0)?", "apache 2 0"),
+    ("apache-1.1", r"apache(?: software)?(?: license)?(?: version)? 1 1", "apache 1 1"),
+    ("gpl-3", r"gnu (?:gpl|general public license)(?: as published by the free software foundation)?(?: either)?(?: version)? v?3(?: 0)?", "gpl 3 0"),
+    ("gpl-2", r"gnu (?:gpl|general public license)(?: as published by the free software foundation)?(?: either)?(?: version)? v?2(?: 0)?", "gpl 2 0"),
+    ("gpl-1", r"gnu (?:gpl|general public license)(?: version)? v?1(?: 0)?", "gpl 1 0"),
+    ("gpl", r"gnu general public license|gnu gpl|gpl(?: ?v?[123])?", "gpl"),
+    ("lgpl-3", r"gnu (?:lgpl|lesser general public license)(?: version)? v?3(?: 0)?", "lgpl 3 0"),
+    ("lgpl-2.1", r"gnu (?:lgpl|lesser general public license)(?: version)? v?2 1", "lgpl 2 1"),
+    ("lgpl-2", r"gnu (?:lgpl|library general public license)(?: version)? v?2(?: 0)?", "lgpl 2 0"),
+    ("agpl-3", r"(?:gnu )?affero general public license(?: version)? v?3(?: 0)?", "agpl 3 0"),
+    ("gfdl", r"gnu free documentation license(?: version)?(?: 1 [123])?", "gfdl 1 3"),
+    ("mpl-2", r"mozilla public license(?: version)? v?2(?: 0)?", "mpl 2 0"),
+    ("mpl-1.1", r"mozilla public license(?: version)? v?1 1", "mpl 1 1"),
+    ("bsd-2-clause", r"bsd 2 clause|simplified bsd|freebsd", "bsd 2 clause"),
+    ("bsd-3-clause", r"bsd 3 clause|new bsd|modified bsd|revised bsd", "bsd 3 clause"),
+    ("bsd-4-clause", r"bsd 4 clause|original bsd", "bsd 4 clause"),
+    ("0bsd", r"zero clause bsd|bsd zero clause", "0bsd"),
+    ("bsd", r"bsd|berkeley software distribution", "bsd"),
+    ("isc", r"isc|internet systems consortium", "isc"),
+    ("epl-2", r"eclipse public license(?: version)? v?2(?: 0)?", "epl 2 0"),
+    ("epl-1", r"eclipse public license(?: version)? v?1(?: 0)?", "epl 1 0"),
+    ("cddl", r"common development and distribution license(?: version)?(?: 1 [01])?", "cddl 1 0"),
+    ("cpl", r"common public license(?: version)?(?: 1 0)?", "cpl 1 0"),
+    ("eupl", r"european union public licen[sc]e(?: version)?(?: 1 [012])?", "eupl 1 2"),
+    ("artistic-2", r"artistic license(?: version)? 2(?: 0)?", "artistic 2 0"),
+    ("artistic-1", r"artistic license(?: version)? 1(?: 0)?", "artistic 1 0"),
+    ("ofl", r"(?:sil )?open font license(?: version)?(?: 1 [01])?", "ofl 1 1"),
+    ("bsl-1", r"boost software license(?: version)?(?: 1 0)?", "bsl 1 0"),
+    ("busl", r"business source license(?: version)?(?: 1 1)?", "busl 1 1"),
+    ("zlib", r"zlib(?: libpng)?", "zlib"),
+    ("unlicense", r"(?:the )?unlicense", "unlicense"),
+    ("wtfpl", r"do what the fuck you want to public license", "wtfpl"),
+    ("psf-2", r"python software foundation license(?: version)?(?: 2)?", "psf 2 0"),
+    ("ruby", r"ruby", "ruby"),
+    ("openssl", r"openssl", "openssl"),
+    ("postgresql", r"postgresql", "postgresql"),
+    ("vim", r"vim", "vim"),
+    ("curl", r"curl", "curl"),
+    ("ncsa", r"university of illinois(?: ncsa)?(?: open source)?", "ncsa"),
+    ("upl", r"universal permissive license(?: version)?(?: 1 0)?", "upl 1 0"),
+    ("ms-pl", r"microsoft public license", "ms pl"),
+    ("ms-rl", r"microsoft reciprocal license", "ms rl"),
+    ("odbl", r"open database license(?: version)?(?: 1 0)?", "odbl 1 0"),
+    ("odc-by", r"open data commons attribution license(?: version)?(?: 1 0)?", "odc by 1 0"),
+    ("pddl", r"open data commons public domain dedication(?: and license)?", "pddl 1 0"),
+    ("cc0", r"cc0(?: 1 0)?|creative commons zero", "cc0 1 0"),
+    ("cc-by-nc-nd", r"(?:cc|creative commons) (?:by nc nd|attribution noncommercial noderiv(?:ative)?s)(?: [1234] [05])?", "cc by nc nd 4 0"),
+    ("cc-by-nc-sa", r"(?:cc|creative commons) (?:by nc sa|attribution noncommercial sharealike)(?: [1234] [05])?", "cc by nc sa 4 0"),
+    ("cc-by-nc", r"(?:cc|creative commons) (?:by nc|attribution non ?commercial)(?: [1234] [05])?", "cc by nc 4 0"),
+    ("cc-by-nd", r"(?:cc|creative commons) (?:by nd|attribution noderiv(?:ative)?s)(?: [1234] [05])?", "cc by nd 4 0"),
+    ("cc-by-sa", r"(?:cc|creative commons) (?:by sa|attribution sharealike)(?: [1234] [05])?", "cc by sa 4 0"),
+    ("cc-by", r"(?:cc|creative commons) (?:by|attribution)(?: [1234] [05])?", "cc by 4 0"),
+    ("proprietary", r"all rights reserved", "proprietary"),
 )
 
 #: The forms a detection takes, most trusted first: rank, words before, words after.
@@ -97,23 +98,53 @@ FORMS = (
 )
 #: Families whose bare name is a mention by itself: it can hardly mean anything else.
 BARE = ("apache-2", "gpl-3", "gpl-2", "lgpl-3", "lgpl-2.1", "agpl-3", "mpl-2", "mpl-1.1", "bsd-2-clause", "bsd-3-clause", "epl-2", "epl-1", "eupl", "cddl", "ofl", "odbl", "cc0", "cc-by", "cc-by-sa", "cc-by-nc", "cc-by-nd", "cc-by-nc-sa", "cc-by-nc-nd", "unlicense", "proprietary")
-#: A text without any of these, in either case, holds no rule's and no base phrase's words.
+#: A text holds no rule's and no base phrase's words without any of these, in either
+#: case, unless it names a license after one of the words of the forms below.
 GATE = ("licen", "spdx", "rights", "creative", "gnu", "gpl", "apache", "mozilla", "bsd", "eclipse", "cc0")
-CC_BY = r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by"
+FORM_WORDS = ("under", "subject", "governed", "conditions", "terms")
+CC_BY = r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+(?:by|attribution)"
 TOP_RANK = 5
 
 
+def _needed(parsed: list, run: str = "") -> list[str]:
+    """Literals of which every match of a parsed expression holds one, after ``run``; the longest there are."""
+    found: list[list[str]] = []
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            run += chr(arg)
+            continue
+        if kind == "SUBPATTERN":
+            found.append(_needed(arg[3], run))
+        elif kind == "BRANCH":
+            found.append([x for way in arg[1] for x in _needed(way, run)])
+        found.append([run])
+        run = ""
+    return max((*found, [run]), key=lambda xs: min(map(len, xs)))
+
+
+def name_keywords(name: str) -> list[str]:
+    """Literals of which every text with the name holds one; a name has spaces on both sides."""
+    return sorted(set(_needed(re._parser.parse(f" (?:{name}) "))))
+
+
 def signature_rules() -> list[tuple[str, str, str, int]]:
     """The rules in order: label, keyword pattern, expression over spaced words, rank."""
     out = []
-    for label, keyword, name, spdx in FAMILIES:
+    for label, name, spdx in FAMILIES:
+        keyword = "|".join(name_keywords(name))
         for rank, form, _ in FORMS:
-            out.append((label, f" (?:{keyword}|spdx|licenses)", form.replace("{name}", name).replace("{spdx}", spdx), rank))
+            out.append((label, f"(?:{keyword}| spdx| licen[sc]es)", form.replace("{name}", name).replace("{spdx}", spdx), rank))
         if label in BARE:
-            out.append((label, f" (?:{keyword})", f"(?:{name})", 1))
+            out.append((label, f"(?:{keyword})", f"(?:{name})", 1))
     return [(label, kw, f"(?<= )(?:{rx})(?= )", rank) for label, kw, rx, rank in out]
 
 
+def name_words() -> list[str]:
+    """Words, or parts of them, of which every text that names a license holds one."""
+    return sorted({max(x.split(), key=len) for _, name, _ in FAMILIES for x in name_keywords(name)})
+
+
 def _rules_sql(rules: list[tuple[str, str, str, int]]) -> str:
     def quoted(x: str) -> str:
         return "r'" + x + "'"
@@ -136,6 +167,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     body = F.coalesce(F.col(text), F.lit(""))
     d = docs.select(F.col(id_col).alias("doc_id"), body.alias("_body"), F.lower(body).alias("_low"))
     near: Column = reduce(or_, (F.contains("_low", F.lit(x)) for x in GATE))
+    formed: Column = reduce(or_, (F.contains("_low", F.lit(x)) for x in FORM_WORDS))
+    near = near | (formed & reduce(or_, (F.contains("_low", F.lit(x)) for x in name_words())))
     near = near | (F.contains("_low", F.lit("cc")) & F.col("_low").rlike(CC_BY))
     d = d.select("doc_id", F.array_remove(F.split("_body", NOT_WORD), "").alias("_w"), near.alias("_near"))
     d = d.select(

@@ -231,6 +231,37 @@ def test_license_rules(spark, hostile):
     assert licenses.scan_licenses(hostile.limit(0)).count() == 0
 
 
+def every_alternative(parsed):
+    """Texts that match a parsed expression: one for each alternative, without what is optional."""
+    out = [""]
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            ways = [chr(arg)]
+        elif kind == "IN":
+            ways = [chr(arg[0][1])]
+        elif kind == "SUBPATTERN":
+            ways = every_alternative(arg[3])
+        elif kind == "BRANCH":
+            ways = [x for way in arg[1] for x in every_alternative(way)]
+        else:
+            ways = [""]
+        out = [a + b for a in out for b in ways]
+    return out
+
+
+def test_license_keywords_lose_nothing(spark):
+    rules = [(label, re.compile(rx), rank) for label, _, rx, rank in licenses.signature_rules()]
+    rows = sorted({x for _, _, rx, _ in licenses.signature_rules() for x in every_alternative(re._parser.parse(rx))})
+    assert {"released under mit", "licensed under expat", "subject to isc", "freebsd license", "cc attribution sharealike"} <= set(rows)
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string").repartition(8)).collect()}
+    for k, text in enumerate(rows):
+        hits = [(m.start(), m.end(), rank, -n, label) for n, (label, rx, rank) in enumerate(rules) for m in rx.finditer(f" {text} ")]
+        best = {s[4] for s in hits if not any(t[0] <= s[0] and t[1] >= s[1] and (t[1] - t[0], t[2], t[3]) > (s[1] - s[0], s[2], s[3]) for t in hits)}
+        base = {label for phrase, label in licenses.BASE_PHRASES if f" {phrase} " in f" {text} "}
+        assert hits and got[k] == ",".join(sorted(best | base)), text
+
+
 # ------------------------------------------------------------- 6 secrets
 
 
