@@ -13,7 +13,8 @@ token among the first ``size - ceil(t * size) + 1`` of each, whatever order all
 4. In a token's group, pairs are proposed with a few leaders first; what their verified links join
    needs no further comparison. A last round compares, in the groups that still hold several
    components, each pair of different components that sizes, positions and the counts of tokens by
-   part allow. No group is collected, and no links between different texts are lost.
+   part allow. No group is collected. Components are whole; links inside a component that no
+   round needed are neither verified nor counted.
 
 Defined results: null or empty text has no shingles and is linked with nothing; a text of fewer
 words than n is one shingle; repeated rows are copies of each other; a null doc_id is kept, never
