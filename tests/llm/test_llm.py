@@ -434,7 +434,7 @@ def test_quality_hostile(hostile):
 
 
 def every_way(s, v):
-    rank = {v.raw[i].decode(): (int(i), lp) for i, lp in zip(v.ids, v.logp, strict=True)}
+    rank = {name: (int(i), lp) for name, i, lp in zip(v.names, v.ids, v.logp, strict=True)}
     s, out = "▁" + s.replace(" ", "▁"), {}
 
     def go(i, ids, lp):
@@ -472,6 +472,25 @@ def test_samples_are_exact(s):
     assert np.mean([sum(math.exp(k[1]) / k[2] for k in x) for x in got]) == pytest.approx(1, abs=0.02)
 
 
+def test_samples_of_long_chunks():
+    v, rng = sampling.vocabulary(sampling.default_vocabulary()), np.random.default_rng(5)
+    rows = ["".join(rng.choice(list("abcdefgh"), 90 + k)) for k in range(6)]
+    rows += ["x" * 3000, "".join(rng.choice(list("abé漢▁"), 500)), "the end " * 300, "a▁b ▁", "y" * 65, "", "on" * 40]
+    alone = [sampling.sample_piece([t], np.full(1, k, np.uint64), 4, v)[0] for k, t in enumerate(rows)]
+    for k, (x, y) in enumerate(zip(sampling.sample_piece(rows, np.arange(len(rows), dtype=np.uint64), 4, v), alone, strict=True)):
+        assert [(i.tolist(), p, q) for i, p, q in x] == [(i.tolist(), p, q) for i, p, q in y]
+        assert all(v.decode(i.tolist()) == rows[k] for i, _, _ in x) and len({tuple(i.tolist()) for i, _, _ in x}) == len(x)
+    # the weight of all ways, by the plain recursion
+    names, t = {n: p for n, p in zip(v.names, v.logp, strict=True)}, "▁" + "y" * 65 + "on" * 40
+    points = np.array([ord(c) for c in t], dtype=np.uint32)
+    lat, total = sampling.Lattice(points, np.array([len(t)]), v), [0.0] * (len(t) + 1)
+    for i in range(len(t) - 1, -1, -1):
+        total[i] = np.logaddexp.reduce([names[t[i : i + n]] + total[i + n] for n in range(1, 17) if i + n <= len(t) and t[i : i + n] in names])
+    way = sampling.sample_piece([t[1:]], np.zeros(1, np.uint64), 1, v)[0][0]
+    assert way[1] == pytest.approx(sum(names[v.names[int(np.flatnonzero(v.ids == x)[0])]] for x in way[0]) - total[0], abs=1e-7)
+    assert (lat.whole > 0).all()
+
+
 def test_sampling_round_trip(spark, texts, hostile):
     rows = run(spark, "op10_sampling")
     assert len(rows) == len(texts) and all(r["round_trip"] and r["n_samples"] == 3 and len(set(r["ids_crc32"])) == 3 for r in rows if len(texts[r["doc_id"]]) > 5)
@@ -482,6 +501,8 @@ def test_sampling_round_trip(spark, texts, hostile):
     assert sorted(map(str, got)) == sorted(map(str, moved))
     assert sampling.segmentation_digest(hostile.limit(0)).count() == 0
     assert sampling.sample_segmentations(hostile.limit(3), k=2).count() == 3
+    named = sampling.segmentation_digest(hostile.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))).collect()
+    assert len(named) == len(HOSTILE) and all(r["round_trip"] for r in named)
 
 
 # ------------------------------------------------------------- the pipeline
