@@ -1,7 +1,8 @@
-"""Shared helpers: reading tables, shared scratch tables, and vectorised word hashing.
+"""Shared helpers: reading tables, shared scratch tables, packed columns, and vectorised word hashing.
 
 The scratch folder is the one the cluster names in ``spark.checkpoint.dir``, which every executor
-shares; only where that is unset, as in tests, a folder of this process is used.
+shares; only where that is unset and all runs on one machine, as in tests, a folder of this process
+is used.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +32,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; set only where the session names none."""
+    """The folder that all executors share; set only where the session names none and one machine does all."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='stoptide-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -42,7 +47,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: lineage is cut, lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
@@ -55,6 +60,32 @@ def forget(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """The size on disk of a table made by ``stored``."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Equally long columns of unsigned numbers of one width, the first ascending and kept as differences."""
+    first = np.diff(columns[0], prepend=columns[0].dtype.type(0))
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T for x in (first, *columns[1:])]
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(np.concatenate(planes)).tobytes())
+
+
+def unpacked(body: bytes, n: int, kind: type = np.uint64) -> list[np.ndarray]:
+    """The ``n`` columns."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), dtype=np.uint8).reshape(n, np.dtype(kind).itemsize, -1)
+    out = [np.ascontiguousarray(x.T).reshape(-1).view(kind) for x in planes]
+    return [np.cumsum(out[0], dtype=kind), *out[1:]]
+
+
+def text_key(text: Column) -> Column:
+    """A name of a text, 128 bits wide; null and empty texts have names of their own."""
+    return F.struct(F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text, text.isNull()).alias("k2"))
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(c, UPPER, LOWER)

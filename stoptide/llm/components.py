@@ -32,7 +32,8 @@ def _small_star(links: DataFrame) -> DataFrame:
 def star_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """From links (a, b) of comparable ids: (node, root) for every linked node, root its component's smallest.
 
-    Nulls and self-links are ignored; an empty input gives an empty result.
+    Nulls and self-links are ignored; an empty input gives an empty result; each round at least halves
+    the longest way to a root, so ``most_rounds`` is only passed by an error, which is raised.
     """
     tidy = links.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now, sign = stored(tidy, "links"), None
@@ -44,4 +45,8 @@ def star_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if tuple(row) == sign:
             break
         sign = tuple(row)
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct())
+    else:
+        raise RuntimeError(f"components aren't whole after {most_rounds} rounds")
+    out = stored(now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct()), "roots")
+    forget(now)
+    return out

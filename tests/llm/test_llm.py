@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stoptide.llm import decontaminate, langid, licenses, lm_score, ngram_join, quality, sampling, secrets, token_files, urls
+from stoptide.llm.common import stored
 from stoptide.llm.components import star_components
 from stoptide.llm.registry import QUERIES
 
@@ -93,7 +94,8 @@ def test_token_files_hostile(hostile):
 
 
 def components(rows, n, num, den):
-    sets = {}
+    """Per id: its set's size, its component, its links."""
+    sets, links = {}, Counter()
     for i, t in rows:
         w = re.findall(GAP, lower(t))
         sets[i] = frozenset(zip(*(w[k:] for k in range(n)), strict=False)) if len(w) >= n else frozenset([tuple(w)] if w else [])
@@ -109,20 +111,32 @@ def components(rows, n, num, den):
         met = Counter(j for g in sets[i] for j in holds[g])
         for j, k in met.items():
             if den * k >= num * (len(sets[i]) + len(sets[j]) - k):
+                links.update((i, j))
                 a, b = find(i), find(j)
                 up[max(a, b)] = min(a, b)
         for g in sets[i]:
             holds[g].append(i)
-    return {i: (len(sets[i]), find(i)) for i in sets}
+    return {i: (len(sets[i]), find(i), links[i]) for i in sets}
 
 
 def test_ngram_join(spark, texts):
     want = components(texts.items(), 3, 90, 100)
     got = run(spark, "op2_ngram_join")
-    assert len(got) == len(texts) and all((r["n_shingles"], r["component_id"]) == want[r["doc_id"]] for r in got)
+    assert len(got) == len(texts) and all(tuple(r)[1:] == want[r["doc_id"]] for r in got)
     assert any(k != v[1] for k, v in want.items())
 
 
+@pytest.mark.parametrize(("n", "num", "den"), [(3, 90, 100), (5, 4, 5)])
+def test_ngram_join_is_whole(spark, n, num, den, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CHUNK_TOKENS", 5000)
+    monkeypatch.setattr(ngram_join, "RANGE_BYTES", 300_000)
+    monkeypatch.setattr(ngram_join, "BLOCK", 2)
+    monkeypatch.setattr(ngram_join, "SLICE", 50)
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    want = components([tuple(r) for r in docs.collect()], n, num, den)
+    assert {r["doc_id"]: tuple(r)[1:] for r in ngram_join.ngram_components(docs, n, num, den).collect()} == want
+
+
 def test_ngram_join_of_many_near_copies(spark):
     rng = np.random.default_rng(3)
     base = [f"w{k}" for k in range(60)]
@@ -134,23 +148,33 @@ def test_ngram_join_of_many_near_copies(spark):
         rows.append((i, " ".join(w)))
     want = components(rows, 5, 4, 5)
     got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == want
     assert 1 < len({v[1] for v in want.values()}) < 150
 
 
 def test_ngram_join_hostile(hostile):
     got = sorted(map(tuple, ngram_join.ngram_components(hostile).collect()), key=str)
     assert len(got) == len(HOSTILE)
-    assert (1, 0, 1) in got and (2, 0, 2) in got and (4, 1, 4) in got and got.count((6, 3, 5)) == 2 and (None, 1, None) in got
+    assert (1, 0, 1, 0) in got and (2, 0, 2, 0) in got and (4, 1, 4, 0) in got and got.count((6, 3, 5, 2)) == 2 and (None, 1, None, 0) in got
     assert ngram_join.ngram_components(hostile.limit(0)).count() == 0
     kept = [r["doc_id"] for r in ngram_join.keep_one_each(hostile).collect()]
     assert kept.count(None) == 1 and 6 not in kept and kept.count(5) == 1
 
 
+def test_keep_one_each_loses_no_text(spark):
+    one, two = "one text of some eight words or nine", "another text that is not like it at all"
+    rows = [(3, one), (5, one), (5, two), (None, one), (None, "alone without an id but with words"), (None, two), (7, ""), (8, None), (7, ""), (9, "said once"), (9, "said once")]
+    kept = ngram_join.keep_one_each(spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("k1", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "k1"]
+    assert sorted((tuple(r)[:2] for r in kept.collect()), key=str) == sorted([(3, one), (5, two), (None, "alone without an id but with words"), (7, ""), (8, None), (7, ""), (9, "said once")], key=str)
+
+
 def test_components(spark):
-    links = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (7, 8), (1, 1), (None, 2)], "a int, b int")
+    links = stored(spark.createDataFrame([(5, 4), (4, 3), (3, 9), (7, 8), (1, 1), (None, 2)], "a int, b int"), "links")
     assert {tuple(r) for r in star_components(links).collect()} == {(3, 3), (4, 3), (5, 3), (9, 3), (7, 7), (8, 7)}
     assert star_components(links.limit(0)).count() == 0
+    chain = spark.range(400).selectExpr("id + 1 AS a", "id AS b")
+    assert star_components(chain).filter("root != 0").count() == 0
 
 
 # ------------------------------------------------------------- 3 language id
