@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -263,7 +264,9 @@ def every_alternative(parsed):
         if kind == "LITERAL":
             ways = [chr(arg)]
         elif kind == "IN":
-            ways = [chr(arg[0][1])]
+            ways = ["w" if str(arg[0][0]) == "CATEGORY" else chr(arg[0][1])]
+        elif kind == "MAX_REPEAT" and arg[0]:
+            ways = every_alternative(arg[2])
         elif kind == "SUBPATTERN":
             ways = every_alternative(arg[3])
         elif kind == "BRANCH":
@@ -286,6 +289,18 @@ def test_license_keywords_lose_nothing(spark):
         assert hits and got[k] == ",".join(sorted(best | base)), text
 
 
+def test_many_notices(spark):
+    rows = [(k, "under the mit license ok " * n) for k, n in enumerate((1, 3, 500, 40_000))]
+    rows.append((9, "licensed under the apache license version 2 0 " + "x " * 300 + "the mit license"))
+    began = time.perf_counter()
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id int, text string").repartition(5)).collect()}
+    assert time.perf_counter() - began < 60
+    for k, n in ((0, 1), (1, 3), (2, 500), (3, 40_000)):
+        assert (got[k]["n_base"], got[k]["last_word"], got[k]["labels"]) == (n, 5 * (n - 1), "mit")
+        assert [x["start"] for x in got[k]["spans"]] == [25 * j + 10 for j in range(n)]
+    assert got[9]["labels"] == "apache-2,mit"
+
+
 # ------------------------------------------------------------- 6 secrets
 
 
