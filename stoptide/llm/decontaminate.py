@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation (DataFrame functions only).
 
 Texts and benchmark items become templates: words in lower case without punctuation, where names
-(capitalised words inside a sentence), numbers and units after numbers are typed placeholders.
+(capitalised words, but for the common openings of sentences), numbers and units after numbers are
+typed placeholders.
 Windows of templates are hash-joined; where they meet, the words behind the placeholders are
 compared, and a match counts only if each value of the item stands for one value of the text and
 the other way round, so re-parameterised questions are found and look-alikes are not. Windows of the
@@ -12,7 +13,8 @@ Defined results: null or empty text or items match nothing; an item shorter than
 window of its own length; items that are repeated are each matched; a document found twice under
 one doc_id is one row; rows without a doc_id or item_id can't be named and match nothing; empty
 tables give an empty result; other columns are ignored by ``find_leaks`` and untouched by
-``drop_leaks``.
+``drop_leaks``, which tells rows apart by their texts, so that rows without a doc_id, or of one doc_id
+with different texts, are judged each on its own.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoptide.llm.common import read_table, stored
+from stoptide.llm.common import forget, read_table, stored, text_key
 
 #: Words in a window, the least share of an item's windows that makes a leak, and the least share of
 #: plain words for a window with placeholders to count.
@@ -29,13 +31,21 @@ WINDOW, SHARE, PLAIN = 8, 0.2, 0.5
 BROADCAST_WINDOWS = 1_000_000
 #: Units that are placeholders after a number.
 UNITS = "mm|cm|dm|m|km|in|ft|yd|mi|mg|g|kg|t|lb|lbs|oz|ml|cl|l|s|sec|min|h|hr|hrs|hours|hour|minutes|minute|seconds|second|days|day|weeks|week|months|month|years|year|meters|metres|kilometers|kilometres|grams|kilograms|liters|litres|miles|feet|inches|pounds|dollars|euros|cents|usd|eur|gbp|percent|degrees|mph|kmh|w|kw|kwh|v|hz|khz|mhz|ghz|kb|mb|gb|tb"
+#: Words that are capitalised only because a sentence or a question opens with them.
+OPENINGS = (
+    "a all an and any are as assume at before both but by calculate can choose complete compute consider could define describe determine did do does each either "
+    "every evaluate explain find for from give given had has have he her here his how i if in is it its let list many may might most must my name no not of on "
+    "one or our prove read select she should show simplify since so solve some state suppose than that the their then there these they this those three to true "
+    "two under until use was we were what when where whether which while who whom whose why will with would write yes you your"
+)
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
 _KEEP = r"[^\p{L}\p{N}\x{E000}-\x{E002}]+"
 
 
 def template_words(text: Column) -> Column:
     """The words of a text's template."""
-    c = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=[\p{Ll}\p{N},;] )\p{Lu}[\p{L}\p{N}]*+", NAME)
+    opening = "|".join(w[0].upper() + w[1:] for w in OPENINGS.split())
+    c = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?!(?:{opening})(?![\p{{L}}\p{{N}}]))\p{{Lu}}[\p{{L}}\p{{N}}]*+", NAME)
     c = F.concat(F.lit(" "), F.lower(F.regexp_replace(c, _KEEP, " ")), F.lit(" "))
     c = F.regexp_replace(c, r"(?<= )\p{N}++(?= )", NUMBER)
     c = F.regexp_replace(c, rf"(?<=\x{{E001}} )(?:{UNITS})(?= )", UNIT)
@@ -102,10 +112,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     sides = [F.struct(F.lit(exact).alias("exact"), F.expr(_windows(x, n)).alias("hs")) for n in lengths for exact, x in ((False, "_t"), (True, "_p"))]
     flat = hashed.select("doc_id", F.explode_outer(F.array(*sides)).alias("_s"))
     flat = flat.select("doc_id", F.col("_s.exact").alias("exact"), F.posexplode_outer("_s.hs").alias("i", "h"))
-    met = stored(flat.join(F.broadcast(bench) if small else bench, ["h", "exact"]), "leaks")
+    # a window that several items share meets a document once; its items follow
+    known = bench.select("h", "exact").distinct()
+    found = stored(flat.filter("h IS NOT NULL").join(F.broadcast(known) if small else known, ["h", "exact"]), "leaks")
+    met = found.join(F.broadcast(bench) if small else bench, ["h", "exact"])
     plain = met.filter("exact").withColumn("d_slots", F.col("b_slots"))
     again = met.filter("NOT exact")
-    ids = again.select("doc_id").distinct()
+    ids = stored(again.select("doc_id").distinct(), "ids")
     few = ids.count() <= BROADCAST_WINDOWS
     texts = d.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").withColumn("_t", template_words(F.col("text"))).withColumn("_p", plain_words(F.col("text")))
     again = again.join(texts, "doc_id").filter(F.expr("xxhash64(transform(slice(_t, i + 1, len), x -> xxhash64(x))) = h"))
@@ -126,13 +139,22 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
         F.bool_or("changed").alias("changed"),
     )
     out = out.filter(F.col("n_windows") >= F.lit(share) * F.col("n_item"))
-    return out.select("doc_id", "item_id", "n_windows", F.col("n_item").cast("long").alias("n_item"), "first_word", "changed")
+    out = stored(out.select("doc_id", "item_id", "n_windows", F.col("n_item").cast("long").alias("n_item"), "first_word", "changed"), "found")
+    forget(found)
+    forget(ids)
+    return out
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """The documents that contain no item, with the input's columns."""
-    leaks = find_leaks(docs.select("doc_id", "text"), items, window, share).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    text = F.col(names[docs.columns.index("text")])
+    leaks = find_leaks(plain.select(text_key(text).alias("doc_id"), text.alias("text")), items, window, share)
+    leaks = stored(leaks.select("doc_id").distinct(), "leaking")
+    small = leaks.count() <= BROADCAST_WINDOWS
+    own = plain.withColumn("_k", text_key(text))
+    return own.join(F.broadcast(leaks) if small else leaks, F.col("_k") == F.col("doc_id"), "left_anti").select(*names).toDF(*docs.columns)
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

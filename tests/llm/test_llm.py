@@ -418,6 +418,28 @@ def test_templates(spark, hostile):
     assert decontaminate.drop_leaks(hostile, items).columns == hostile.columns
 
 
+def test_names_that_open_sentences(spark):
+    items = spark.createDataFrame([(1, "Anna buys 3 red apples and 2 pears"), (2, "Anna buys 3 red apples and 2 pears"), (3, "The farmer of the valley has 12 cows and 7 goats. Bruno takes 4 of the cows away")], "item_id bigint, text string")
+    rows = [
+        (1, "Peter buys 5 red apples and 4 pears"), (2, "We read. Peter buys 5 red apples and 5 pears"), (3, "peter buys 5 red apples and 4 pears"),
+        (4, "The farmer of the valley has 15 cows and 9 goats. Carla takes 6 of the cows away"), (5, "The farmer sells no cows"),
+    ]
+    got = {(r["doc_id"], r["item_id"], r["changed"]) for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), items).collect()}
+    assert got == {(1, 1, True), (1, 2, True), (4, 3, True)}
+
+
+def test_leaks_go_by_text(spark, monkeypatch):
+    base = "If John has 12 apples and Mary has 5 apples how many apples does John have today"
+    rows = [(1, base), (1, "clean text"), (None, base), (None, "clean too"), (2, None), (2, ""), (3, "x " + base)]
+    items = spark.createDataFrame([(10, base)], "item_id bigint, text string")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_k", F.lit(1)).withColumn("h", F.lit(2))
+    want = sorted([(1, "clean text"), (None, "clean too"), (2, None), (2, "")], key=str)
+    for most in (1_000_000, 0):  # with and without broadcasts
+        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", most)
+        kept = decontaminate.drop_leaks(df, items)
+        assert kept.columns == df.columns and sorted((tuple(r)[:2] for r in kept.collect()), key=str) == want
+
+
 def test_verbatim_copies_leak(spark):
     base = "If John has 12 apples and Mary has 5 apples how many apples does John have today"
     sums, short = "Compute 12 + 7 - 3 * 4 + 18 - 6 * 2 + 9 exactly", "What is the capital of France"
