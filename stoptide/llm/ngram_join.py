@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoptide.llm.common import forget, hashed_words, mix, packed, read_table, stored, text_key, unpacked
+from stoptide.llm.common import forget, give_back, hashed_words, mix, packed, read_table, stored, text_key, unpacked
 from stoptide.llm.components import star_components
 
 #: Leaders proposed for each token's group, round by round; a last round handles what is left.
@@ -157,6 +157,7 @@ def class_table(docs: DataFrame, n: int, num: int, den: int, parts: int) -> Data
             yield rows(b.column(0), b.num_rows, sid=sids, size=all_sizes)
         if heads:
             yield from flush()
+        give_back()
 
     return docs.select("key", "text").mapInArrow(run, f"key {key_type}, {CHUNK_SCHEMA}")
 
@@ -229,6 +230,7 @@ def set_table(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     spreads.append(np.bincount(s & (PARTS - 1), minlength=PARTS))
             if sids:
                 yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), _lists(sets), _lists(spreads)], names=["sid", "tokens", "spread"])
+        give_back()
 
     found = docs.select("text").mapInArrow(run, "sid binary, tokens array<bigint>, spread array<bigint>")
     once = found.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first(F.struct("tokens", "spread")).alias("s"))

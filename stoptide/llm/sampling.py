@@ -35,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoptide.llm.common import mix, pieces, read_table, text_bytes
+from stoptide.llm.common import give_back, mix, pieces, read_table, text_bytes
 
 RANK_OFFSET = 20
 BLANK = "▁"
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _P = 0x100000001B3
 #: Bytes of text that are searched side by side.
-TEXT_BYTES = 1_000_000
+TEXT_BYTES = 500_000
 #: Probabilities of arcs are whole multiples of 1 / ONE, logarithms on paths of 1 / FINE.
 ONE, FINE = float(1 << 40), float(1 << 36)
 #: Stands for the blank's character where a text itself holds it; no text holds this code point.
@@ -556,11 +556,14 @@ def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 def _searched(b: pa.RecordBatch, k: int, v: Vocabulary, seed: int) -> Iterator[tuple[pa.RecordBatch, Samples]]:
     """The pieces of a batch of ``_keyed`` rows, and what each was sampled."""
-    _, at = text_bytes(b.column(1))
-    for i, j in pieces(b.num_rows, at, TEXT_BYTES):
-        part = b.slice(i, j - i)
-        keys = mix(part.column(2).to_numpy(zero_copy_only=False).view(np.uint64) + np.uint64(seed) * _C[1])
-        yield part, search(part.column(1), keys, k, v)
+    for lo in range(0, b.num_rows, 500):
+        rows = b.slice(lo, 500)
+        _, at = text_bytes(rows.column(1))
+        for i, j in pieces(rows.num_rows, at, TEXT_BYTES):
+            part = rows.slice(i, j - i)
+            keys = mix(part.column(2).to_numpy(zero_copy_only=False).view(np.uint64) + np.uint64(seed) * _C[1])
+            yield part, search(part.column(1), keys, k, v)
+    give_back()
 
 
 def sample_segmentations(docs: DataFrame, k: int = 3, path: str | None = None, seed: int = 0, id_col: str = "doc_id", text: str = "text") -> DataFrame:

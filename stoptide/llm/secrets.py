@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from stoptide.llm.common import pieces, read_table, text_bytes
+from stoptide.llm.common import give_back, pieces, read_table, text_bytes
 
 
 @dataclass(frozen=True)
@@ -283,6 +283,7 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]",
                 n = names.index(length)
                 cols[n] = pa.array([None if x is None else len(x) for x in body], b.schema.field(n).type)
             yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
+        give_back()
 
     plain = docs.toDF(*(f"_c{i}" for i in range(len(names))))
     return plain.mapInArrow(run, plain.schema).toDF(*names)
