@@ -68,18 +68,18 @@ def stored_bytes(df: DataFrame) -> int:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
 
 
-def packed(*columns: np.ndarray) -> bytes:
-    """Equally long columns of unsigned numbers of one width, the first ascending and kept as differences."""
-    first = np.diff(columns[0], prepend=columns[0].dtype.type(0))
+def packed(*columns: np.ndarray, ascending: bool = True) -> bytes:
+    """Equally long columns of unsigned numbers of one width; the first is kept as differences if ascending."""
+    first = np.diff(columns[0], prepend=columns[0].dtype.type(0)) if ascending else columns[0]
     planes = [np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T for x in (first, *columns[1:])]
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(np.concatenate(planes)).tobytes())
 
 
-def unpacked(body: bytes, n: int, kind: type = np.uint64) -> list[np.ndarray]:
+def unpacked(body: bytes, n: int, kind: type = np.uint64, ascending: bool = True) -> list[np.ndarray]:
     """The ``n`` columns."""
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), dtype=np.uint8).reshape(n, np.dtype(kind).itemsize, -1)
     out = [np.ascontiguousarray(x.T).reshape(-1).view(kind) for x in planes]
-    return [np.cumsum(out[0], dtype=kind), *out[1:]]
+    return [np.cumsum(out[0], dtype=kind) if ascending else out[0], *out[1:]]
 
 
 def give_back() -> None:

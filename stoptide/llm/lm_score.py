@@ -1,18 +1,22 @@
 """Language-model scoring by a weighted backoff automaton over words.
 
-States are the empty context, words, and word pairs; an arc reads a word with a discounted
-probability, and a failure arc drops the oldest word at the price of the left-over mass. Arcs are all
-training words and all pairs and triples that occur ``LEAST_ARC`` times or more, whatever the size
-of the corpus; a triple's two pairs are then arcs too.
+States are the empty context, words, and word pairs; an arc reads a word, and a failure arc drops the
+oldest word at a price. Every training word and pair is an arc, and every triple that occurs
+``LEAST_ARC`` times or more, whatever the size of the corpus. With counts c, n and n of words, pairs
+and triples, N training tokens and V distinct ones:
 
-The logarithm of a text's probability is therefore a sum over its words, pairs and triples: a word
-weighs its unigram arc and its failure, a pair what its arc adds to those, and its own failure, a
-triple what its arc adds to these; what isn't an arc weighs nothing.
+* p(w) = (c(w) + FLOOR) / (N + FLOOR * (V + 1)), the one beside the V standing for all unknown words;
+* p(w | b) = (n(b w) + PRIOR * p(w)) / (c(b) + PRIOR): the arc's weight; failing costs PRIOR / (c(b) + PRIOR);
+* p(w | a b) = (n(a b w) - DISCOUNT) / n(a b), if that triple is an arc, plus p(w | b) times what the
+  arcs of a b leave over, which is what failing costs.
 
-No table of arcs is sent whole. Documents are packed into blocks of bounded size; each block asks
-for its distinct words through a join, and for its distinct pairs and triples by parts: ranges of
-their hashes, as many as the text asks for. A part counts what all blocks hold of it, and gives each
-block the weights of its own arcs.
+Each sums to one over all words. A text is read once from left to right; a position's state is the
+pair before it, the word before it where that pair was never trained on, and so on.
+
+No table of arcs is sent whole. Documents are packed into blocks of bounded size. A block asks ranges
+of word hashes, and ranges of pair hashes with the words that follow each pair, for the counts of all
+blocks; keys travel sorted and packed, once there, and only counts come back. Of a pair's hash 48 bits
+travel, of a following word's 32 beside its pair.
 
 Defined results: null or empty text is its end alone; rows without an id are scored and neither
 train nor are held out; repeated rows count and are scored each; without training rows all
@@ -25,20 +29,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoptide.llm.common import crc_mod, hashed_words, mix, read_table, stored
+from stoptide.llm.common import crc_mod, give_back, hashed_words, mix, packed, read_table, stored, unpacked
 
-#: Bytes of text in a block, bytes of text to a part of the pairs or triples, the discount, and the
-#: least occurrences of a pair or triple that make an arc.
-BLOCK_BYTES, PART_BYTES, DISCOUNT, LEAST_ARC = 6_000_000, 16_000_000, 0.5, 2
-#: No share of all tokens is asked of a context or an arc.
-PAIR_SHARE, TRIPLE_SHARE, ARC_SHARE = 0.0, 0.0, 0.0
+#: Tokens of a block, and bytes of text to a range of pairs.
+BLOCK_TOKENS, RANGE_BYTES = 1_250_000, 16_000_000
+#: The smoothing: what every word has beside its count, the weight of the lower order under a word, what
+#: a triple's count is lowered by, and the least count of a triple that makes an arc.
+FLOOR, PRIOR, DISCOUNT, LEAST_ARC = 0.5, 10.0, 0.5, 2
 #: The end of a text, as a word's hash.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
+_LEFT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -49,270 +53,211 @@ def _tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         yield i, j, out, first + np.arange(j - i + 1)
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
-
-
-def _unpacked(body: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), dtype=np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4").astype(np.int64)
-
-
-def _packed_keys(*columns: np.ndarray) -> bytes:
-    """Equally long columns of 64 bits, the first one ascending and kept as differences."""
-    first = np.diff(columns[0], prepend=columns[0].dtype.type(0))
-    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T for x in (first, *columns[1:])]
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(np.concatenate(planes)).tobytes())
-
+def _ranges(keys: np.ndarray, bits: int, parts: int) -> np.ndarray:
+    """Where each range of ascending keys of so many bits begins (one more at the end)."""
+    return np.searchsorted((keys >> np.uint64(bits - 32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
 
-def _unpacked_keys(body: bytes, n: int) -> list[np.ndarray]:
-    """The ``n`` columns, as unsigned integers."""
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), dtype=np.uint8).reshape(n, 8, -1)
-    out = [np.ascontiguousarray(x.T).reshape(-1).view(np.uint64) for x in planes]
-    return [np.cumsum(out[0], dtype=np.uint64), *out[1:]]
 
+class Grams:
+    """The distinct pairs and triples of texts, and where they stand.
 
-_LEFT = np.uint64(0x9E3779B97F4A7C15)
-_UNMIX = [np.uint64(pow(x, -1, 1 << 64)) for x in (0xC4CEB9FE1A85EC53, 0xFF51AFD7ED558CCD)]
-
-
-def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The hash of two words on end, or of two pairs that share a word."""
-    return mix(left * _LEFT + right)
-
-
-def _right(key: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """What ``_joined`` was given on the right."""
-    x = key ^ (key >> np.uint64(33))
-    for inverse in _UNMIX:
-        x = x * inverse
-        x = x ^ (x >> np.uint64(33))
-    return x - left * _LEFT
-
+    ``pairs`` are hashes in order; ``pair[i]`` is that of the i-th place ``at2`` that ends one.
+    ``follow`` are the last words of the distinct triples in order of their first two words' pair
+    (``fan`` of each pair); ``triple[i]`` and ``context[i]`` are the triple and the pair before the
+    i-th place ``at3`` that ends a triple.
+    """
 
-def _grams(flat: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of pairs, then of triples: their hashes, their contexts' hashes, and the place of the last token of each."""
-    left = np.ones(len(flat), dtype=bool)
-    left[first[:-1]] = False
-    at = np.flatnonzero(left)
-    pair = _joined(flat[at - 1], flat[at])
-    yield pair, flat[at - 1], at
-    left[first[:-1][np.diff(first) > 1] + 1] = False
-    inner = left[at]
-    spot = np.flatnonzero(inner)
-    yield _joined(pair[spot - 1], pair[spot]), pair[spot - 1], at[inner]
+    def __init__(self, flat: np.ndarray, first: np.ndarray):
+        left = np.ones(len(flat), dtype=bool)
+        left[first[:-1]] = False
+        self.at2 = np.flatnonzero(left)
+        self.pairs, self.pair = np.unique(mix(flat[self.at2 - 1] * _LEFT + flat[self.at2]) >> np.uint64(16), return_inverse=True)
+        inner = left[self.at2 - 1]
+        self.at3 = self.at2[inner]
+        self.context = self.pair[np.flatnonzero(inner) - 1]
+        keys, self.triple = np.unique(self.context.astype(np.uint64) << np.uint64(32) | flat[self.at3] >> np.uint64(32), return_inverse=True)
+        self.follow = keys.astype(np.uint32)
+        self.fan = np.bincount((keys >> np.uint64(32)).astype(np.int64), minlength=len(self.pairs))
 
 
-BLOCK_SCHEMA = "block bigint, lid int, h bigint, n bigint, doc_id {id}, held boolean, body binary, part int"
+BLOCK_SCHEMA = "block bigint, body binary, words binary, sizes array<int>, train array<boolean>, held array<boolean>, doc_ids array<{id}>"
 
 
-def blocks_of(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows (doc_id, text, train, held) as blocks: per document its tokens as the block's word numbers
-    (body), per distinct word of the block its hash and training count (lid, h, n), and per part of the
-    block's distinct pairs (and, from ``parts`` on, triples) their hashes, contexts and training counts."""
+def blocks_of(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, text, train, held) as blocks: the documents' ids, sizes and flags, all their tokens
+    as the block's word numbers (common words first), and the words' hashes in order, their training
+    counts and their numbers."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, number = TaskContext.get().partitionId(), 0
+        part, number, held_tokens, id_kind = TaskContext.get().partitionId(), 0, 0, None
         tokens: list[np.ndarray] = []
-        rows: list[tuple] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal number, size
-            block = part * (1 << 20) + number
-            number, size = number + 1, 0
-            flat = np.concatenate(tokens)
-            words, back = np.unique(flat, return_inverse=True)
-            lengths = np.array([len(x) for x in tokens])
-            tokens.clear()
-            train = np.repeat(np.array([r[1] for r in rows], dtype=bool), lengths)
-            counts = np.bincount(back[train], minlength=len(words))
-            rank = np.empty(len(words), dtype=np.int64)
-            rank[np.argsort(-np.bincount(back, minlength=len(words)), kind="stable")] = np.arange(len(words))
-            ids = rank[back]
-            ends = np.cumsum(lengths)
-            bodies = [_packed(ids[e - n : e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-            none = pa.nulls
-            n, w = len(rows), len(words)
-            names = ["block", "lid", "h", "n", "doc_id", "held", "body", "part"]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(w, block)), pa.array(rank.astype(np.int32)), pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64)), none(w, id_kind), none(w, pa.bool_()), none(w, pa.binary()), none(w, pa.int32())],
-                names=names,
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block)), none(n, pa.int32()), none(n, pa.int64()), none(n, pa.int64()), pa.array([r[0] for r in rows], id_kind), pa.array([r[2] for r in rows], pa.bool_()), pa.array(bodies, pa.binary()), none(n, pa.int32())],
-                names=names,
-            )
-            del words, back, ids
-            for size, (keys, left, at) in enumerate(_grams(flat, np.append([0], ends))):
-                own, where, back = np.unique(keys, return_index=True, return_inverse=True)
-                counts = np.bincount(back[train[at]], minlength=len(own))
-                left = left[where]
-                del keys, where, back, at
-                edge = np.searchsorted(((own >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
-                asked = [k for k in range(parts) if edge[k] < edge[k + 1]]
-                bodies = [_packed_keys(*(x[edge[k] : edge[k + 1]] for x in (own, left, counts))) for k in asked]
-                k = len(asked)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(k, block)), none(k, pa.int32()), none(k, pa.int64()), none(k, pa.int64()), none(k, id_kind), none(k, pa.bool_()), pa.array(bodies, pa.binary()), pa.array(np.array(asked, dtype=np.int32) + np.int32(size * parts))],
-                    names=names,
-                )
-            rows.clear()
+        ids: list = []
+        train: list[bool] = []
+        held: list[bool] = []
+
+        def flush() -> pa.RecordBatch:
+            nonlocal number, held_tokens
+            words, back = np.unique(np.concatenate(tokens), return_inverse=True)
+            sizes = np.array([len(x) for x in tokens], dtype=np.int32)
+            counts = np.bincount(back[np.repeat(np.array(train), sizes)], minlength=len(words))
+            rank = np.empty(len(words), dtype=np.uint64)
+            rank[np.argsort(-np.bincount(back, minlength=len(words)), kind="stable")] = np.arange(len(words), dtype=np.uint64)
+            planes = np.ascontiguousarray(rank[back].astype("<u4").view(np.uint8).reshape(-1, 4).T)
+            cols = [[part * (1 << 30) + number], [zstandard.ZstdCompressor(level=3).compress(planes.tobytes())], [packed(words, counts.astype(np.uint64), rank)], [sizes], [list(train)], [list(held)]]
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.bool_())]
+            names = ["block", "body", "words", "sizes", "train", "held", "doc_ids"]
+            out = pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), pa.array([list(ids)], pa.list_(id_kind))], names=names)
+            number, held_tokens = number + 1, 0
+            for x in (tokens, ids, train, held):
+                x.clear()
+            return out
 
         for b in batches:
             id_kind = b.schema.field(0).type
-            ids, train, held = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()
+            own, b_train, b_held = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()
             for i, j, words, first in _tokens(b.column(1)):
                 for k in range(i, j):
-                    tokens.append(words[first[k - i] : first[k - i + 1]])
-                    rows.append((ids[k], train[k], held[k]))
-                size += 8 * len(words)
-                if size >= BLOCK_BYTES * 2:
-                    yield from flush()
-        if rows:
-            yield from flush()
+                    tokens.append(words[first[k - i] : first[k - i + 1]].copy())
+                    ids.append(own[k])
+                    train.append(b_train[k])
+                    held.append(b_held[k])
+                    held_tokens += len(tokens[-1])
+                    if held_tokens >= BLOCK_TOKENS:
+                        yield flush()
+        if tokens:
+            yield flush()
+        give_back()
 
     return docs.select("doc_id", "text", "train", "held").mapInArrow(run, BLOCK_SCHEMA.format(id=id_type))
 
 
-GRAM_SCHEMA = "part int, block bigint, body binary, key bigint, left bigint, right bigint, n bigint"
-
-
-def gram_table(asked: DataFrame) -> DataFrame:
-    """From the blocks' parts, the pairs and triples that are arcs (key, left, right, n), and per block and
-    part the places of the block's arcs among the part's (block, body)."""
-
-    def run(part: pa.Table) -> pa.Table:
-        number, blocks = part["part"][0].as_py(), part["block"].to_pylist()
-        held = [_unpacked_keys(x, 3) for x in part["body"].to_pylist()]
-        keys = np.concatenate([x[0] for x in held])
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        start = np.flatnonzero(np.append([True], keys[1:] != keys[:-1]))
-        n = np.add.reduceat(np.concatenate([x[2] for x in held])[order], start).astype(np.int64)
-        good = n >= LEAST_ARC
-        keys, n, left = keys[start][good], n[good], np.concatenate([x[1] for x in held])[order[start[good]]]
-        bodies = []
-        for own, _, _ in held:
-            at = np.searchsorted(keys, own) if len(keys) else np.zeros(0, np.int64)
-            bodies.append(_packed_keys(at[keys[np.minimum(at, len(keys) - 1)] == own]) if len(keys) else _packed_keys(at))
-        k, m = len(keys), len(blocks)
-        arcs = [x.view(np.int64) for x in (keys, left, _right(keys, left))] + [n]
-        return pa.table(
-            {
-                "part": pa.array(np.full(k + m, number, dtype=np.int32)),
-                "block": pa.chunked_array([pa.nulls(k, pa.int64()), pa.array(blocks, pa.int64())]),
-                "body": pa.chunked_array([pa.nulls(k, pa.binary()), pa.array(bodies, pa.binary())]),
-                **{x: pa.chunked_array([pa.array(y), pa.nulls(m, pa.int64())]) for x, y in zip(("key", "left", "right", "n"), arcs, strict=True)},
-            }
-        )
+def _unpacked_block(body: bytes, words: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's word numbers, first token of each text, and its words' hashes in order, counts and numbers."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), dtype=np.uint8)
+    ids = np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4").astype(np.int64)
+    keys, counts, rank = unpacked(words, 3)
+    return ids, np.append([0], np.cumsum(sizes, dtype=np.int64)), keys, counts, rank.astype(np.int64)
 
-    return asked.select("part", "block", "body").groupBy("part").applyInArrow(run, GRAM_SCHEMA)
 
+def word_counts(blocks: DataFrame, parts: int) -> DataFrame:
+    """(block, part, body): the training counts, over all blocks, of each block's words by ranges; and per
+    range the number of its tokens and of its words that were trained on (n, v)."""
 
-def arc_weights(grams: DataFrame, counts: DataFrame, parts: int, total: int) -> tuple[DataFrame, DataFrame]:
-    """(part, key, weight) of pairs and triples, and (h, fail) of words; natural logarithms.
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                keys, counts, _ = unpacked(words, 3)
+                edge = _ranges(keys, 64, parts)
+                asked = [k for k in range(parts) if edge[k] < edge[k + 1]]
+                bodies = [packed(keys[edge[k] : edge[k + 1]], counts[edge[k] : edge[k + 1]]) for k in asked]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(asked), pa.int64()), pa.array(asked, pa.int32()), pa.array(bodies, pa.binary())], names=["block", "part", "body"])
 
-    The masses left over are whole numbers and multiples of the discount, so none is lost to rounding.
-    """
+    def answer(part: pa.Table) -> pa.Table:
+        held = [unpacked(x, 2) for x in part["body"].to_pylist()]
+        keys, back = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+        counts = np.bincount(back, weights=np.concatenate([x[1] for x in held]), minlength=len(keys)).astype(np.uint64)
+        cut = np.cumsum([0, *(len(x[0]) for x in held)])
+        bodies = [packed(counts[back[a:b]], ascending=False) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        first = [0] * (len(held) - 1)
+        return pa.table({"block": part["block"], "part": part["part"], "body": pa.array(bodies, pa.binary()), "n": pa.array([int(counts.sum()), *first]), "v": pa.array([int((counts > 0).sum()), *first])})
 
-    def fail(kept: DataFrame, above: str, lower: str, below: str) -> DataFrame:
-        some = kept.groupBy("left").agg(F.sum("n").alias("s"), F.sum(lower).alias("t"), F.count("*").alias("m"), F.first(above).alias("a"), F.first(F.expr(below)).alias("b"))
-        return some.select("left", F.expr(f"ln((a - s + {DISCOUNT}D * m) / a) - ln((b - t + {DISCOUNT}D * m) / b)").alias("fail"))
-
-    kept = grams.filter("key IS NOT NULL").select("part", "key", "left", "right", "n")
-    pairs = kept.filter(F.col("part") < parts).join(counts.select(F.col("h").alias("left"), F.col("c").alias("c_left")), "left")
-    pairs = stored(pairs.join(counts.select(F.col("h").alias("right"), F.col("c").alias("c_right")), "right").drop("right"), "pairs")
-    triples = kept.filter(F.col("part") >= parts).join(pairs.select(F.col("key").alias("left"), F.col("n").alias("n_left"), F.col("c_right").alias("c_mid")), "left")
-    triples = stored(triples.join(pairs.select(F.col("key").alias("right"), F.col("n").alias("n_right")), "right").drop("right"), "triples")
-    word_fail = stored(fail(pairs, "c_left", "c_right", f"{total}L"), "word_fail")
-    pair_fail = stored(fail(triples, "n_left", "n_right", "c_mid"), "pair_fail")
-    two = pairs.join(word_fail, "left").join(pair_fail.select(F.col("left").alias("key"), F.col("fail").alias("own")), "key", "left")
-    two = two.select("part", "key", F.expr(f"ln((n - {DISCOUNT}D) / c_left) - fail - ln((c_right - {DISCOUNT}D) / {total}L) + coalesce(own, 0D)").alias("weight"))
-    three = triples.join(pair_fail, "left").select("part", "key", F.expr(f"ln((n - {DISCOUNT}D) / n_left) - fail - ln((n_right - {DISCOUNT}D) / c_mid)").alias("weight"))
-    return two.union(three), word_fail.select(F.col("left").alias("h"), "fail")
-
-
-def gram_answers(grams: DataFrame, weights: DataFrame) -> DataFrame:
-    """(block, body): per part the hashes and weights of the block's arcs."""
-    asked = grams.filter("block IS NOT NULL").select("part", "block", "body", F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("double").alias("weight"))
-    told = weights.select("part", F.lit(None).cast("bigint").alias("block"), F.lit(None).cast("binary").alias("body"), "key", "weight")
-
-    def run(part: pa.Table) -> pa.Table:
-        arcs, blocks = part.filter(pc.is_valid(part["key"])), part.filter(pc.is_valid(part["block"]))
-        keys, weight = arcs["key"].to_numpy().view(np.uint64), arcs["weight"].to_numpy()
-        order = np.argsort(keys)
-        keys, weight = keys[order], weight[order].view(np.uint64)
-        bodies = []
-        for x in blocks["body"].to_pylist():
-            at = _unpacked_keys(x, 1)[0].astype(np.int64)
-            bodies.append(_packed_keys(keys[at], weight[at]))
-        return pa.table({"block": blocks["block"], "body": pa.array(bodies, pa.binary())})
-
-    return asked.union(told).groupBy("part").applyInArrow(run, "block bigint, body binary")
+    asked = blocks.select("block", "words").mapInArrow(ask, "block bigint, part int, body binary")
+    return asked.groupBy("part").applyInArrow(answer, "block bigint, part int, body binary, n bigint, v bigint")
+
+
+def gram_counts(blocks: DataFrame, parts: int) -> DataFrame:
+    """(block, part, body, more): over all blocks, of each block's pairs by ranges the training counts, the
+    sums and the numbers of arcs that follow them (body), and of its triples the counts of arcs (more)."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in range(b.num_rows):
+                one = b.slice(row, 1)
+                sizes = one.column(3).flatten().to_numpy()
+                ids, first, keys, _, rank = _unpacked_block(one.column(1)[0].as_py(), one.column(2)[0].as_py(), sizes)
+                hashes = np.empty(len(keys), dtype=np.uint64)
+                hashes[rank] = keys
+                train = np.repeat(one.column(4).flatten().to_numpy(zero_copy_only=False), sizes)
+                g = Grams(hashes[ids], first)
+                del ids
+                n2 = np.bincount(g.pair[train[g.at2]], minlength=len(g.pairs)).astype(np.uint64)
+                n3 = np.bincount(g.triple[train[g.at3]], minlength=len(g.follow)).astype(np.uint32)
+                edge, begin = _ranges(g.pairs, 48, parts), np.append([0], np.cumsum(g.fan))
+                asked = [k for k in range(parts) if edge[k] < edge[k + 1]]
+                pairs = [packed(*(x[edge[k] : edge[k + 1]] for x in (g.pairs, n2, g.fan.astype(np.uint64)))) for k in asked]
+                more = [packed(*(x[begin[edge[k]] : begin[edge[k + 1]]] for x in (g.follow, n3)), ascending=False) for k in asked]
+                del g
+                yield pa.RecordBatch.from_arrays([pa.array([one.column(0)[0].as_py()] * len(asked), pa.int64()), pa.array(asked, pa.int32()), pa.array(pairs, pa.binary()), pa.array(more, pa.binary())], names=["block", "part", "body", "more"])
+        give_back()
+
+    def answer(part: pa.Table) -> pa.Table:
+        held = [unpacked(x, 3) for x in part["body"].to_pylist()]
+        more = [unpacked(x, 2, np.uint32, ascending=False) for x in part["more"].to_pylist()]
+        pairs, pair = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+        n2 = np.bincount(pair, weights=np.concatenate([x[1] for x in held]), minlength=len(pairs)).astype(np.uint64)
+        context = np.repeat(pair, np.concatenate([x[2] for x in held]).astype(np.int64)).astype(np.uint64)
+        triples, triple = np.unique(context << np.uint64(32) | np.concatenate([x[0] for x in more]), return_inverse=True)
+        n3 = np.bincount(triple, weights=np.concatenate([x[1] for x in more]), minlength=len(triples)).astype(np.uint64)
+        n3[n3 < LEAST_ARC] = 0
+        under = (triples >> np.uint64(32)).astype(np.int64)
+        s, t = np.bincount(under, weights=n3, minlength=len(pairs)).astype(np.uint64), np.bincount(under[n3 > 0], minlength=len(pairs)).astype(np.uint64)
+        cut, cut3 = np.cumsum([0, *(len(x[0]) for x in held)]), np.cumsum([0, *(len(x[0]) for x in more)])
+        bodies = [packed(*(x[pair[a:b]] for x in (n2, s, t)), ascending=False) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        counts = [packed(n3[triple[a:b]], ascending=False) for a, b in zip(cut3[:-1], cut3[1:], strict=True)]
+        return pa.table({"block": part["block"], "part": part["part"], "body": pa.array(bodies, pa.binary()), "more": pa.array(counts, pa.binary())})
+
+    asked = blocks.select("block", "body", "words", "sizes", "train").mapInArrow(ask, "block bigint, part int, body binary, more binary")
+    return asked.groupBy("part").applyInArrow(answer, "block bigint, part int, body binary, more binary")
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
     """From (doc_id, text, train, held), per row: held_out, n_tokens, n_known, train_tokens, base_score, score."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs.select("doc_id", "text", *(F.coalesce(x, F.lit(False)).alias(x) for x in ("train", "held")))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = 1 + size // PART_BYTES
-    blocks = stored(blocks_of(docs, parts), "lm")
-    asked = blocks.filter("lid IS NOT NULL").select("block", "lid", "h", "n")
-    counts = stored(asked.groupBy("h").agg(F.sum("n").alias("c")).filter("c > 0"), "counts")
-    row = counts.agg(F.sum("c"), F.count("*")).first()
-    total, distinct = int(row[0] or 0), int(row[1])
-    unknown = float(np.log(DISCOUNT * distinct / total)) if total else 0.0
-    grams = stored(gram_table(blocks.filter("part IS NOT NULL")), "grams")
-    weights, fails = arc_weights(grams, counts, parts, total)
-    known = counts.join(fails, "h", "left")
-    told = asked.drop("n").join(known, "h", "left").select("block", "lid", "h", F.coalesce("c", F.lit(0)).alias("n"), F.coalesce("fail", F.lit(0.0)).alias("fail"))
-    told = told.select("*", F.lit(None).cast(id_type).alias("doc_id"), F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("binary").alias("body"), F.lit(None).cast("binary").alias("arcs"))
-    none = {"lid": "int", "h": "bigint", "n": "bigint", "fail": "double", "doc_id": id_type, "held": "boolean", "body": "binary"}
-    arcs = gram_answers(grams, weights).select("block", *(F.lit(None).cast(t).alias(x) for x, t in none.items()), F.col("body").alias("arcs"))
-    bodies = blocks.filter("lid IS NULL AND part IS NULL").withColumn("fail", F.lit(None).cast("double")).withColumn("arcs", F.lit(None).cast("binary"))
-    rows = told.union(bodies.select(*told.columns)).union(arcs.select(*told.columns))
+    parts = 1 + size // RANGE_BYTES
+    blocks = stored(blocks_of(docs), "lm")
+    words = stored(word_counts(blocks, 1 + parts // 16), "words")
+    row = words.agg(F.sum("n"), F.sum("v")).first()
+    total, distinct = int(row[0] or 0), int(row[1] or 0)
+    kinds = {"block": "bigint", "part": "int", "body": "binary", "more": "binary", "words": "binary", "sizes": "array<int>", "held": "array<boolean>", "doc_ids": f"array<{id_type}>"}
+
+    def shaped(df: DataFrame, kind: int) -> DataFrame:
+        return df.select(F.lit(kind).alias("kind"), *(F.col(x) if x in df.columns else F.lit(None).cast(t).alias(x) for x, t in kinds.items()))
+
+    rows = shaped(blocks, 0).union(shaped(words.drop("n", "v"), 1)).union(shaped(gram_counts(blocks, parts), 2))
 
     def run(block: pa.Table) -> pa.Table:
-        body = block.filter(pc.is_valid(block["body"])).select(["doc_id", "held", "body"])
-        words = block.filter(pc.is_valid(block["lid"])).select(["lid", "h", "n", "fail"])
-        held = [_unpacked_keys(x, 2) for x in block["arcs"].drop_null().to_pylist()]
-        keys, weight = (np.concatenate([np.zeros(0, np.uint64), *(x[k] for x in held)]) for k in range(2))
-        del held, block
-        order = np.argsort(keys)
-        keys, weight = keys[order], weight.view(np.float64)[order]
-        lid = words["lid"].to_numpy()
-        c, h, one = np.zeros(len(lid), np.int64), np.zeros(len(lid), np.uint64), np.zeros(len(lid))
-        c[lid], h[lid], one[lid] = words["n"].to_numpy(), words["h"].to_numpy().view(np.uint64), words["fail"].to_numpy()
+        block = block.sort_by([("kind", "ascending"), ("part", "ascending")])
+        kind, bodies = block["kind"].to_numpy(), block["body"].to_pylist()
+        sizes = block["sizes"][0].values.to_numpy()
+        ids, first, keys, _, rank = _unpacked_block(bodies[0], block["words"][0].as_py(), sizes)
+        answers = [unpacked(bodies[k], 1, ascending=False)[0] for k in np.flatnonzero(kind == 1).tolist()]
+        c, h = np.empty(len(keys)), np.empty(len(keys), dtype=np.uint64)
+        c[rank], h[rank] = np.concatenate(answers), keys
+        grams = np.flatnonzero(kind == 2).tolist()
+        counts = [unpacked(bodies[k], 3, ascending=False) for k in grams] or [[np.zeros(0, np.uint64)] * 3]
+        n2, s, t = (np.concatenate(x).astype(np.float64) for x in zip(*counts, strict=True))
+        n3 = np.concatenate([np.zeros(0, np.uint64), *(unpacked(x, 1, ascending=False)[0] for x in block["more"].to_pylist() if x is not None)]).astype(np.float64)
         base = np.log10((c + 1.0) / (total + distinct + 1.0))
+        logp = np.zeros(len(ids))
         if total:
-            one += np.where(c > 0, np.log(np.maximum(c - DISCOUNT, 0.5) / total), unknown)
-        out: dict[str, list] = {x: [] for x in ("n_tokens", "n_known", "base", "score")}
-        packs = body["body"].to_pylist()
-        for lo in range(0, len(packs), 256):
-            ids = [_unpacked(x) for x in packs[lo : lo + 256]]
-            first = np.append([0], np.cumsum([len(x) for x in ids]))
-            flat = np.concatenate(ids)
-            logp = one[flat]
-            if len(keys):
-                for own, _, at in _grams(h[flat], first):
-                    spot = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-                    logp[at] += np.where(keys[spot] == own, weight[spot], 0.0)
-            out["n_tokens"].append(np.diff(first))
-            out["n_known"].append(np.add.reduceat((c[flat] > 0).astype(np.int64), first[:-1]))
-            out["base"].append(np.add.reduceat(base[flat], first[:-1]))
-            out["score"].append(np.add.reduceat(logp, first[:-1]) / np.log(10))
-        merged = {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}
-        n = len(packs)
+            one = (c + FLOOR) / (total + FLOOR * (distinct + 1))
+            p, g = one[ids], Grams(h[ids], first)
+            p[g.at2] = (n2[g.pair] + PRIOR * p[g.at2]) / (c[ids[g.at2 - 1]] + PRIOR)
+            seen = np.maximum(n2[g.context], 1.0)
+            rest = (seen - s[g.context] + DISCOUNT * t[g.context]) / seen  # a pair never trained on has no arcs and leaves all
+            p[g.at3] = np.where(n3[g.triple] > 0, n3[g.triple] - DISCOUNT, 0.0) / seen + rest * p[g.at3]
+            logp = np.log10(p)
+        n = len(sizes)
         return pa.table(
             {
-                "doc_id": body["doc_id"], "held_out": body["held"],
-                "n_tokens": pa.array(merged["n_tokens"].astype(np.int64)), "n_known": pa.array(merged["n_known"].astype(np.int64)),
-                "train_tokens": pa.array(np.full(n, total, dtype=np.int64)), "base_score": pa.array(merged["base"].astype(float)), "score": pa.array(merged["score"].astype(float)),
+                "doc_id": block["doc_ids"][0].values, "held_out": block["held"][0].values,
+                "n_tokens": pa.array(sizes.astype(np.int64)), "n_known": pa.array(np.add.reduceat((c[ids] > 0).astype(np.int64), first[:-1])),
+                "train_tokens": pa.array(np.full(n, total, dtype=np.int64)), "base_score": pa.array(np.add.reduceat(base[ids], first[:-1])), "score": pa.array(np.add.reduceat(logp, first[:-1])),
             }
         )
 

@@ -129,7 +129,7 @@ def class_table(docs: DataFrame, n: int, num: int, den: int, parts: int) -> Data
             tokens, owner = tokens[order], owner[order]
             start = np.flatnonzero(np.append(tokens[:-1] != tokens[1:], True)) + 1
             tokens, counts = tokens[start - 1], np.diff(start, prepend=0)
-            yield rows(None, 1, chunk=[chunk], body=[packed(np.zeros(len(owner), np.uint32), owner)], counts=[packed(np.zeros(len(counts), np.uint32), counts.astype(np.uint32))], sids=[b"".join(names)], sizes=[np.array(sizes, dtype="<i8").tobytes()])
+            yield rows(None, 1, chunk=[chunk], body=[packed(owner, ascending=False)], counts=[packed(counts.astype(np.uint32), ascending=False)], sids=[b"".join(names)], sizes=[np.array(sizes, dtype="<i8").tobytes()])
             edge = np.searchsorted((tokens >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
             asked = [k for k in range(parts) if edge[k] < edge[k + 1]]
             bodies = [packed(tokens[edge[k] : edge[k + 1]], (counts[edge[k] : edge[k + 1]] > 1).astype(np.uint64)) for k in asked]
@@ -185,7 +185,7 @@ def wanted_classes(table: DataFrame, num: int, den: int) -> DataFrame:
         own = next(r for r in chunk.to_pylist() if r["part"] is None)
         answers = [r for r in chunk.to_pylist() if r["part"] is not None]
         shared = np.concatenate([np.unpackbits(np.frombuffer(r["body"], np.uint8), count=r["n"]) for r in answers]).astype(bool)
-        owner, counts = unpacked(own["body"], 2, np.uint32)[1], unpacked(own["counts"], 2, np.uint32)[1]
+        owner, counts = (unpacked(own[x], 1, np.uint32, ascending=False)[0] for x in ("body", "counts"))
         sizes = np.frombuffer(own["sizes"], dtype="<i8")
         met = np.bincount(owner[np.repeat(shared, counts)], minlength=len(sizes))
         good = met >= _agree(-(-num * sizes // den), num, den)  # the size of the smallest partner

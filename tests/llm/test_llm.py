@@ -336,31 +336,32 @@ def test_redaction(spark, hostile):
 # ------------------------------------------------------------- 7 language model
 
 
-def test_lm_score(spark, texts):
+@pytest.mark.parametrize("small", [False, True])
+def test_lm_score(spark, texts, monkeypatch, small):
+    if small:  # many blocks and ranges
+        monkeypatch.setattr(lm_score, "BLOCK_TOKENS", 2000)
+        monkeypatch.setattr(lm_score, "RANGE_BYTES", 4000)
     toks = {i: [*re.findall(GAP, lower(t)), None] for i, t in texts.items()}
     train = [i for i in toks if zlib.crc32(str(i).encode()) % 7 != 2]
     c = Counter(w for i in train for w in toks[i])
     n, v, d = sum(c.values()), len(c), lm_score.DISCOUNT
-    near = {w for w in c if c[w] >= max(2, n * lm_score.PAIR_SHARE)}
-    close = {w for w in near if c[w] >= n * lm_score.TRIPLE_SHARE}
     two, three = Counter(), Counter()
     for i in train:
         w = toks[i]
-        two.update((a, b) for a, b in zip(w, w[1:], strict=False) if a in near and b in near)
-        three.update(x for x in zip(w, w[1:], w[2:], strict=False) if set(x) <= close)
-    least = max(2, n * lm_score.ARC_SHARE)
-    two = {k: x for k, x in two.items() if x >= least}
-    three = {k: x for k, x in three.items() if x >= least and k[:2] in two}
-    by_one, by_two = defaultdict(list), defaultdict(list)
-    for (a, b), x in two.items():
-        by_one[a].append((b, x))
+        two.update(zip(w, w[1:], strict=False))
+        three.update(zip(w, w[1:], w[2:], strict=False))
+    arcs = defaultdict(dict)
     for (a, b, w), x in three.items():
-        by_two[a, b].append((w, x))
-    p1 = lambda w: (c[w] - d) / n if c[w] else d * v / n
-    fail1 = {a: (1 - sum((x - d) / c[a] for _, x in z)) / (1 - sum(p1(b) for b, _ in z)) for a, z in by_one.items()}
-    p2 = lambda w, a: (two[a, w] - d) / c[a] if (a, w) in two else fail1.get(a, 1) * p1(w)
-    fail2 = {k: (1 - sum((x - d) / two[k] for _, x in z)) / (1 - sum(p2(w, k[1]) for w, _ in z)) for k, z in by_two.items()}
-    p3 = lambda w, a, b: (three[a, b, w] - d) / two[a, b] if (a, b, w) in three else fail2.get((a, b), 1) * p2(w, b)
+        if x >= lm_score.LEAST_ARC:
+            arcs[a, b][w] = x
+    p1 = lambda w: (c[w] + lm_score.FLOOR) / (n + lm_score.FLOOR * (v + 1))
+    p2 = lambda w, a: (two[a, w] + lm_score.PRIOR * p1(w)) / (c[a] + lm_score.PRIOR)
+
+    def p3(w, a, b):
+        m, out = two[a, b], arcs.get((a, b), {})
+        rest = (m - sum(out.values()) + d * len(out)) / m if m else 1
+        return (out[w] - d if w in out else 0) / max(m, 1) + rest * p2(w, b)
+
     held = []
     for r in run(spark, "op7_lm_score"):
         w = toks[r["doc_id"]]
@@ -370,8 +371,8 @@ def test_lm_score(spark, texts):
         assert r["score"] == pytest.approx(sum(map(math.log10, p)), rel=1e-9)
         held += [r] if r["held_out"] else []
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
-    a = next(iter(by_one))
-    assert sum(p2(w, a) for w in c) + fail1[a] * d * v / n == pytest.approx(1)
+    a, b = next(iter(arcs))
+    assert sum(p3(w, a, b) for w in c) + p3("never read", a, b) == pytest.approx(1)
 
 
 def test_lm_hostile(hostile):
@@ -384,12 +385,16 @@ def test_lm_hostile(hostile):
 
 
 def test_lm_rare_words_have_arcs(spark):
-    rows = [(i, "so it goes " * 10_000) for i in range(8)] + [(i, "rare pair here") for i in range(8, 11)]
+    rows = [(i, "so it goes " * 10_000) for i in range(8)] + [(i, "rare pair here") for i in range(8, 11)] + [(11, "once only here")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("train", F.lit(True)).withColumn("held", F.lit(False))
     got = {r["doc_id"]: r for r in lm_score.score_texts(df).collect()}
-    n = 8 * 30_001 + 3 * 4
+    n = 8 * 30_001 + 4 * 4
+    one = lambda k: (k + 0.5) / (n + 0.5 * 10)
+    two = lambda k, c, w: (k + 10 * one(w)) / (c + 10)
     assert got[9]["train_tokens"] == n
-    assert got[9]["score"] == pytest.approx(math.log10(2.5 / n) + 3 * math.log10(2.5 / 3), rel=1e-9)
+    p = [one(3), two(3, 3, 3), 2.5 / 3 + 0.5 / 3 * two(3, 3, 4), 2.5 / 3 + 0.5 / 3 * two(4, 4, 12)]
+    assert got[9]["score"] == pytest.approx(sum(map(math.log10, p)), rel=1e-9)
+    assert got[9]["score"] > got[11]["score"] + 2
 
 
 # ------------------------------------------------------------- 8 decontamination
