@@ -1,19 +1,22 @@
 """Token-id files: an adaptive context-mixing range coder in independently reset, checksummed blocks.
 
 Per id, the last id seen after the same two ids and after the same one id are predicted; whether
-the better one hits is coded with a probability that mixes the orders' confidences in the logistic
-domain, with weights that learn; then the other one; an id that both miss is coded by the order-0
-model, nibble by nibble with adaptive distributions. All arithmetic is on integers, so any machine
-decodes what another wrote.
+the better one hits is coded with a probability that mixes, in the logistic domain and with weights
+that learn, what orders 1 and 2 make of their predictions and how often order 0 has seen the predicted
+id in the block; then the other one; an id that both miss is coded by the order-0 model, nibble by
+nibble with adaptive distributions. All arithmetic is on integers, so any machine decodes what another
+wrote.
 
 A shard is a range of documents in ascending order of ids; it consists of segments of whole
-documents, and a segment's ids are cut into blocks of ``BLOCK`` ids. Every block starts from a fresh
+documents, closed before they pass ``SEGMENT`` ids (a longer document is one by itself), and a
+segment's ids are cut into blocks of ``BLOCK`` ids. Every block starts from a fresh
 model and carries its CRC-32, so blocks are coded and decoded side by side, and damage is found and
 stays within one block. Files are Parquet tables with a row per segment, so that any store works.
 
 Defined results: null or empty text is its end id alone; null doc_ids come first; rows with the same
 doc_id stay in the order of their text's checksum; an empty table gives empty files and result;
-other columns are ignored.
+other columns are ignored. A tokenizer with ids of 65536 and more, or whose tokens cross white space,
+raises ValueError.
 """
 
 from __future__ import annotations
@@ -29,12 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoptide.llm.common import read_table, stored
+from stoptide.llm.common import pieces, read_table, stored, text_bytes
 
 END_ID = 2
 BLOCK, SEGMENT = 4096, 2_000_000
 MAGIC = b"TIDE1"
 SLOTS = 4096
+#: Bytes of text that are encoded at once.
+PIECE_BYTES = 1_000_000
 TOP, BOT = np.uint64(1 << 48), np.uint64(1 << 32)
 _W = np.uint64(16)
 
@@ -115,20 +120,20 @@ class _Model:
         self.guess = [np.zeros(lanes * SLOTS, dtype=np.int32) for _ in range(2)]  # orders 1 and 2: the id last seen
         self.trust = [np.zeros(lanes * SLOTS, dtype=np.int8) for _ in range(2)]  # and for how long, 0 to 7
         self.hit = np.full((lanes, 2, 8), 2048, dtype=np.int32)  # per order and trust: how often it is right
-        self.rare = np.full((lanes, 64), 1024, dtype=np.int32)  # order 0 of the hits: by the last six outcomes
+        self.seen = np.zeros(lanes * SLOTS, dtype=np.uint16)  # order 0: how often each id (by its low bits) came
         self.other = np.full((lanes, 8), 1024, dtype=np.int32)
         self.weight = np.full((lanes, 3), 24000, dtype=np.int32)
-        self.past = np.zeros(lanes, dtype=np.int64)
         start = (np.arange(16, dtype=np.int32) * 4096).astype(np.uint16)
         self.rows = [np.tile(start, (lanes * n, 1)) for n in (1, 16, 256, 4096)]
 
-    def code(self, coder: _Coder, k: int, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        """Codes one id in each of the first k lanes; one and two are the ids before."""
+    def code(self, coder: _Coder, t: int, k: int, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+        """Codes the t-th id in each of the first k lanes; one and two are the ids before."""
         lane = np.arange(k)
         slot = [lane * SLOTS + (one * 40503 >> 4) % SLOTS, lane * SLOTS + ((two * 60493 + one * 40503) >> 3) % SLOTS]
         guess, trust = [g[s] for g, s in zip(self.guess, slot, strict=True)], [t[s].astype(np.int64) for t, s in zip(self.trust, slot, strict=True)]
         best = np.where(trust[1] > 0, guess[1], guess[0])
-        inputs = [self.hit[lane, 0, trust[0]], self.hit[lane, 1, trust[1]], self.rare[lane, self.past[:k]]]
+        common = (self.seen[lane * SLOTS + (best & SLOTS - 1)].astype(np.int32) * 4096 + 2048) // (t + 2)
+        inputs = [self.hit[lane, 0, trust[0]], self.hit[lane, 1, trust[1]], np.minimum(common, 4095)]
         st = np.stack([STRETCH[x] for x in inputs], axis=1)
         st[:, 0] = np.where(guess[0] == best, st[:, 0], -st[:, 0])
         dot = np.clip((self.weight[:k] * st).sum(axis=1) >> 16, -2047, 2047)
@@ -138,8 +143,6 @@ class _Model:
         # learn: weights by the error, each order's rate by whether it was right
         error = (np.where(hit, 4096, 0) - p)[:, None]
         self.weight[:k] = np.clip(self.weight[:k] + (st * error >> 9), 0, 1 << 18)
-        self.rare[lane, self.past[:k]] += (np.where(hit, 4095, 0) - inputs[2]) >> 5
-        self.past[:k] = (self.past[:k] << 1 | hit) & 63
         second = np.flatnonzero(~hit & (trust[0] > 0) & (guess[0] != best))
         if len(second):
             p2 = np.clip(self.other[second, trust[0][second]], 16, 4080)
@@ -149,6 +152,7 @@ class _Model:
         miss = np.flatnonzero(out < 0)
         if len(miss):
             out[miss] = self._order0(coder, miss, None if ids is None else ids[miss])
+        self.seen[lane * SLOTS + (out & SLOTS - 1)] += 1
         for order in range(2):
             right = guess[order] == out
             self.hit[lane, order, trust[order]] += (np.where(right, 4095, 0) - inputs[order]) >> 5
@@ -172,6 +176,8 @@ class _Model:
 
 def encode_blocks(ids: np.ndarray) -> bytes:
     """Ids under 65536 as blocks: per block its count, its bytes, the CRC-32 of its ids, then its words."""
+    if len(ids) and not 0 <= ids.min() <= ids.max() < 65536:
+        raise ValueError("ids must be under 65536")
     n = -(-len(ids) // BLOCK)
     size = np.minimum(BLOCK, len(ids) - BLOCK * np.arange(n))
     padded = np.zeros(n * BLOCK, dtype=np.int64)
@@ -182,7 +188,7 @@ def encode_blocks(ids: np.ndarray) -> bytes:
     for t in range(int(size.max()) if n else 0):
         k = n if t < size[-1] else n - 1  # only the last block can be shorter
         one, two = grid[t - 1] if t else zero, grid[t - 2] if t > 1 else zero
-        model.code(coder, k, one[:k], two[:k], grid[t, :k])
+        model.code(coder, t, k, one[:k], two[:k], grid[t, :k])
     coder.finish()
     out = [MAGIC, struct.pack("<I", n)]
     for b in range(n):
@@ -212,7 +218,7 @@ def decode_blocks(data: bytes) -> np.ndarray:
     for t in range(int(size.max()) if n else 0):
         k = n if t < size[-1] else n - 1
         one, two = grid[t - 1] if t else zero, grid[t - 2] if t > 1 else zero
-        grid[t, :k] = model.code(coder, k, one[:k], two[:k], None)
+        grid[t, :k] = model.code(coder, t, k, one[:k], two[:k], None)
     out = [grid[: size[b], b] for b in range(n)]
     for b, x in enumerate(out):
         if zlib.crc32(x.astype("<u4").tobytes()) != crc[b]:
@@ -245,9 +251,17 @@ class Encoder:
     """
 
     MOST = 200_000
+    #: Parts whose ids must be those of the whole, whatever white space is between and around them.
+    PROBES = ("a", "The", "end.", "42", "don't", "é", "漢字", "x" * 30)
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        if max(self.tokenizer.get_vocab().values()) >= 65536:
+            raise ValueError(f"{path}: ids must be under 65536")
+        ids = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
+        for gap in (" ", "\t", "\n", "\x0b", "\x0c", "\r", "  \n"):
+            if ids(gap + gap.join(self.PROBES) + gap) != [y for x in self.PROBES for y in ids(x)]:
+                raise ValueError(f"{path}: its tokens cross white space")
         self.known: dict[str, int] = {}
         self.ids: list[np.ndarray] = []
 
@@ -279,9 +293,10 @@ class Encoder:
 FILE_SCHEMA = "shard int, seq int, first bigint, n_ids bigint, doc_ids array<{id}>, sizes array<int>, payload binary"
 
 
-def write_tokens(docs: DataFrame, path: str | None = None, name: str = "tokens") -> DataFrame:
+def write_tokens(docs: DataFrame, path: str | None = None, name: str = "tokens", segment_ids: int = SEGMENT, shards: int | None = None) -> DataFrame:
     """Encodes (doc_id, text) in ascending doc_id order and writes the files; returns them as a table."""
     path, id_type = path or default_tokenizer(), docs.schema["doc_id"].dataType.simpleString()
+    Encoder(path)  # raises here what would fail in a task
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -307,19 +322,30 @@ def write_tokens(docs: DataFrame, path: str | None = None, name: str = "tokens")
 
         for b in batches:
             kind = b.schema.field(0).type
-            for lo in range(0, b.num_rows, 1000):
-                part = b.slice(lo, 1000)
-                flat, size = encoder.encode(part.column(1))
-                ids.append(flat)
-                sizes.append(size)
-                names += part.column(0).to_pylist()
-                held += len(flat)
-                if held >= SEGMENT:
-                    yield segment()
+            _, at = text_bytes(b.column(1))
+            for i, j in pieces(b.num_rows, at, PIECE_BYTES):
+                flat, size = encoder.encode(b.column(1).slice(i, j - i))
+                own, ends = b.column(0).slice(i, j - i).to_pylist(), np.cumsum(size)
+                lo = 0
+                while lo < len(own):  # as many documents as the segment still holds
+                    begun = int(ends[lo] - size[lo])
+                    hi = int(np.searchsorted(ends, begun + segment_ids - held, side="right"))
+                    if hi <= lo and names:
+                        yield segment()
+                        continue
+                    hi = max(hi, lo + 1)
+                    ids.append(flat[begun : ends[hi - 1]])
+                    sizes.append(size[lo:hi])
+                    names += own[lo:hi]
+                    held += int(ends[hi - 1]) - begun
+                    lo = hi
         if names:
             yield segment()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    by_id = F.col("doc_id").asc_nulls_first()
+    rows = docs.select("doc_id", "text")
+    rows = rows.repartitionByRange(shards, by_id) if shards else rows.repartitionByRange(by_id)
+    ordered = rows.sortWithinPartitions(by_id, F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
     return stored(ordered.mapInArrow(run, FILE_SCHEMA.format(id=id_type)), name)
 
 

@@ -63,6 +63,28 @@ def test_token_files(spark, texts):
         start += len(ids)
 
 
+def test_token_shards_and_segments(spark, docs, texts):
+    tok = token_files._tokenizer(token_files.default_tokenizer())
+    files = token_files.write_tokens(docs, segment_ids=3000, shards=5)
+    shape = files.groupBy("shard").agg(F.count("*").alias("n"), F.max("n_ids").alias("most"), F.max(F.size("sizes")).alias("docs")).collect()
+    assert len(shape) > 3 and max(r["n"] for r in shape) > 3
+    assert files.filter("n_ids > 3000 AND size(sizes) > 1").count() == 0
+    start = 0
+    for r in sorted(token_files.read_tokens(files).collect(), key=lambda r: r["doc_id"]):
+        ids = [*tok.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 2]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        start += len(ids)
+
+
+def test_token_files_refuse(spark, docs):
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="white space"):
+        token_files.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    with pytest.raises(ValueError, match="65536"):
+        token_files.encode_blocks(np.array([1, 65536]))
+
+
 def test_token_blocks():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 4095, 4096, 4097):
