@@ -4,8 +4,9 @@ One filter holds all languages: every position has a bit per language, and the p
 n-gram, and-ed, name all languages that contain it. A language contains an n-gram if its share of
 the language's n-grams comes near the largest share among languages. Of a text, the n-grams found
 per language are counted, corrected for the filter's false positives (its fill to the power of the
-number of positions), and the largest count decides. The filter's size is a parameter, so what is
-sent to all tasks doesn't grow with the corpus; the counts behind it cover all training rows.
+number of positions), and the largest count decides. The filter is sized by what it holds, up to
+``MOST_POSITIONS``, so what is sent to all tasks is bounded; the counts behind it cover all training
+rows.
 
 Defined results: ``und`` with score 0 for null text or text without a letter, or if nothing was
 learned; a text of known letters but no known n-gram gets the commonest language with score 0; rows
@@ -22,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoptide.llm.common import crc_mod, mix, pieces, read_table, text_bytes
+from stoptide.llm.common import crc_mod, forget, mix, pieces, read_table, stored, text_bytes
 
-GRAM, HASHES, POSITIONS = 4, 3, 1 << 21
+GRAM, HASHES = 4, 3
+#: Positions of the filter: a power of two, eight to an n-gram of a language, within these bounds (2 and 64 MB).
+LEAST_POSITIONS, MOST_POSITIONS = 1 << 18, 1 << 23
 #: A language contains an n-gram seen this often in it, at this part of the largest share or more.
 LEAST_COUNT, LEAST_PART = 2, 0.25
 
@@ -110,17 +113,21 @@ class Filter:
         return out
 
 
-def fit_filter(train: DataFrame, size: int = POSITIONS) -> Filter | None:
+def fit_filter(train: DataFrame, size: int | None = None) -> Filter | None:
     """Learns from rows (lang, text) without nulls; None if there are none."""
-    counts = count_grams(train)
+    counts = stored(count_grams(train), "grams")
     sums = sorted((r["lang"], r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect())  # a row a language
     if not sums:
+        forget(counts)
         return None
     langs = [x for x, _ in sums]
     total, number = F.create_map(*(F.lit(y) for x in sums for y in x)), F.create_map(*(F.lit(y) for x in enumerate(langs) for y in x[::-1]))
     parts = counts.select("gram", "n", number[F.col("lang")].alias("k"), (F.col("n") / total[F.col("lang")]).alias("part"))
     best = parts.groupBy("gram").agg(F.max("part").alias("top"), F.collect_list(F.struct("k", "n", "part")).alias("all"))  # a struct a language
     member = best.select("gram", "top", F.explode("all").alias("a")).filter(f"a.n >= {LEAST_COUNT} AND a.part >= {LEAST_PART} * top").select("gram", F.col("a.k").alias("k"))
+    member = stored(member, "members")
+    forget(counts)
+    size = size or min(MOST_POSITIONS, max(LEAST_POSITIONS, 1 << (8 * member.count()).bit_length()))
     words = (len(langs) + 63) // 64
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,6 +139,7 @@ def fit_filter(train: DataFrame, size: int = POSITIONS) -> Filter | None:
 
     filled = member.mapInArrow(spread, "at bigint, word bigint, bit bigint").groupBy("at", "word").agg(F.bit_or("bit").alias("bits"))
     rows = filled.toPandas()  # size * words rows at most
+    forget(member)
     bits = np.zeros((words, size), dtype=np.uint64)
     bits[rows["word"].to_numpy(), rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return Filter(langs, bits, max(sums, key=lambda x: x[1])[0])

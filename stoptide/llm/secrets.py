@@ -62,7 +62,7 @@ MORE_RULES = (
     Rule("pypi", r"pypi-AgEIcHlwaS5vcmc[A-Za-z0-9_-]{50,}"),
     Rule("twilio", r"\bSK[0-9a-f]{32}\b"),
     Rule("telegram", r"\b[0-9]{8,10}:AA[A-Za-z0-9_-]{33}\b"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("private_key", r"-----BEGIN (?:RSA |DSA |EC |OPENSSH |PGP )?PRIVATE KEY(?: BLOCK)?-----"),
     Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@[A-Za-z0-9.-]+"),
     Rule("bearer", r"bearer\x20+[A-Za-z0-9._~+/-]{20,}=*", any_case=True),
@@ -292,7 +292,7 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]",
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret scan over the whole of ``documents``: counts, digest of the base spans, and all spans."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    base = len(BASE_RULES)
+    base, id_type = len(BASE_RULES), docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = scanner()
@@ -307,4 +307,4 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
             cols = [b.column(0), *counts, digest, pa.array([said(x) for x in found], pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string")
+    return docs.mapInArrow(run, f"doc_id {id_type}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string")

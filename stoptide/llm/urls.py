@@ -1,7 +1,7 @@
 """URL filters: host and path rules, and gradient-boosted trees on lexical features (DataFrame functions only).
 
-Urls that a rule judges are the labelled ones. From a bounded, hash-ordered sample of them
-(``TRAIN_ROWS``) trees are grown level by level: one aggregation per level sums gradients by node,
+Urls that a rule judges are the labelled ones, unless labels are given. From a bounded, hash-ordered
+sample of them (``TRAIN_ROWS``) trees are grown level by level: one aggregation per level sums gradients by node,
 feature and bin, and only those sums (nodes x features x bins) reach the driver. The finished trees
 are CASE expressions, so judging every url is one projection without a join or a shuffle.
 
@@ -169,7 +169,11 @@ def tree_value(tree: list | float, x: str = "_x") -> Column:
 
 def fit_trees(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[float], float, list]:
     """Suffix rates, bias and trees, from at most ``train_rows`` rows of _x, _slot, _y (1: block) and _key."""
-    sample = labelled.orderBy(F.xxhash64("_key"), "_key").limit(train_rows)
+    n = labelled.count()
+    if n > train_rows:  # a hash threshold first, so that tasks send few more rows than are wanted
+        least = int((1 - 1.1 * train_rows / n) * 2.0**64) - (1 << 63)
+        labelled = labelled.filter(F.xxhash64("_key") >= max(least, -(1 << 63)))
+    sample = labelled.orderBy(F.xxhash64("_key").desc(), "_key").limit(train_rows)
     sample = stored(sample.select("_x", "_slot", F.col("_y").cast("double").alias("_y"), (F.xxhash64("_key") % 2 == 0).alias("_even")), "urls")
     rates = _rates(sample)
     train = sample.filter(~F.col("_even")).select(_all_features(rates).alias("_x"), "_y")
@@ -192,10 +196,17 @@ def fit_trees(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[f
     return rates, bias, trees
 
 
-def judge_urls(pages: DataFrame, id_col: str = "page_id", url: str = "url", train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """Per row: page_id, host, path, rule, verdict and p_block, the trees' probability."""
+def judge_urls(pages: DataFrame, id_col: str = "page_id", url: str = "url", train_rows: int = TRAIN_ROWS, labels: DataFrame | None = None) -> DataFrame:
+    """Per row: page_id, host, path, rule, verdict and p_block, the trees' probability.
+
+    ``labels`` (url, block) are the labelled urls; without them, those of ``pages`` that a rule judges.
+    """
     d = with_features(pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("_url")), "_url")
-    labelled = d.filter("_rule IS NOT NULL").select("_x", "_slot", F.expr("_rule.verdict = 'block'").cast("int").alias("_y"), F.col("_url").alias("_key"))
+    if labels is None:
+        labelled = d.filter("_rule IS NOT NULL").select("_x", "_slot", F.expr("_rule.verdict = 'block'").cast("int").alias("_y"), F.col("_url").alias("_key"))
+    else:
+        known = labels.filter("block IS NOT NULL").select(F.col("url").alias("_url"), F.col("block").cast("int").alias("_y"))
+        labelled = with_features(known, "_url").select("_x", "_slot", "_y", F.col("_url").alias("_key"))
     rates, bias, trees = fit_trees(labelled, train_rows)
     score = sum((tree_value(t, "_all") for t in trees), F.lit(bias))
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-score))
