@@ -47,6 +47,8 @@ CHUNK_TOKENS, RANGE_BYTES = 1 << 20, 32_000_000
 BLOCK, SLICE = 1024, 4096
 #: Rows of keys that are sent to all tasks, at most (about 100 MB).
 BROADCAST_KEYS = 1_000_000
+#: Copies of a class from which on its rows are joined without a shuffle.
+HOT_COPIES = 1000
 #: Parts into which a set's tokens are counted; the counts bound from above what two sets share.
 PARTS = 64
 
@@ -291,28 +293,28 @@ def join_classes(sets: DataFrame, num: int, den: int) -> DataFrame:
             own = own.join(roots, post.nid == roots.node, "left").select(*post.columns, F.coalesce("root", "nid").alias("comp"))
         else:
             own = own.withColumn("comp", F.col("nid"))
-        mixed = own.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
-        own = own.join(mixed, "token")
-        extra = []
-        if not leaders:
-            own, extra = own.join(sets.select("nid", "spread"), "nid"), ["spread"]
+        extra, cols = ([] if leaders else ["spread"]), ("nid", "pos", "size", "comp")
         if leaders:
-            lead = own.groupBy("token", F.pmod(F.xxhash64("nid"), F.lit(leaders)).alias("k")).agg(F.min(F.struct("nid", "pos", "size", "comp")).alias("l"))
-            lead = lead.select("token", "l.*")
+            # one row a token and task travels; the stored leaders let a hot token's join be split
+            best = own.groupBy("token", F.pmod(F.xxhash64("nid"), F.lit(leaders)).alias("k")).agg(F.min(F.struct(*cols)).alias("l"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            best = best.groupBy("token").agg(F.collect_list("l").alias("ls"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi")
+            lead = stored(best.select("token", F.explode("ls").alias("l")).select("token", "l.*"), "leaders")
         else:
-            lead = own
-        lead = lead.select(F.col("token").alias("l_token"), *(F.col(x).alias(f"l_{x}") for x in ("nid", "pos", "size", "comp", *extra)))
+            mixed = own.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
+            lead = own = stored(own.join(mixed, "token").join(sets.select("nid", "spread"), "nid"), "mixed")
+        lead_rows = lead.select(F.col("token").alias("l_token"), *(F.col(x).alias(f"l_{x}") for x in (*cols, *extra)))
         reach = f"least(size - pos, l_size - l_pos) * {num + den} >= {num} * (size + l_size)"
         order = "nid != l_nid" if leaders else "nid > l_nid"
         close = f"least(size, l_size) * {den} >= {num} * greatest(size, l_size)"
         if extra:  # a part's counts differ by no more than the tokens that only one of the sets holds
             apart = "aggregate(zip_with(spread, l_spread, (x, y) -> abs(x - y)), 0L, (s, v) -> s + v)"
             reach += f" AND (size + l_size - {apart}) * {num + den} >= {2 * num} * (size + l_size)"
-        met = own.join(lead, F.expr(f"token = l_token AND {order} AND comp != l_comp AND {close} AND {reach}"))
+        met = own.join(lead_rows, F.expr(f"token = l_token AND {order} AND comp != l_comp AND {close} AND {reach}"))
         pairs = met.select(F.least("nid", "l_nid").alias("a"), F.greatest("nid", "l_nid").alias("b")).distinct()
         pairs = stored(pairs, "pairs")
         scratch.append(stored(_verified(pairs, sides, num, den), "new"))
         forget(pairs)
+        forget(lead)
         links = scratch[-1] if links is None else links.union(scratch[-1])
         if roots is not None:
             forget(roots)
@@ -400,10 +402,21 @@ def components_of(docs: DataFrame, n: int, num: int, den: int, links: bool) -> D
         counted = count_links(joined.select("nid", "root", "copies").join(sets.select("nid", "size", "tokens"), "nid"), num, den)
         named, more = named.join(counted, "nid"), ["links"]
     named = classes.join(named.drop("nid"), "sid", "left").select("sid", F.coalesce("component", "least").alias("component"), "copies", *more)
-    out = rows.select("key", F.col("size").alias("n_shingles"), "sid").join(named, "sid", "left")
+    named = stored(named, "named")
+    # a class of many copies would be one task's rows; there are few such classes, so they go to all tasks
+    hot = named.filter(f"copies > {HOT_COPIES}")
+    few = hot.count() <= BROADCAST_KEYS
+    own = rows.select("key", F.col("size").alias("n_shingles"), "sid")
+    if few:
+        tagged = own.join(F.broadcast(hot), "sid", "left")
+        out = tagged.filter("component IS NOT NULL")
+        rest = tagged.filter("component IS NULL").select(*own.columns)
+        out = out.unionByName(rest.join(named.filter(f"copies <= {HOT_COPIES}"), "sid", "left").select(*out.columns))
+    else:
+        out = own.join(named, "sid", "left")
     counts = [(F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links")] if links else []
     out = stored(out.select("key", "n_shingles", F.coalesce("component", "key").alias("component"), *counts), "components")
-    for x in (rows, sets, joined, roots, *([counted] if links else [])):
+    for x in (rows, sets, joined, roots, named, *([counted] if links else [])):
         forget(x)
     return out
 

@@ -155,6 +155,7 @@ def test_ngram_join_is_whole(spark, n, num, den, monkeypatch):
     monkeypatch.setattr(ngram_join, "RANGE_BYTES", 300_000)
     monkeypatch.setattr(ngram_join, "BLOCK", 2)
     monkeypatch.setattr(ngram_join, "SLICE", 50)
+    monkeypatch.setattr(ngram_join, "HOT_COPIES", 2)
     docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
     want = components([tuple(r) for r in docs.collect()], n, num, den)
     assert {r["doc_id"]: tuple(r)[1:] for r in ngram_join.ngram_components(docs, n, num, den).collect()} == want
