@@ -90,6 +90,9 @@ class Spark:
     def double(self, x: str) -> str:
         return f"cast({x} AS double)"
 
+    def same(self, a: str, b: str) -> str:
+        return f"{a} <=> {b}"
+
 
 class Duck(Spark):
     """The oracle's dialect."""
@@ -162,5 +165,8 @@ class Duck(Spark):
     def pad2(self, x):
         return f"lpad(cast({x} AS varchar), 2, '0')"
 
+    def same(self, a, b):
+        return f"{a} IS NOT DISTINCT FROM {b}"
+
 
 SPARK, DUCK = Spark(), Duck()

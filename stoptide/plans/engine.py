@@ -1,4 +1,8 @@
-"""Turns a query stated over relations into a Spark DataFrame and into the oracle's text."""
+"""Turns a query stated over relations into a Spark DataFrame and into the oracle's text.
+
+A query may state its oracle by itself (``oracle``), and a relation may have a text for each engine;
+then Spark's text is the one that scales and the oracle's the plain definition.
+"""
 
 from __future__ import annotations
 
@@ -46,13 +50,19 @@ def oracle(text: str) -> str:
     return f"WITH {head}\n{plain(text)}" if head else plain(text)
 
 
-def stated(f: Stated) -> Stated:
-    """Registers a query under its function's name."""
+def stated(f: Stated | None = None, *, plainly: Stated | None = None) -> Stated:
+    """Registers a query under its function's name; ``plainly`` is the oracle's own statement of it."""
+    if f is None:
+        return lambda g: stated(g, plainly=plainly)
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")  # local times are worked out from epochs
-        return frame(spark, sf_dir, f(SPARK))
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # local times are worked out from epochs; the zone is bound here
+        try:
+            return frame(spark, sf_dir, f(SPARK))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
     build.__doc__ = f.__doc__
-    CATALOG[f.__name__] = Query(build, oracle(f(DUCK)))
+    CATALOG[f.__name__] = Query(build, oracle((plainly or f)(DUCK)))
     return f

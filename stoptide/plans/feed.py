@@ -65,13 +65,19 @@ def trip_last_appearance(d: Spark) -> str:
     return f"SELECT trip_id, min(header_s) AS first_seen, max(header_s) AS last_seen, {d.latest('trip_relationship', 'header_s')} AS last_relationship FROM (SELECT trip_id, header_s, min(trip_relationship) AS trip_relationship FROM {{feed}} GROUP BY trip_id, header_s) x GROUP BY trip_id"
 
 
-LAST = "(SELECT *, row_number() OVER (PARTITION BY trip_id, stop_sequence ORDER BY header_s DESC, snapshot_file DESC) AS rn FROM {feed}) z"
+LAST = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trip_id, stop_sequence ORDER BY header_s DESC, snapshot_file DESC) AS rn FROM {feed}) r WHERE rn = 1) z"
+#: A maximum combines before the shuffle, so a hot key sends one row a task.
+LAST_ROW = "(SELECT trip_id, stop_sequence, t.* FROM (SELECT trip_id, stop_sequence, max(struct(header_s, snapshot_file, stop_relationship, uncertainty_present, uncertainty, held_s)) AS t FROM {feed} GROUP BY trip_id, stop_sequence) r) z"
 
 
-@stated
+def _last_fields(rows: str) -> str:
+    return f"SELECT trip_id, stop_sequence, header_s AS last_seen, stop_relationship, CASE WHEN uncertainty_present THEN uncertainty END AS uncertainty, held_s, CASE WHEN held_s IS NULL THEN NULL ELSE uncertainty_present AND uncertainty = 0 END AS marker FROM {rows}"
+
+
+@stated(plainly=lambda d: _last_fields(LAST))
 def stop_last_appearance(d: Spark) -> str:
     """All fields of the latest row of each trip and stop; a held value only where it is present."""
-    return f"SELECT trip_id, stop_sequence, header_s AS last_seen, stop_relationship, CASE WHEN uncertainty_present THEN uncertainty END AS uncertainty, held_s, CASE WHEN held_s IS NULL THEN NULL ELSE uncertainty_present AND uncertainty = 0 END AS marker FROM {LAST} WHERE rn = 1"
+    return _last_fields(LAST_ROW)
 
 
 @stated
@@ -117,10 +123,30 @@ def feed_gaps(d: Spark) -> str:
     return "SELECT service_date, gap_start_s, gap_end_s, gap_s, kind FROM {gaps}"
 
 
-@stated
+def _inside(key: str, spans: str) -> str:
+    return f"SELECT s.{key}, EXISTS (SELECT 1 FROM {{gaps}} g WHERE g.gap_start_s <= s.lo AND g.gap_end_s >= s.hi) AS in_outage FROM ({spans}) s"
+
+
+def _inside_by_day(key: str, spans: str) -> str:
+    """Outages stand under each day they touch and never overlap, so a span's first day finds the only one that can hold it."""
+    days = "(SELECT gap_start_s, gap_end_s, explode(sequence(gap_start_s div 86400, gap_end_s div 86400)) AS day_ FROM {gaps}) g"
+    return f"SELECT s.{key}, g.day_ IS NOT NULL AS in_outage FROM ({spans}) s LEFT JOIN {days} ON s.lo div 86400 = g.day_ AND g.gap_start_s <= s.lo AND g.gap_end_s >= s.hi"
+
+
+ROW_SPANS = "SELECT snapshot_file, header_s AS lo, header_s + 300 AS hi FROM {feed}"
+TRIP_SPANS = "SELECT trip_id, min(held_s) AS lo, min(held_s) + 1200 AS hi FROM {feed} GROUP BY trip_id"
+
+
+@stated(plainly=lambda d: _inside("snapshot_file", ROW_SPANS))
 def outage_flag(d: Spark) -> str:
-    """Whether a span lies inside an outage."""
-    return "SELECT f.snapshot_file, EXISTS (SELECT 1 FROM {gaps} g WHERE g.gap_start_s <= f.header_s AND g.gap_end_s >= f.header_s + 300) AS in_outage FROM {feed} f WHERE f.snapshot_file % 5 = 0"
+    """Whether the five minutes after a row lie inside an outage."""
+    return _inside_by_day("snapshot_file", ROW_SPANS)
+
+
+@stated(plainly=lambda d: _inside("trip_id", TRIP_SPANS))
+def trip_outage_flag(d: Spark) -> str:
+    """Whether a trip's span lies inside an outage."""
+    return _inside_by_day("trip_id", TRIP_SPANS)
 
 
 @stated

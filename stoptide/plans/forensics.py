@@ -16,14 +16,64 @@ def value_change_log(d: Spark) -> str:
     return f"SELECT trip_id, stop_sequence, header_s, snapshot_file, held_s, before_s FROM {CHANGED} WHERE changed"
 
 
-@stated
-def held_value_summary(d: Spark) -> str:
-    """Per trip and stop: when the clock first passed the held value, the value then, changes after, and the drift."""
-    crossed = f"(SELECT trip_id, stop_sequence, min(header_s) FILTER (WHERE header_s >= held_s) AS t_cross, {m.count_if('changed')} AS n_changes, max(header_s) FILTER (WHERE changed) AS last_change, {d.latest('held_s', 'header_s * 100000 + snapshot_file')} AS last_value FROM {CHANGED} GROUP BY trip_id, stop_sequence) k"
+def _held(d: Spark) -> str:
+    """The definition, relation by relation: crossing, value at the crossing, changes after it, the trip's last row."""
+    return f"""
+    SELECT k.trip_id, k.stop_sequence, k.t_cross, k.n_changes, k.last_change, k.held_value, k.marked, a.value_at_cross, k.held_value - a.value_at_cross AS drift, b.changes_after, k.held_ts = l.last_ts AS is_trip_removal
+    FROM (SELECT trip_id, stop_sequence, min(header_s) FILTER (WHERE header_s >= held_s) AS t_cross, {m.count_if('changed')} AS n_changes, max(header_s) FILTER (WHERE changed) AS last_change,
+            max(header_s) AS held_ts, {d.latest('held_s', 'header_s * 100000 + snapshot_file')} AS held_value, {d.latest('uncertainty_present', 'header_s * 100000 + snapshot_file')} AS marked FROM {CHANGED} GROUP BY trip_id, stop_sequence) k
+    LEFT JOIN (SELECT trip_id, stop_sequence, header_s, min(held_s) AS value_at_cross FROM {CHANGED} GROUP BY trip_id, stop_sequence, header_s) a ON a.trip_id = k.trip_id AND a.stop_sequence = k.stop_sequence AND a.header_s = k.t_cross
+    LEFT JOIN (SELECT s.trip_id, s.stop_sequence, {m.count_if('h.changed AND h.header_s > s.t_cross')} AS changes_after
+               FROM (SELECT trip_id, stop_sequence, min(header_s) AS t_cross FROM {CHANGED} WHERE header_s >= held_s GROUP BY trip_id, stop_sequence) s
+               JOIN {CHANGED.removesuffix(' c')} h ON h.trip_id = s.trip_id AND h.stop_sequence = s.stop_sequence GROUP BY s.trip_id, s.stop_sequence) b ON b.trip_id = k.trip_id AND b.stop_sequence = k.stop_sequence
+    JOIN (SELECT trip_id, max(header_s) AS last_ts FROM {CHANGED} GROUP BY trip_id) l ON l.trip_id = k.trip_id"""
+
+
+def _held_in_one_pass(d: Spark) -> str:
+    """The same from windows of one shuffle by trip: by stop for the crossing, over the trip for its last row."""
     return f"""
-    SELECT k.trip_id, k.stop_sequence, k.t_cross, k.n_changes, k.last_change, k.last_value, min(v.held_s) AS value_at_cross, k.last_value - min(v.held_s) AS drift, {m.count_if('v.header_s > k.t_cross AND v.changed')} AS rows_after
-    FROM {crossed} LEFT JOIN (SELECT trip_id, stop_sequence, header_s, held_s, changed FROM {CHANGED}) v ON k.trip_id = v.trip_id AND k.stop_sequence = v.stop_sequence AND v.header_s = k.t_cross
-    GROUP BY k.trip_id, k.stop_sequence, k.t_cross, k.n_changes, k.last_change, k.last_value"""
+    SELECT trip_id, stop_sequence, max(t_cross) AS t_cross, {m.count_if('changed')} AS n_changes, max(header_s) FILTER (WHERE changed) AS last_change,
+        max(struct(header_s, snapshot_file, held_s)).held_s AS held_value, max(struct(header_s, snapshot_file, uncertainty_present)).uncertainty_present AS marked,
+        min(held_s) FILTER (WHERE header_s = t_cross) AS value_at_cross, max(struct(header_s, snapshot_file, held_s)).held_s - min(held_s) FILTER (WHERE header_s = t_cross) AS drift,
+        CASE WHEN max(t_cross) IS NOT NULL THEN {m.count_if('changed AND header_s > t_cross')} END AS changes_after, max(header_s) = max(last_ts) AS is_trip_removal
+    FROM (SELECT *, min(CASE WHEN header_s >= held_s THEN header_s END) OVER (PARTITION BY trip_id, stop_sequence) AS t_cross, max(header_s) OVER (PARTITION BY trip_id) AS last_ts FROM {CHANGED}) h
+    GROUP BY trip_id, stop_sequence"""
+
+
+@stated(plainly=_held)
+def held_value_summary(d: Spark) -> str:
+    """Per trip and stop: when the clock first passed the held value, the value then, changes after, the drift, and whether the stop left with its trip."""
+    return _held_in_one_pass(d)
+
+
+#: Quantiles of a check's figures, in percent.
+QUANTILES = (1, 5, 25, 50, 75, 95, 99)
+
+
+def _drift_by(d: Spark, held: str) -> str:
+    qs = ", ".join(f"{d.quantile('drift', p / 100, 'drift IS NOT NULL')} AS drift_p{p}" for p in QUANTILES)
+    within = ", ".join(f"{m.share(m.count_if(f'abs(drift) <= {t}'), m.count_if('drift IS NOT NULL'))} AS within_{t}" for t in (15, 30, 60))
+    figures = f"count(*) AS n, {m.count_if('t_cross IS NOT NULL')} AS n_cross, {m.count_if('changes_after = 0')} AS n_frozen, {qs}, {within}, {d.quantile('last_change - t_cross', 0.5, 'last_change IS NOT NULL AND t_cross IS NOT NULL')} AS change_after_cross_p50"
+    kinds = {"all": "'overall'", "leave kind": "CASE WHEN is_trip_removal THEN 'trip_removal' ELSE 'mid_route_drop' END", "marker": "CASE WHEN marked THEN 'present' ELSE 'absent' END"}
+    return " UNION ALL ".join(f"SELECT '{k}' AS grouping_, {e} AS group_, {figures} FROM ({held}) h GROUP BY {e}" for k, e in kinds.items())
+
+
+@stated(plainly=lambda d: _drift_by(d, _held(d)))
+def held_check_by_kind(d: Spark) -> str:
+    """Frozen or drifting: the held values' figures overall, by how the stop left, and by marker."""
+    return _drift_by(d, _held_in_one_pass(d))
+
+
+def _missing_marker(held: str) -> str:
+    where = "CASE WHEN stop_sequence = 5 THEN 'final' WHEN stop_sequence = 1 THEN 'first' ELSE 'intermediate' END"
+    leave = "CASE WHEN is_trip_removal THEN 'trip_removal' ELSE 'clean_drop' END"
+    return f"SELECT {where} AS position, {leave} AS leave_kind, count(*) AS n FROM ({held}) h WHERE NOT marked GROUP BY {where}, {leave}"
+
+
+@stated(plainly=lambda d: _missing_marker(_held(d)))
+def missing_marker_positions(d: Spark) -> str:
+    """Held values without a marker, by the stop's position and how it left."""
+    return _missing_marker(_held_in_one_pass(d))
 
 
 @stated
@@ -54,19 +104,20 @@ def offset_percentiles(d: Spark) -> str:
 def cadence_stats(d: Spark) -> str:
     """Quantiles of the time between snapshots and how many exceed 30, 60 and 300 seconds."""
     qs = ", ".join(f"{d.quantile('gap_s', p, 'gap_s IS NOT NULL')} AS p{int(p * 100)}" for p in (0.5, 0.95, 0.99))
-    return f"SELECT {qs}, max(gap_s) AS max_s, {m.count_if('gap_s > 30')} AS over_30, {m.count_if('gap_s > 60')} AS over_60, {m.count_if('gap_s > 300')} AS over_300 FROM (SELECT header_s - lag(header_s) OVER (ORDER BY header_s) AS gap_s FROM {{snapshots}}) x"
+    return f"SELECT {qs}, max(gap_s) AS max_s, {m.count_if('gap_s > 30')} AS over_30, {m.count_if('gap_s > 60')} AS over_60, {m.count_if('gap_s > 300')} AS over_300 FROM (SELECT header_s - before_s AS gap_s FROM {{steps}}) x"
 
 
 @stated
 def cadence_top20(d: Spark) -> str:
     """The twenty longest times between snapshots."""
-    return "SELECT header_s, gap_s FROM (SELECT header_s, header_s - lag(header_s) OVER (ORDER BY header_s) AS gap_s FROM {snapshots}) x WHERE gap_s IS NOT NULL ORDER BY gap_s DESC, header_s ASC LIMIT 20"
+    return "SELECT header_s, gap_s FROM (SELECT header_s, header_s - before_s AS gap_s FROM {steps}) x WHERE gap_s IS NOT NULL ORDER BY gap_s DESC, header_s ASC LIMIT 20"
 
 
 @stated
 def field_population(d: Spark) -> str:
     """How many rows have each field, and the relationships' counts."""
-    return f"SELECT count(*) AS n, {m.count_if('uncertainty_present')} AS with_uncertainty, {m.count_if('held_s IS NOT NULL')} AS with_time, {m.count_if(chr(115) + 'top_relationship = ' + chr(39) + 'SKIPPED' + chr(39))} AS skipped, {m.count_if(chr(116) + 'rip_relationship = ' + chr(39) + 'CANCELED' + chr(39))} AS canceled FROM {{feed}}"
+    skipped, canceled = "stop_relationship = 'SKIPPED'", "trip_relationship = 'CANCELED'"
+    return f"SELECT count(*) AS n, {m.count_if('uncertainty_present')} AS with_uncertainty, {m.count_if('held_s IS NOT NULL')} AS with_time, {m.count_if(skipped)} AS skipped, {m.count_if(canceled)} AS canceled FROM {{feed}}"
 
 
 @stated
@@ -142,14 +193,16 @@ def prediction_fallback(d: Spark) -> str:
     return f"SELECT snapshot_file, {value} AS prediction_s, {label} AS source FROM {{feed}}"
 
 
-@stated
+@stated(plainly=lambda d: "SELECT f.snapshot_file, f.held_s, s.header_s AS next_s FROM {feed} f ASOF LEFT JOIN {snapshots} s ON f.held_s < s.header_s")
 def asof_next_snapshot(d: Spark) -> str:
-    """The first snapshot strictly after each held value, in one ordered pass over values and snapshots."""
+    """The first snapshot strictly after each held value: a running minimum backwards within days, else the next day's first."""
     return """
-    SELECT snapshot_file, t AS held_s, next_s FROM (SELECT snapshot_file, t, is_snapshot,
-            min(CASE WHEN is_snapshot = 1 THEN t END) OVER (PARTITION BY day_ ORDER BY t, is_snapshot DESC ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_s
-        FROM (SELECT snapshot_file, held_s AS t, 0 AS is_snapshot, start_date AS day_ FROM {feed}
-              UNION ALL SELECT NULL, header_s, 1, start_date FROM (SELECT DISTINCT header_s, start_date FROM {feed}) s) u) x WHERE is_snapshot = 0"""
+    SELECT x.snapshot_file, x.t AS held_s, coalesce(x.next_s, e.after_lo) AS next_s
+    FROM (SELECT snapshot_file, t, is_snapshot, day_, min(CASE WHEN is_snapshot = 1 THEN t END) OVER (PARTITION BY day_ ORDER BY t DESC, is_snapshot ASC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS next_s
+          FROM (SELECT snapshot_file, held_s AS t, 0 AS is_snapshot, held_s div 86400 AS day_ FROM {feed} UNION ALL SELECT NULL, header_s, 1, header_s div 86400 FROM {snapshots}) u) x
+    JOIN (SELECT day_, min(lo) OVER (ORDER BY day_ DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS after_lo
+          FROM (SELECT coalesce(a.day_, b.day_) AS day_, b.lo FROM (SELECT DISTINCT held_s div 86400 AS day_ FROM {feed}) a FULL OUTER JOIN {day_edges} b ON a.day_ = b.day_) z) e ON x.day_ = e.day_
+    WHERE x.is_snapshot = 0"""
 
 
 @stated
@@ -201,15 +254,43 @@ def passage_visits(d: Spark) -> str:
     return f"SELECT vehicle_id, stop, cast(run AS bigint) AS run, start_s, end_s, n, row_number() OVER (PARTITION BY vehicle_id, stop ORDER BY abs(start_s - {REFERENCE_S}), start_s) = 1 AS nearest FROM ({_visits(d)}) v"
 
 
-@stated
-def passage_estimate_offsets(d: Spark) -> str:
-    """The passage: last ping inside and first outside after, their middle, and its offset from the reference."""
+def _passages(d: Spark) -> str:
     near = f"(SELECT *, row_number() OVER (PARTITION BY vehicle_id, stop ORDER BY abs(start_s - {REFERENCE_S}), start_s) AS rn FROM ({_visits(d)}) v) n"
     return f"""
     SELECT n.vehicle_id, n.stop, n.end_s AS last_in, min(p.header_s) AS first_out, min(p.header_s) - n.end_s AS width_s, {d.double('n.end_s + min(p.header_s)')} / 2 - {REFERENCE_S} AS offset_s
     FROM {near} LEFT JOIN {{pings}} p ON p.vehicle_id = n.vehicle_id AND p.stop = n.stop AND p.header_s > n.end_s WHERE n.rn = 1 GROUP BY n.vehicle_id, n.stop, n.end_s"""
 
 
+@stated(plainly=_passages)
+def passage_estimate_offsets(d: Spark) -> str:
+    """The passage: last ping inside and first outside after, their middle, and its offset from the reference."""
+    near = f"(SELECT vehicle_id, stop, min(struct(abs(start_s - {REFERENCE_S}), start_s, end_s)).end_s AS end_s FROM ({_visits(d)}) v GROUP BY vehicle_id, stop) n"
+    times = "(SELECT vehicle_id, stop, header_s, lead(header_s) OVER (PARTITION BY vehicle_id, stop ORDER BY header_s) AS next_s FROM (SELECT DISTINCT vehicle_id, stop, header_s FROM {pings}) t) p"
+    return f"""
+    SELECT n.vehicle_id, n.stop, n.end_s AS last_in, p.next_s AS first_out, p.next_s - n.end_s AS width_s, {d.double('n.end_s + p.next_s')} / 2 - {REFERENCE_S} AS offset_s
+    FROM {near} JOIN {times} ON p.vehicle_id = n.vehicle_id AND p.stop = n.stop AND p.header_s = n.end_s"""
+
+
+def _by_radius(d: Spark) -> str:
+    return " UNION ALL ".join(f"SELECT {r} AS radius_m, vehicle_id, stop, count(*) AS visits, cast(sum(n) AS bigint) AS pings, min(start_s) AS first_in, max(end_s) AS last_in FROM ({_visits(d, r)}) v GROUP BY vehicle_id, stop" for r in RADII)
+
+
+#: The radii of the passage studies, in metres.
+RADII = (25, 50, 100)
+
+
+@stated(plainly=_by_radius)
+def passages_by_radius(d: Spark) -> str:
+    """Visits within 25, 50 and 100 m per vehicle and stop, all radii in one pass over ordered pings."""
+    by = "PARTITION BY vehicle_id, stop, radius_m ORDER BY header_s, event_id"
+    return f"""
+    SELECT radius_m, vehicle_id, stop, count(DISTINCT run) AS visits, count(*) AS pings, min(header_s) AS first_in, max(header_s) AS last_in FROM (
+        SELECT *, sum(turned) OVER ({by}) AS run FROM (
+            SELECT *, CASE WHEN inside IS DISTINCT FROM lag(inside) OVER ({by}) THEN 1 ELSE 0 END AS turned FROM (
+                SELECT vehicle_id, stop, header_s, event_id, r AS radius_m, distance_m <= r AS inside FROM (SELECT *, explode(array{RADII}) AS r FROM {{pings}}) e) a) b) c
+    WHERE inside GROUP BY radius_m, vehicle_id, stop"""
+
+
 @stated
 def classification_matrix(d: Spark) -> str:
     """Held class against a second estimate's class."""

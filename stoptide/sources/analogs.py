@@ -1,6 +1,8 @@
 """Transit relations over the driver's star schema: trips, stop events, feed rows, gaps, pings, pairs.
 
 Each relation is a function of the dialect and may refer to tables and earlier relations in braces.
+Where order matters over all rows, Spark's text compares within days, and only days' edges meet in one
+place; the oracle's is the plain window.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ def trips(d: Spark) -> str:
 @relation
 def stop_rows(d: Spark) -> str:
     return """
-    SELECT l_orderkey AS trip_id, l_suppkey AS stop_id, l_partkey, l_quantity, l_linestatus = 'O' AS is_timing_stop,
+    SELECT l_orderkey AS trip_id, l_suppkey AS stop_id, l_partkey, l_quantity, l_linestatus = 'O' AS is_timing_stop, count(*) OVER (PARTITION BY l_orderkey) AS n_stops,
         cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS int) AS stop_sequence
     FROM {lineitem}"""
 
@@ -47,6 +49,10 @@ def bounds(d: Spark) -> str:
 
 @relation
 def stop_events(d: Spark) -> str:
+    if d.name == "spark":  # sequences are counted from 1, so a trip's ends need no join
+        ends, place, last = "{stop_rows} s", "s.stop_sequence = 1", "s.stop_sequence = s.n_stops"
+    else:
+        ends, place, last = "{stop_rows} s JOIN {bounds} b ON s.trip_id = b.trip_id", "s.stop_sequence = b.first_seq", "s.stop_sequence = b.last_seq"
     return f"""
     SELECT service_date, trip_id, route_id, direction_id, in_scope, trip_status, stop_sequence, stop_id, stop_position, is_timing_stop,
         scheduled_s, scheduled_s + delay_c AS held_s, status, CASE WHEN status = 'observed' THEN delay_c END AS delay_s, l_partkey
@@ -54,11 +60,11 @@ def stop_events(d: Spark) -> str:
             WHEN l_partkey % 50 = 1 THEN 'skipped' WHEN l_partkey % 97 = 2 THEN 'dst_ambiguous'
             WHEN trip_status = 'no_realtime_data' OR l_partkey % 20 = 0 THEN 'unobserved' ELSE 'observed' END AS status
         FROM (SELECT t.service_date, t.trip_id, t.route_id, t.direction_id, t.in_scope, t.trip_status, s.stop_sequence, s.stop_id, s.is_timing_stop, s.l_partkey,
-                CASE WHEN s.stop_sequence = b.first_seq THEN 'first' WHEN s.stop_sequence = b.last_seq THEN 'final' ELSE 'intermediate' END AS stop_position,
-                s.stop_sequence = b.last_seq AS is_final,
+                CASE WHEN {place} THEN 'first' WHEN {last} THEN 'final' ELSE 'intermediate' END AS stop_position,
+                {last} AS is_final,
                 {d.day_epoch('t.service_date')} + 60 * (s.l_partkey % 1440) AS scheduled_s,
                 cast(s.l_quantity AS bigint) * 10 - 120 AS delay_c
-            FROM {{stop_rows}} s JOIN {{bounds}} b ON s.trip_id = b.trip_id JOIN {{trips}} t ON s.trip_id = t.trip_id) x) y"""
+            FROM {ends} JOIN {{trips}} t ON s.trip_id = t.trip_id) x) y"""
 
 
 @relation
@@ -71,7 +77,8 @@ def day_types(d: Spark) -> str:
 
 @relation
 def day_expanded(d: Spark) -> str:
-    return f"SELECT service_date, month, {d.explode(chr(39) + 'all' + chr(39), 'day_type')} AS day_type FROM {{day_types}}"
+    kinds = d.explode("'all'", "day_type")
+    return f"SELECT service_date, month, {kinds} AS day_type FROM {{day_types}}"
 
 
 @relation
@@ -115,11 +122,27 @@ def snapshots(d: Spark) -> str:
     return "SELECT header_s, min(snapshot_file) AS canonical_file, count(*) AS n_files FROM {feed} GROUP BY header_s"
 
 
+@relation
+def day_edges(d: Spark) -> str:
+    return f"SELECT day_, lo, hi, n, lag(hi) OVER (ORDER BY day_) AS before_hi, coalesce(sum(n) OVER (ORDER BY day_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_n FROM (SELECT {d.idiv('header_s', '86400')} AS day_, min(header_s) AS lo, max(header_s) AS hi, count(*) AS n FROM {{snapshots}} GROUP BY {d.idiv('header_s', '86400')}) x"
+
+
+@relation
+def steps(d: Spark) -> str:
+    """Snapshots with the one before and their number in order."""
+    if d.name == "duck":
+        return "SELECT header_s, lag(header_s) OVER (ORDER BY header_s) AS before_s, row_number() OVER (ORDER BY header_s) AS i FROM {snapshots}"
+    return """
+    SELECT s.header_s, coalesce(s.inner_s, e.before_hi) AS before_s, e.before_n + s.k AS i
+    FROM (SELECT header_s, header_s div 86400 AS day_, lag(header_s) OVER (PARTITION BY header_s div 86400 ORDER BY header_s) AS inner_s, row_number() OVER (PARTITION BY header_s div 86400 ORDER BY header_s) AS k FROM {snapshots}) s
+    JOIN {day_edges} e ON s.day_ = e.day_"""
+
+
 @relation
 def gaps(d: Spark) -> str:
     return f"""
     SELECT gap_start_s, gap_end_s, gap_end_s - gap_start_s AS gap_s, kind, {d.local_date('gap_start_s')} AS service_date FROM (
-        SELECT lag(header_s) OVER (ORDER BY header_s) AS gap_start_s, header_s AS gap_end_s, 'between' AS kind FROM {{snapshots}}
+        SELECT before_s AS gap_start_s, header_s AS gap_end_s, 'between' AS kind FROM {{steps}}
         UNION ALL SELECT {WINDOW_START} AS gap_start_s, min(header_s) AS gap_end_s, 'before_first' AS kind FROM {{snapshots}}
         UNION ALL SELECT max(header_s) AS gap_start_s, {WINDOW_END} AS gap_end_s, 'after_last' AS kind FROM {{snapshots}}) g
     WHERE gap_end_s - gap_start_s > {GAP_S}"""
