@@ -94,7 +94,7 @@ def set_events(d: Spark) -> str:
 
 @relation
 def categories(d: Spark) -> str:
-    return "SELECT n_nationkey AS route_id, n_name AS route_name, r_name AS category FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE r_name <> 'MIDDLE EAST'"
+    return "SELECT n_nationkey AS route_id, n_name AS route_name, r_name AS category, CASE WHEN r_name = 'EUROPE' THEN n_name END AS town FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE r_name <> 'MIDDLE EAST'"
 
 
 @relation
@@ -105,6 +105,21 @@ def stations(d: Spark) -> str:
     FROM {{supplier}} LEFT JOIN {{nation}} ON s_nationkey = n_nationkey"""
 
 
+@relation
+def positions(d: Spark) -> str:
+    """Where a station's stops stood on each date: some dates lack a position."""
+    return f"""
+    SELECT DISTINCT e.month, e.service_date, s.station_id, CASE WHEN s.k % 4 <> 0 THEN 56 + s.k * 0.001 + cast(day(e.service_date) AS double) / 1000 END AS lat, CASE WHEN s.k % 4 <> 0 THEN 14 + s.k * 0.001 END AS lon
+    FROM (SELECT station_id, min(stop_id) AS k FROM {{stations}} GROUP BY station_id) s CROSS JOIN (SELECT month, service_date FROM {{day_types}} WHERE cast(day(service_date) AS int) % 9 = 1) e"""
+
+
+@relation
+def month_days(d: Spark) -> str:
+    """The schedule's dates dealt over the days of the feed's month, so that both sides of a daily table meet."""
+    day = f"date_add({d.day('2024-01-01')}, cast({d.day_epoch('trip_date')} / 86400 % 30 AS int))" if d.name == "spark" else f"({d.day('2024-01-01')} + cast({d.day_epoch('trip_date')} // 86400 % 30 AS int))"
+    return f"SELECT service_date, trip_date, CASE WHEN {d.weekday('service_date')} = 5 THEN 'saturday' WHEN {d.weekday('service_date')} = 6 THEN 'sunday' ELSE 'weekday' END AS day_type FROM (SELECT {day} AS service_date, trip_date FROM (SELECT DISTINCT service_date AS trip_date FROM {{trips}}) x) y"
+
+
 @relation
 def feed(d: Spark) -> str:
     return f"""
