@@ -15,8 +15,8 @@ pair before it, the word before it where that pair was never trained on, and so
 
 No table of arcs is sent whole. Documents are packed into blocks of bounded size. A block asks ranges
 of word hashes, and ranges of pair hashes with the words that follow each pair, for the counts of all
-blocks; keys travel sorted and packed, once there, and only counts come back. Of a pair's hash 48 bits
-travel, of a following word's 32 beside its pair.
+blocks; keys travel sorted and packed, once there, and only counts come back. Of a word's hash 56 bits
+travel, of a pair's 48, of a following word's 28 beside its pair.
 
 Defined results: null or empty text is its end alone; rows without an id are scored and neither
 train nor are held out; repeated rows count and are scored each; without training rows all
@@ -41,7 +41,9 @@ BLOCK_TOKENS, RANGE_BYTES = 1_250_000, 16_000_000
 #: a triple's count is lowered by, and the least count of a triple that makes an arc.
 FLOOR, PRIOR, DISCOUNT, LEAST_ARC = 0.5, 10.0, 0.5, 2
 #: The end of a text, as a word's hash.
-END = np.uint64(0xE0D0E0D0E0D0E0D1)
+END = np.uint64(0xE0D0E0D0E0D0D1)
+#: Bits of the hashes of words, of pairs, and of words that follow a pair.
+WORD_BITS, PAIR_BITS, FOLLOW_BITS = 56, 48, 28
 _LEFT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,7 +51,7 @@ def _tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     """Per piece of the column: its rows, their tokens on end (each text's end included), first token of each."""
     for i, j, words, first in hashed_words(texts):
         out = np.full(len(words) + (j - i), END, dtype=np.uint64)
-        out[np.arange(len(words)) + np.repeat(np.arange(j - i), np.diff(first))] = words
+        out[np.arange(len(words)) + np.repeat(np.arange(j - i), np.diff(first))] = words >> np.uint64(64 - WORD_BITS)
         yield i, j, out, first + np.arange(j - i + 1)
 
 
@@ -71,13 +73,13 @@ class Grams:
         left = np.ones(len(flat), dtype=bool)
         left[first[:-1]] = False
         self.at2 = np.flatnonzero(left)
-        self.pairs, self.pair = np.unique(mix(flat[self.at2 - 1] * _LEFT + flat[self.at2]) >> np.uint64(16), return_inverse=True)
+        self.pairs, self.pair = np.unique(mix(flat[self.at2 - 1] * _LEFT + flat[self.at2]) >> np.uint64(64 - PAIR_BITS), return_inverse=True)
         inner = left[self.at2 - 1]
         self.at3 = self.at2[inner]
         self.context = self.pair[np.flatnonzero(inner) - 1]
-        keys, self.triple = np.unique(self.context.astype(np.uint64) << np.uint64(32) | flat[self.at3] >> np.uint64(32), return_inverse=True)
-        self.follow = keys.astype(np.uint32)
-        self.fan = np.bincount((keys >> np.uint64(32)).astype(np.int64), minlength=len(self.pairs))
+        keys, self.triple = np.unique(self.context.astype(np.uint64) << np.uint64(FOLLOW_BITS) | flat[self.at3] >> np.uint64(WORD_BITS - FOLLOW_BITS), return_inverse=True)
+        self.follow = (keys & np.uint64((1 << FOLLOW_BITS) - 1)).astype(np.uint32)
+        self.fan = np.bincount((keys >> np.uint64(FOLLOW_BITS)).astype(np.int64), minlength=len(self.pairs))
 
 
 BLOCK_SCHEMA = "block bigint, body binary, words binary, sizes array<int>, train array<boolean>, held array<boolean>, doc_ids array<{id}>"
@@ -150,7 +152,7 @@ def word_counts(blocks: DataFrame, parts: int) -> DataFrame:
         for b in batches:
             for block, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 keys, counts, _ = unpacked(words, 3)
-                edge = _ranges(keys, 64, parts)
+                edge = _ranges(keys, WORD_BITS, parts)
                 asked = [k for k in range(parts) if edge[k] < edge[k + 1]]
                 bodies = [packed(keys[edge[k] : edge[k + 1]], counts[edge[k] : edge[k + 1]]) for k in asked]
                 yield pa.RecordBatch.from_arrays([pa.array([block] * len(asked), pa.int64()), pa.array(asked, pa.int32()), pa.array(bodies, pa.binary())], names=["block", "part", "body"])
@@ -185,7 +187,7 @@ def gram_counts(blocks: DataFrame, parts: int) -> DataFrame:
                 del ids
                 n2 = np.bincount(g.pair[train[g.at2]], minlength=len(g.pairs)).astype(np.uint64)
                 n3 = np.bincount(g.triple[train[g.at3]], minlength=len(g.follow)).astype(np.uint32)
-                edge, begin = _ranges(g.pairs, 48, parts), np.append([0], np.cumsum(g.fan))
+                edge, begin = _ranges(g.pairs, PAIR_BITS, parts), np.append([0], np.cumsum(g.fan))
                 asked = [k for k in range(parts) if edge[k] < edge[k + 1]]
                 pairs = [packed(*(x[edge[k] : edge[k + 1]] for x in (g.pairs, n2, g.fan.astype(np.uint64)))) for k in asked]
                 more = [packed(*(x[begin[edge[k]] : begin[edge[k + 1]]] for x in (g.follow, n3)), ascending=False) for k in asked]
@@ -199,10 +201,10 @@ def gram_counts(blocks: DataFrame, parts: int) -> DataFrame:
         pairs, pair = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
         n2 = np.bincount(pair, weights=np.concatenate([x[1] for x in held]), minlength=len(pairs)).astype(np.uint64)
         context = np.repeat(pair, np.concatenate([x[2] for x in held]).astype(np.int64)).astype(np.uint64)
-        triples, triple = np.unique(context << np.uint64(32) | np.concatenate([x[0] for x in more]), return_inverse=True)
+        triples, triple = np.unique(context << np.uint64(FOLLOW_BITS) | np.concatenate([x[0] for x in more]), return_inverse=True)
         n3 = np.bincount(triple, weights=np.concatenate([x[1] for x in more]), minlength=len(triples)).astype(np.uint64)
         n3[n3 < LEAST_ARC] = 0
-        under = (triples >> np.uint64(32)).astype(np.int64)
+        under = (triples >> np.uint64(FOLLOW_BITS)).astype(np.int64)
         s, t = np.bincount(under, weights=n3, minlength=len(pairs)).astype(np.uint64), np.bincount(under[n3 > 0], minlength=len(pairs)).astype(np.uint64)
         cut, cut3 = np.cumsum([0, *(len(x[0]) for x in held)]), np.cumsum([0, *(len(x[0]) for x in more)])
         bodies = [packed(*(x[pair[a:b]] for x in (n2, s, t)), ascending=False) for a, b in zip(cut[:-1], cut[1:], strict=True)]
