@@ -41,6 +41,8 @@ RECURRING = "route_id, direction_id, start_s, day_type"
 
 
 def _recurring(d: Spark) -> str:
+    if d.name == "spark":
+        return _recurring_by_date()
     return f"""
     SELECT {RECURRING}, {m.count_if(m.ELIGIBLE)} AS eligible, {m.count_if(m.OBSERVED)} AS observed, count(DISTINCT {d.tup('service_date', 'trip_id')}) FILTER (WHERE {m.OBSERVED}) AS observed_trips,
         count(DISTINCT service_date) FILTER (WHERE {m.OBSERVED}) AS observed_dates, {m.count_if(m.EVENT_COUNTS['on_time_departures'])} AS on_time,
@@ -48,6 +50,24 @@ def _recurring(d: Spark) -> str:
     FROM (SELECT t.*, j.start_s, j.day_type FROM {{timing}} t JOIN {{journeys}} j ON t.service_date = j.service_date AND t.trip_id = j.trip_id) x GROUP BY {RECURRING}"""
 
 
+def _recurring_by_date() -> str:
+    """The same in two steps: first per journey and date, whose distinct trips and dates are rows then.
+
+    The median is read from the group's sorted delays: linear between the two in the middle.
+    """
+    late = f"{m.OBSERVED} AND delay_s > {m.LATE}"
+    step = f"""
+        SELECT {RECURRING}, service_date, x.trip_id, {m.count_if(m.ELIGIBLE)} AS eligible, {m.count_if(m.OBSERVED)} AS observed, {m.count_if(m.EVENT_COUNTS['on_time_departures'])} AS on_time,
+            {m.count_if(late)} AS late, collect_list(CASE WHEN {m.OBSERVED} THEN delay_s END) AS delays
+        FROM (SELECT t.*, j.start_s, j.day_type FROM {{timing}} t JOIN {{journeys}} j ON t.service_date = j.service_date AND t.trip_id = j.trip_id) x GROUP BY {RECURRING}, service_date, x.trip_id"""
+    middle = "CASE WHEN size(ds) > 0 THEN (get(ds, (size(ds) - 1) div 2) + get(ds, size(ds) div 2)) / 2D END"
+    dates = f"SELECT {RECURRING}, service_date, sum(eligible) AS eligible, sum(observed) AS observed, sum(on_time) AS on_time, count_if(observed > 0) AS trips, sum(late) AS late, flatten(collect_list(delays)) AS delays FROM ({step}) s GROUP BY {RECURRING}, service_date"
+    return f"""
+    SELECT {RECURRING}, eligible, observed, observed_trips, observed_dates, on_time, late_dates, {middle} AS median_delay
+    FROM (SELECT {RECURRING}, sum(eligible) AS eligible, sum(observed) AS observed, sum(trips) AS observed_trips, count_if(observed > 0) AS observed_dates, sum(on_time) AS on_time, count_if(late > 0) AS late_dates, array_sort(flatten(collect_list(delays))) AS ds
+          FROM ({dates}) d GROUP BY {RECURRING}) g"""
+
+
 @stated
 def recurring_departures(d: Spark) -> str:
     """Groups of the same departure over dates."""
@@ -58,10 +78,16 @@ def _ambiguous() -> str:
     return f"SELECT DISTINCT {RECURRING} FROM (SELECT service_date, {RECURRING}, count(*) AS n FROM {{journeys}} GROUP BY service_date, {RECURRING} HAVING count(*) > 1) a"
 
 
+def _coarse(keys: str) -> str:
+    return f"SELECT {keys}, count(*) AS dates, max(n) AS most FROM (SELECT service_date, {keys}, count(*) AS n FROM {{journeys}} GROUP BY service_date, {keys} HAVING count(*) > 1) a GROUP BY {keys}"
+
+
 @stated
 def ambiguous_keys(d: Spark) -> str:
-    """Keys that two journeys share on some date."""
-    return _ambiguous()
+    """Keys that two journeys share on some date: the study's keys, and coarser ones that do occur."""
+    null = "cast(NULL AS bigint)"
+    coarse = _coarse("route_id, day_type")
+    return f"SELECT 'departure' AS grain, route_id, direction_id, start_s, day_type, {null} AS dates FROM ({_ambiguous()}) x UNION ALL SELECT 'route', route_id, {null}, {null}, day_type, dates FROM ({coarse}) y"
 
 
 @stated
@@ -86,11 +112,31 @@ def linked_recovery(d: Spark) -> str:
     return f"SELECT a.route_id, count(*) AS n, {m.count_if('a.delta > 0 AND b.delta < 0')} AS recovering, {d.quantile('b.delta', 0.5, 'a.delta > 60')} AS median_after_loss FROM {{pairs}} a JOIN {{pairs}} b ON a.trip_id = b.trip_id AND a.next_sequence = b.stop_sequence WHERE a.pair_observed AND b.pair_observed GROUP BY a.route_id"
 
 
-@stated
+def _without(d: Spark, part: str) -> str:
+    year = f"SELECT *, {part} AS y FROM {{pairs}} WHERE pair_observed"
+    return f"SELECT o.y AS omitted, count(*) AS n, {d.quantile('p.delta', 0.5, 'true')} AS median_delta FROM (SELECT DISTINCT y FROM ({year}) a) o JOIN ({year}) p ON o.y <> p.y GROUP BY o.y"
+
+
+def _without_by_counts(part: str) -> str:
+    """Changes are counted by part first; only counts are repeated under the other parts."""
+    hist = f"SELECT {part} AS y, delta, count(*) AS n FROM {{pairs}} WHERE pair_observed GROUP BY {part}, delta"
+    other = f"SELECT explode(filter(ys, x -> x <> y)) AS omitted, delta, n FROM ({hist}) h CROSS JOIN (SELECT collect_set(y) AS ys FROM (SELECT DISTINCT {part} AS y FROM {{pairs}} WHERE pair_observed) z) s"
+    return f"SELECT omitted, sum(n) AS n, percentile(delta, 0.5, n) AS median_delta FROM ({other}) o GROUP BY omitted"
+
+
+YEAR, DATE_IN_YEAR = "cast(year(service_date) AS int)", "cast(month(service_date) * 100 + day(service_date) AS int)"
+
+
+@stated(plainly=lambda d: _without(d, YEAR))
 def leave_one_out_median(d: Spark) -> str:
     """The median change of delay without each year in turn."""
-    year = "SELECT *, cast(year(service_date) AS int) AS y FROM {pairs} WHERE pair_observed"
-    return f"SELECT o.y AS omitted, count(*) AS n, {d.quantile('p.delta', 0.5, 'true')} AS median_delta FROM (SELECT DISTINCT y FROM ({year}) a) o JOIN ({year}) p ON o.y <> p.y GROUP BY o.y"
+    return _without_by_counts(YEAR)
+
+
+@stated(plainly=lambda d: _without(d, DATE_IN_YEAR))
+def leave_one_date_out_median(d: Spark) -> str:
+    """The median change of delay without each date of the year in turn."""
+    return _without_by_counts(DATE_IN_YEAR)
 
 
 @stated
