@@ -238,13 +238,13 @@ SIGNATURE_RANK = 4
 #: A text holds no rule's and no base phrase's words without any of these, in either
 #: case, unless it names a license after one of the words of the forms below.
 GATE = ("licen", "spdx", "rights", "creative", "gnu", "gpl", "apache", "mozilla", "bsd", "eclipse", "cc0")
-FORM_WORDS = ("under", "subject", "governed", "conditions", "terms")
+FORM_WORDS = ("released", "distributed", "published", "available", "provided", "covered", "subject", "governed", "conditions", "terms")
 CC_BY = r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+(?:by|attribution)"
 TOP_RANK = 5
 
 
-def _needed(parsed: list, run: str = "") -> list[str]:
-    """Literals of which every match of a parsed expression holds one, after ``run``; the longest there are."""
+def _needed(parsed: list, run: str = "") -> list[list[str]]:
+    """Sets of literals, of each of which every match of a parsed expression holds one, after ``run``."""
     found: list[list[str]] = []
     for op, arg in parsed:
         kind = str(op)
@@ -252,17 +252,22 @@ def _needed(parsed: list, run: str = "") -> list[str]:
             run += chr(arg)
             continue
         if kind == "SUBPATTERN":
-            found.append(_needed(arg[3], run))
+            found += _needed(arg[3], run)
         elif kind == "BRANCH":
-            found.append([x for way in arg[1] for x in _needed(way, run)])
+            found.append([x for way in arg[1] for x in _best(_needed(way, run))])
         found.append([run])
         run = ""
-    return max((*found, [run]), key=lambda xs: min(map(len, xs)))
+    return [*found, [run]]
+
+
+def _best(sets: list[list[str]]) -> list[str]:
+    """The set whose literals are longest."""
+    return max(sets, key=lambda xs: min(map(len, xs)))
 
 
 def name_keywords(name: str) -> list[str]:
     """Literals of which every text with the name holds one; a name has spaces on both sides."""
-    return sorted(set(_needed(re._parser.parse(f" (?:{name}) "))))
+    return sorted(set(_best(_needed(re._parser.parse(f" (?:{name}) ")))))
 
 
 def signature_rules() -> list[tuple[str, str, str, int]]:
@@ -278,17 +283,17 @@ def signature_rules() -> list[tuple[str, str, str, int]]:
 
 
 def signature_words() -> list[str]:
-    """Words of which every text with a license's own words holds one: few, each chosen for what it covers."""
-    left, out = {x for _, rx in SIGNATURES for x in name_keywords(rx)}, []
-    while left:
-        words = {w for x in left for w in x.split() if len(w) >= min(6, max(map(len, x.split())))}
-        out.append(max(sorted(words), key=lambda w: (sum(w in x for x in left), len(w))))
-        left = {x for x in left if out[-1] not in x}
+    """Words of which, beside the gate's, every text with a license's own words holds one: few, each chosen for what it covers."""
+    out: list[str] = []
+    left = [_needed(re._parser.parse(f" (?:{rx}) ")) for _, rx in SIGNATURES]
+    while left := [sets for sets in left if not any(all(any(w in x for w in (*GATE, *out)) for x in xs) for xs in sets)]:
+        words = {w for sets in left for xs in sets for x in xs for w in x.split() if len(w) >= min(6, max(map(len, x.split())))}
+        out.append(max(sorted(words), key=lambda w: (sum(any(w in x for xs in sets for x in xs) for sets in left), len(w))))
     return out
 
 
 def name_words() -> list[str]:
-    """Words, or parts of them, of which every text that names a license holds one."""
+    """Beginnings of words of which every text that names a license holds one."""
     return sorted({max(x.split(), key=len) for _, name, _ in FAMILIES for x in name_keywords(name)})
 
 
@@ -334,7 +339,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     d = docs.select(F.col(id_col).alias("doc_id"), body.alias("_body"), F.lower(body).alias("_low"))
     near: Column = reduce(or_, (F.contains("_low", F.lit(x)) for x in dict.fromkeys((*GATE, *signature_words()))))
     formed: Column = reduce(or_, (F.contains("_low", F.lit(x)) for x in FORM_WORDS))
-    near = near | (formed & reduce(or_, (F.contains("_low", F.lit(x)) for x in name_words())))
+    near = near | (formed & F.col("_low").rlike(rf"(?<![a-z0-9])(?:{'|'.join(name_words())})"))
     near = near | (F.contains("_low", F.lit("cc")) & F.col("_low").rlike(CC_BY))
     d = d.select("doc_id", F.array_remove(F.split("_body", NOT_WORD), "").alias("_w"), near.alias("_near"))
     d = d.select(
