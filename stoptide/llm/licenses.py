@@ -241,6 +241,8 @@ GATE = ("licen", "spdx", "rights", "creative", "gnu", "gpl", "apache", "mozilla"
 FORM_WORDS = ("released", "distributed", "published", "available", "provided", "covered", "subject", "governed", "conditions", "terms")
 CC_BY = r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+(?:by|attribution)"
 TOP_RANK = 5
+#: Words from this length on are taken as equally rare when those that open the gate are chosen.
+RARE_LENGTH = 8
 
 
 def _needed(parsed: list, run: str = "") -> list[list[str]]:
@@ -286,12 +288,29 @@ def signature_words() -> list[str]:
     """Words of which, beside the gate's, every text with a license's own words holds one: few, each chosen for what it covers."""
     out: list[str] = []
     left = [_needed(re._parser.parse(f" (?:{rx}) ")) for _, rx in SIGNATURES]
-    while left := [sets for sets in left if not any(all(any(w in x for w in (*GATE, *out)) for x in xs) for xs in sets)]:
-        words = {w for sets in left for xs in sets for x in xs for w in x.split() if len(w) >= min(6, max(map(len, x.split())))}
-        out.append(max(sorted(words), key=lambda w: (sum(any(w in x for xs in sets for x in xs) for sets in left), len(w))))
+    while left := [sets for sets in left if not any(all(_held(x, out) for x in xs) for xs in sets)]:
+        # literals that nothing covers yet, of each signature's sets of long words; a covered one is never chosen for again
+        open_ = []
+        for sets in left:
+            least = min(RARE_LENGTH, max(map(_shortest, sets)))
+            open_.append([x for xs in sets if 0 < least <= _shortest(xs) for x in xs if not _held(x, out)])
+        words = {w for xs in open_ for x in xs for w in x.split() if len(w) >= min(RARE_LENGTH, max(map(len, x.split())))}
+        if not words:
+            raise ValueError("a signature has no words that every match holds")
+        out.append(max(sorted(words), key=lambda w: (sum(any(w in x for x in xs) for xs in open_), len(w))))
     return out
 
 
+def _shortest(literals: list[str]) -> int:
+    """The length of the longest word of the literal in which that is shortest."""
+    return min(max((len(w) for w in x.split()), default=0) for x in literals)
+
+
+def _held(literal: str, words: list[str]) -> bool:
+    """Whether a literal holds one of the gate's words or of these."""
+    return any(w in literal for w in (*GATE, *words))
+
+
 def name_words() -> list[str]:
     """Beginnings of words of which every text that names a license holds one."""
     return sorted({max(x.split(), key=len) for _, name, _ in FAMILIES for x in name_keywords(name)})
