@@ -29,7 +29,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dates_present(spark: SparkSession, path: str) -> list:
-    """The dates a table holds, from its folder names alone."""
+    """The dates a table holds; only the partition column is read."""
     return [r[0] for r in spark.read.parquet(path).select("service_date").distinct().orderBy("service_date").collect()]
 
 
