@@ -105,11 +105,11 @@ def crc_mod(doc_id: Column, mod: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(mod)
 
 
-def _byte_table() -> np.ndarray:
+def _byte_table(fold: bool) -> np.ndarray:
     x = np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x = mix(x)
     for upper, lower in zip(UPPER, LOWER, strict=True):
-        x[ord(upper)] = x[ord(lower)]
+        x[ord(upper)] = x[ord(lower)] if fold else x[ord(upper)]
     return x
 
 
@@ -124,7 +124,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[list(WORD_BREAKS)] = True
-_BYTES = _byte_table()
+_BYTES, _BYTES_AS_WRITTEN = _byte_table(True), _byte_table(False)
 _BASE = 0x9E3779B97F4A7C15 | 5
 _POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
@@ -168,11 +168,11 @@ def word_spans(data: np.ndarray, at: np.ndarray, is_break: np.ndarray = _BREAK)
     return starts, ends, np.searchsorted(starts, at)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words, A-Z lower-cased; equal words give equal hashes wherever they stand."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hashes of the words, A-Z lower-cased if ``fold``; equal words give equal hashes wherever they stand."""
     up, down = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTES[data] * up[: len(data)], out=total[1:])
+    np.cumsum((_BYTES if fold else _BYTES_AS_WRITTEN)[data] * up[: len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
