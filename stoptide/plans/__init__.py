@@ -6,7 +6,7 @@ import importlib
 
 from stoptide.catalog import CATALOG, Query
 
-MODULES = ("tabs", "feed", "study", "forensics", "more")
+MODULES = ("tabs", "feed", "study", "forensics", "more", "edge")
 
 
 def load_catalog() -> dict[str, Query]:
