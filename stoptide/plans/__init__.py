@@ -6,7 +6,7 @@ import importlib
 
 from stoptide.catalog import CATALOG, Query
 
-MODULES = ("tabs", "feed", "study", "forensics", "more", "edge")
+MODULES = ("tabs", "feed", "study", "forensics", "more", "edge", "places")
 
 
 def load_catalog() -> dict[str, Query]:

@@ -47,7 +47,10 @@ def oracle(text: str) -> str:
         return re.sub(r"\{(\w+)\}", lambda m: m[1] if m[1] in TABLES else f"rel_{m[1]}", t)
 
     head = ",\n".join(f"rel_{n} AS ({plain(RELATIONS[n](DUCK))})" for n in order)
-    return f"WITH {head}\n{plain(text)}" if head else plain(text)
+    if not head:
+        return plain(text)
+    own = plain(text).lstrip()
+    return f"WITH {head},\n{own[5:]}" if own.startswith("WITH ") else f"WITH {head}\n{own}"
 
 
 def stated(f: Stated | None = None, *, plainly: Stated | None = None) -> Stated:
