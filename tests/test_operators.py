@@ -61,3 +61,20 @@ def test_held_summary(spark):
 def test_one_file_per_time(spark):
     df = spark.createDataFrame([(1, "b", 1), (1, "b", 2), (1, "a", 1), (2, "c", 1)], "header_timestamp int, snapshot_file string, stop int")
     assert {tuple(r) for r in s.one_file_per_time(df).collect()} == {(1, "a", 1), (2, "c", 1)}
+
+
+def test_presence_between_consecutive_snapshots(spark):
+    from stoptide.operators.presence import drops, intervals, reappearances
+
+    lists = {"a": [(10, [1, 2, 3]), (20, [2, 3]), (30, [3]), (40, [2, 3]), (50, [3]), (60, [2, 3]), (70, [])], "b": [(10, [1, 2, 3, 4]), (20, [1, 4]), (30, [4])], "c": [(5, [1])]}
+    rows = [(t, ts, s) for t, x in lists.items() for ts, seqs in x for s in (seqs or [None])]
+    df = spark.createDataFrame([*rows, *rows[:3], (None, 1, 1), ("a", None, 1)], "trip_key string, ts bigint, stop_seq int")
+    stretches = intervals(df)
+    plan = stretches._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(trip_key") == 1
+    got = {(r["trip_key"], r["stop_seq"], r["first_i"], r["last_i"], r["first_ts"], r["last_ts"], r["next_ts"]) for r in stretches.collect()}
+    assert {x for x in got if x[0] == "a"} == {("a", 1, 1, 1, 10, 10, 20), ("a", 2, 1, 2, 10, 20, 30), ("a", 2, 4, 4, 40, 40, 50), ("a", 2, 6, 6, 60, 60, 70), ("a", 3, 1, 6, 10, 60, 70)}
+    gone = {(r["trip_key"], r["stop_seq"], r["last_ts"], r["first_ts"], r["kind"], r["n_together"]) for r in drops(stretches).collect()}
+    assert gone == {("a", 1, 10, 20, "clean", 1), ("a", 2, 20, 30, "clean", 1), ("a", 2, 40, 50, "clean", 1), ("a", 2, 60, 70, "multi_drop", 2), ("a", 3, 60, 70, "multi_drop", 2), ("b", 2, 10, 20, "multi_drop", 2), ("b", 3, 10, 20, "multi_drop", 2), ("b", 1, 20, 30, "clean", 1)}
+    assert {tuple(r) for r in reappearances(stretches).collect()} == {("a", 2, 40), ("a", 2, 60)}
+    assert intervals(df.limit(0)).count() == 0
