@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stoptide.catalog import register
+from stoptide.functions.dialect import DUCK, SPARK, TZ, Spark
 from stoptide.plans.engine import frame, oracle
-from stoptide.functions.dialect import DUCK, SPARK, Spark
+from stoptide.sources.analogs import TABLES
+from stoptide.sources.footers import footers, partition_counts
 from stoptide.sources.realtime import as_messages, decoded, hours_present
+from stoptide.sources.scratch import new_folder
+from stoptide.sources.warehouse import write_partition
 
 
 def _updates(d: Spark) -> str:
@@ -76,3 +80,68 @@ def staged_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hour of each date of the feed, with what is there and whether anything is."""
     files = frame(spark, sf_dir, _hour_rows(SPARK))
     return hours_present(files, files)
+
+
+_TABLE_ROWS = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES)
+
+
+@register("table_row_counts", _TABLE_ROWS)
+def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of each table by its files' footers; no data is read."""
+    files = footers(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES]).filter("problem IS NULL")
+    return files.groupBy(F.regexp_extract("path", r"/(\w+)\.parquet", 1).alias("table_name")).agg(F.sum("n_rows").alias("n_rows"))
+
+
+@register("partition_roundtrip_counts", oracle("SELECT start_date AS service_date, count(*) AS n_rows FROM {feed} GROUP BY start_date"))
+def partition_roundtrip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written by date, and the rows of each date by footers and folder names."""
+    path = new_folder(spark, "feed")
+    rows = frame(spark, sf_dir, "SELECT start_date AS service_date, snapshot_file, trip_id, stop_sequence, held_s FROM {feed}")
+    write_partition(rows.repartition("service_date"), path)
+    return partition_counts(footers(spark, path)).select("service_date", "n_rows")
+
+
+# ---------------------------------------------------------------- clock changes by date
+
+
+def _change_days(d: Spark, first: str, last: str) -> str:
+    """(day): the local days between two dates that aren't 24 hours long, from the zone's own rules."""
+    days = f"explode(sequence({first}, {last}))" if d.name == "spark" else f"unnest(generate_series(cast({first} AS timestamp), cast({last} AS timestamp), INTERVAL 1 DAY))"
+    spans = "{spans}" if d.name == "spark" else "spans"
+    return f"SELECT day FROM (SELECT cast(day AS date) AS day FROM (SELECT {days} AS day FROM {spans}) x) y WHERE {d.utc_of('day', 24)} - {d.utc_of('day', 0)} <> 86400"
+
+
+def _departures(d: Spark) -> str:
+    """Every stop's nominal time on its day, from 00:00 to 29:59."""
+    hour, minute = f"{d.pad2('l_partkey % 30')}", f"{d.pad2('l_suppkey % 60')}"
+    return f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_shipdate AS date) AS day, {hour} || ':' || {minute} || ':00' AS hms FROM {{lineitem}}"
+
+
+def _flagged(d: Spark, departures: str, changes: str, day: str) -> str:
+    """The day a nominal time falls on, joined to the days that change the clock; 2 and 3 o'clock of those are ambiguous."""
+    hour = f"cast({d.part('hms', ':', 1)} AS int)"
+    return f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, e.day, hms, c.day IS NOT NULL AND hour_ % 24 IN (2, 3) AS ambiguous
+    FROM (SELECT *, {hour} AS hour_, {day} AS clock_day FROM {departures} x) e LEFT JOIN {changes} c ON e.clock_day = c.day"""
+
+
+_PLAIN_FLAGS = f"""
+WITH departures AS ({_departures(DUCK)}), spans AS (SELECT min(day) AS lo, max(day) + 1 AS hi FROM departures), changes AS ({_change_days(DUCK, 'lo', 'hi')})
+{_flagged(DUCK, 'departures', 'changes', "day + cast(split_part(hms, ':', 1) AS int) // 24")}"""
+
+
+@register("stop_times_ambiguous", oracle(_PLAIN_FLAGS))
+def stop_times_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stop event with whether its nominal time is ambiguous on its date, or on the next for hours from 24 on."""
+    departures = frame(spark, sf_dir, _departures(SPARK))
+    spans = departures.agg(F.min("day").alias("lo"), F.date_add(F.max("day"), 1).alias("hi")).filter("lo IS NOT NULL")
+    changes = spark.sql(_change_days(SPARK, "lo", "hi"), spans=spans)
+    text = _flagged(SPARK, "{departures}", "{changes}", "date_add(day, int(cast(split_part(hms, ':', 1) AS int) div 24))")
+    return spark.sql(text, departures=departures, changes=changes)
+
+
+@register("ambiguous_by_day", oracle(f"SELECT day, count(*) AS n_stops, count(CASE WHEN ambiguous THEN 1 END) AS n_ambiguous FROM ({_PLAIN_FLAGS}) f GROUP BY day HAVING count(CASE WHEN ambiguous THEN 1 END) > 0"))
+def ambiguous_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days with ambiguous stop events, and how many there are."""
+    d = stop_times_ambiguous(spark, sf_dir).groupBy("day")
+    return d.agg(F.count("*").alias("n_stops"), F.count_if("ambiguous").alias("n_ambiguous")).filter("n_ambiguous > 0")

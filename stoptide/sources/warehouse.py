@@ -11,6 +11,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stoptide.sources.footers import check_schemas, dates_present, footers
+
+__all__ = ["TABLES", "check_schemas", "dates_present", "export_csv", "footers", "read_table", "same_rows", "stage", "violations", "write_partition"]
+
 TABLES = ("trips", "stop_events", "routes", "stops", "feed_quality", "feed_gaps")
 
 
@@ -20,17 +24,9 @@ def write_partition(df: DataFrame, path: str, by: str = "service_date") -> None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """All partitions; raises ValueError if a partition's columns or types differ from the others'."""
-    merged = spark.read.option("mergeSchema", True).parquet(path)
-    first = spark.read.parquet(path)
-    if sorted(merged.dtypes) != sorted(first.dtypes):
-        raise ValueError(f"partitions of {path} differ: {sorted(set(merged.dtypes) ^ set(first.dtypes))}")
-    return merged
-
-
-def dates_present(spark: SparkSession, path: str) -> list:
-    """The dates a table holds; only the partition column is read."""
-    return [r[0] for r in spark.read.parquet(path).select("service_date").distinct().orderBy("service_date").collect()]
+    """All partitions; raises ValueError naming every file whose columns or types differ from the first one's."""
+    check_schemas(footers(spark, path), f"partitions of {path}")
+    return spark.read.parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, keys: Sequence[str]) -> None:
