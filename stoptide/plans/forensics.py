@@ -182,10 +182,10 @@ def drop_widths(d: Spark) -> str:
     return _widths(d, _vanished(d))
 
 
-@stated
+@stated(plainly=lambda d: f"SELECT trip_id, stop_sequence, count(*) AS n_drops FROM ({_drops(d)}) e GROUP BY trip_id, stop_sequence HAVING count(*) > 1")
 def repeat_drops_reappearance(d: Spark) -> str:
     """Stops that vanish more than once, which means that they came back."""
-    return f"SELECT trip_id, stop_sequence, count(*) AS n_drops FROM ({_drops(d)}) e GROUP BY trip_id, stop_sequence HAVING count(*) > 1"
+    return f"SELECT trip_id, stop_sequence, count(*) AS n_drops FROM ({_vanished(d)}) e GROUP BY trip_id, stop_sequence HAVING count(*) > 1"
 
 
 @stated
@@ -213,7 +213,7 @@ def timestamp_backwards(d: Spark) -> str:
 def prediction_fallback(d: Spark) -> str:
     """The first prediction there is, and where it comes from."""
     cases = {"departure.time": "snapshot_file % 4 = 0", "scheduled_departure+delay": "snapshot_file % 4 = 1", "arrival.time": "snapshot_file % 4 = 2"}
-    label = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in cases.items()) + " ELSE 'none' END"
+    label = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in cases.items()) + " ELSE 'unavailable' END"
     value = "coalesce(CASE WHEN snapshot_file % 4 = 0 THEN held_s END, CASE WHEN snapshot_file % 4 = 1 THEN header_s + value_s END, CASE WHEN snapshot_file % 4 = 2 THEN held_s - 30 END)"
     return f"SELECT snapshot_file, {value} AS prediction_s, {label} AS source FROM {{feed}}"
 

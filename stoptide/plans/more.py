@@ -50,7 +50,7 @@ MIRRORED = (CHAIN[2], CHAIN[3], CHAIN[0], CHAIN[1])
 
 def _first_of(chain: tuple) -> str:
     value = "coalesce(" + ", ".join(f"CASE WHEN {c} THEN {v} END" for _, v, c in chain) + ")"
-    return f"{value} AS prediction_s, CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, _, c in chain) + " ELSE 'none' END AS source"
+    return f"{value} AS prediction_s, CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, _, c in chain) + " ELSE 'unavailable' END AS source"
 
 
 @stated
@@ -172,7 +172,7 @@ def republished_lists(d: Spark) -> str:
 @stated
 def padded_trip_windows(d: Spark) -> str:
     """Pings from 30 minutes before to 90 after each trip's span, the time between them, and what falls outside."""
-    spans = "(SELECT trip_id, min(header_s) - 1800 AS lo, max(header_s) + 5400 AS hi FROM {feed} WHERE trip_id % 50 = trip_id GROUP BY trip_id) w"
+    spans = "(SELECT trip_id, min(header_s) - 1800 AS lo, max(header_s) + 5400 AS hi FROM {feed} GROUP BY trip_id) w"
     pings = "(SELECT trip_id, header_s, header_s - lag(header_s) OVER (PARTITION BY vehicle_id, trip_id ORDER BY header_s) AS step_s FROM (SELECT DISTINCT vehicle_id, trip_id, header_s FROM {pings} WHERE trip_id IS NOT NULL) q) p"
     inside = "p.header_s BETWEEN w.lo AND w.hi"
     return f"SELECT p.trip_id, count(*) AS pings, {m.count_if(inside)} AS in_window, {m.count_if(f'NOT ({inside})')} AS outside, {d.quantile('p.step_s', 0.5, 'p.step_s IS NOT NULL')} AS step_p50, {m.count_if('p.step_s > 600')} AS long_steps FROM {pings} JOIN {spans} ON p.trip_id = w.trip_id GROUP BY p.trip_id"
@@ -250,13 +250,21 @@ def group_by_all(d: Spark) -> str:
     return f"SELECT route_id, stop_position, status, count(*) AS n, {m.count_if('is_timing_stop')} AS timing FROM {{stop_events}} GROUP BY ALL"
 
 
-@stated(plainly=lambda d: f"SELECT l_orderkey, l_linenumber, cast(epoch(timezone('Europe/Stockholm', cast(day AS timestamp) + INTERVAL (secs) SECOND)) AS bigint) AS wall_s FROM (SELECT l_orderkey, l_linenumber, cast(l_shipdate AS date) AS day, {hms_seconds(d, 'hms')} AS secs FROM (SELECT *, {hms_text(d)} AS hms FROM {{lineitem}}) y WHERE l_partkey % 30 NOT IN (2, 26)) x")
+def _plain_wall(d: Spark) -> str:
+    """An hour that the clock skips or shows twice is told by the offset before it: an hour earlier, and an hour on."""
+    local = "cast(day AS timestamp) + INTERVAL (secs) SECOND"
+    epoch = "cast(epoch(timezone('Europe/Stockholm', {})) AS bigint)"
+    wall = f"CASE WHEN secs // 3600 % 24 = 2 THEN {epoch.format(local + ' - INTERVAL 1 HOUR')} + 3600 ELSE {epoch.format(local)} END"
+    return f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {wall} AS wall_s FROM (SELECT *, cast(l_shipdate AS date) AS day, {hms_seconds(d, 'hms')} AS secs FROM (SELECT *, {hms_text(d)} AS hms FROM {{lineitem}}) y) x"
+
+
+@stated(plainly=_plain_wall)
 def wall_clock_time(d: Spark) -> str:
     """Schedule texts as wall-clock times of their day, not counted from noon: they differ on days that change the clock.
 
-    Times in the hour that such a day skips or repeats are left to the noon-anchored function.
+    Of an hour that such a day repeats the first is meant; a time in the skipped hour is as long after the hour before it.
     """
-    return f"SELECT l_orderkey, l_linenumber, unix_seconds(to_utc_timestamp(timestamp_seconds(unix_date(day) * 86400L + secs), 'Europe/Stockholm')) AS wall_s FROM (SELECT l_orderkey, l_linenumber, cast(l_shipdate AS date) AS day, {hms_seconds(d, 'hms')} AS secs FROM (SELECT *, {hms_text(d)} AS hms FROM {{lineitem}}) y WHERE l_partkey % 30 NOT IN (2, 26)) x"
+    return f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, unix_seconds(to_utc_timestamp(timestamp_seconds(unix_date(day) * 86400L + secs), 'Europe/Stockholm')) AS wall_s FROM (SELECT *, cast(l_shipdate AS date) AS day, {hms_seconds(d, 'hms')} AS secs FROM (SELECT *, {hms_text(d)} AS hms FROM {{lineitem}}) y) x"
 
 
 @stated(plainly=lambda d: "SELECT event_id, strftime(ts, '%Y-%m') AS month, lower(strftime(ts, '%A')) AS day_name, cast(ts + INTERVAL 90 MINUTE AS timestamp) AS later, TRY_CAST(event_type AS integer) AS no_number, TRY_CAST(cast(event_id AS varchar) AS integer) AS number FROM {events}")
@@ -265,11 +273,15 @@ def time_and_text_functions(d: Spark) -> str:
     return "SELECT event_id, date_format(ts, 'yyyy-MM') AS month, lower(date_format(ts, 'EEEE')) AS day_name, cast(ts + INTERVAL 90 MINUTES AS timestamp_ntz) AS later, try_cast(event_type AS int) AS no_number, try_cast(cast(event_id AS string) AS int) AS number FROM {events}"
 
 
-@stated(plainly=lambda d: f"SELECT d.service_date, h.hour_local FROM (SELECT DISTINCT {d.local_date('header_s')} AS service_date FROM {{feed}} WHERE header_s % 7 = 0) d CROSS JOIN (SELECT unnest(range(24)) AS hour_local) h EXCEPT SELECT {d.local_date('header_s')}, {d.local_hour('header_s')} FROM {{feed}} WHERE header_s % 7 = 0")
+@stated(
+    plainly=lambda d: f"SELECT d.service_date, d.stop_sequence, h.hour_local FROM (SELECT DISTINCT {d.local_date('header_s')} AS service_date, stop_sequence FROM {{feed}}) d CROSS JOIN (SELECT unnest(range(24)) AS hour_local) h "
+    f"EXCEPT SELECT {d.local_date('header_s')}, stop_sequence, {d.local_hour('header_s')} FROM {{feed}}"
+)
 def missing_hours(d: Spark) -> str:
-    """The local hours of each date without a snapshot among those of a sparse feed, listed."""
-    rows = f"(SELECT {d.local_date('header_s')} AS service_date, collect_set({d.local_hour('header_s')}) AS hs FROM {{feed}} WHERE header_s % 7 = 0 GROUP BY {d.local_date('header_s')}) x"
-    return f"SELECT service_date, cast(hour_ AS bigint) AS hour_local FROM (SELECT service_date, explode(array_except(sequence(0, 23), hs)) AS hour_ FROM {rows}) y"
+    """The local hours of each date and stop without a row, listed."""
+    day = d.local_date("header_s")
+    rows = f"(SELECT {day} AS service_date, stop_sequence, collect_set({d.local_hour('header_s')}) AS hs FROM {{feed}} GROUP BY {day}, stop_sequence) x"
+    return f"SELECT service_date, stop_sequence, cast(hour_ AS bigint) AS hour_local FROM (SELECT service_date, stop_sequence, explode(array_except(sequence(0, 23), hs)) AS hour_ FROM {rows}) y"
 
 
 @stated(plainly=lambda d: "SELECT trip_id FROM (SELECT DISTINCT trip_id FROM {feed} WHERE start_date = (SELECT max(start_date) FROM {feed})) a WHERE trip_id NOT IN (SELECT trip_id FROM {feed} WHERE start_date = (SELECT min(start_date) FROM {feed}) AND trip_id IS NOT NULL)")

@@ -14,7 +14,7 @@ from stoptide.functions.dialect import Spark
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings")
 RELATIONS: dict[str, Callable[[Spark], str]] = {}
 #: Feed window and outage length of the gap relation, in seconds.
-WINDOW_START, WINDOW_END, GAP_S = 1704063600, 1706662800, 900
+WINDOW_START, WINDOW_END, GAP_S = 1704063600, 1706662800, 300
 
 
 def relation(f: Callable[[Spark], str]) -> Callable[[Spark], str]:
@@ -172,6 +172,16 @@ def clipped(d: Spark) -> str:
     WHERE greatest(gap_start_s, day_start) < least(gap_end_s, day_end)"""
 
 
+@relation
+def runs(d: Spark) -> str:
+    """Scheduled trips of the feed's days: every customer is a trip of each day, two to fourteen minutes long."""
+    days = "explode(sequence(DATE '2024-01-01', DATE '2024-01-30'))" if d.name == "spark" else "cast(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS date)"
+    return f"""
+    SELECT service_date, trip_id, scheduled_stops, first_s, first_s + 120 + 120 * (trip_id % 7) AS last_s, in_scope
+    FROM (SELECT service_date, trip_id, 2 + trip_id % 7 AS scheduled_stops, c_nationkey % 11 <> 0 AS in_scope, {d.utc_of('service_date', 0)} + 600 * (trip_id * 7 % 140) AS first_s
+        FROM (SELECT c_custkey AS trip_id, c_nationkey, {days} AS service_date FROM {{customer}}) x) r"""
+
+
 @relation
 def pings(d: Spark) -> str:
     return "SELECT user_id AS vehicle_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE user_id % 50 END AS trip_id, header_s, event_type AS stop, event_id, event_value AS distance_m FROM (SELECT snapshot_file AS event_id, trip_id AS user_id, header_s, event_type, event_value FROM {feed}) x"
