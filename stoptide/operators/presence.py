@@ -54,3 +54,11 @@ def reappearances(stretches: DataFrame, trip: str = "trip_key", stop: str = "sto
     """
     left = F.sum(F.when(F.col("last_of_trip"), 0).otherwise(1)).over(Window.partitionBy(trip, stop))
     return stretches.withColumn("_left", left).filter("_left > 1 AND first_i > 1").select(trip, stop, F.col("first_ts").alias("reappear_ts"))
+
+
+def trace(rows: DataFrame, key: str, trip: str = "trip_key", time: str = "ts", stop: str = "stop_seq") -> DataFrame:
+    """(ts, stop, what) of one trip in order: every stop that enters or leaves its list, and the trip's end."""
+    s = intervals(rows.filter(F.col(trip) == key), trip, time, stop)
+    entered = s.select(F.col("first_ts").alias("ts"), F.col(stop), F.when(F.col("first_i") == 1, "listed").otherwise("enters").alias("what"))
+    left = s.select(F.coalesce("next_ts", "last_ts").alias("ts"), F.col(stop), F.when(F.col("last_of_trip"), "stays to the end").otherwise("leaves").alias("what"))
+    return entered.union(left).orderBy("ts", "what", stop)

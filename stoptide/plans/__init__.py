@@ -6,7 +6,7 @@ import importlib
 
 from stoptide.catalog import CATALOG, Query
 
-MODULES = ("tabs", "feed", "study", "forensics", "more", "edge", "places", "lists", "daily")
+MODULES = ("tabs", "feed", "study", "forensics", "more", "edge", "places", "lists", "daily", "results")
 
 
 def load_catalog() -> dict[str, Query]:

@@ -234,6 +234,13 @@ def hours_present(files: DataFrame, dates: DataFrame, hours: Iterable[int] = ran
     return out.select("service_date", "hour", F.coalesce("n_files", F.lit(0)).alias("n_files"), F.coalesce("bytes", F.lit(0)).alias("bytes"), F.col("n_files").isNotNull().alias("present"))
 
 
+def require_hours(found: DataFrame) -> None:
+    """FileNotFoundError that lists every hour of ``hours_present`` that isn't there."""
+    gone = found.filter("NOT present").orderBy("service_date", "hour").collect()
+    if gone:
+        raise FileNotFoundError(f"{len(gone)} hours are missing: " + ", ".join(f"{r['service_date']} {r['hour']:02d}" for r in gone))
+
+
 # ---------------------------------------------------------------- writing messages
 
 

@@ -7,13 +7,14 @@ import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stoptide.sources.footers import check_schemas, dates_present, footers
 
-__all__ = ["TABLES", "check_schemas", "dates_present", "export_csv", "footers", "read_table", "same_rows", "stage", "violations", "write_partition"]
+__all__ = ["TABLES", "cells", "check_schemas", "dates_present", "export_csv", "footers", "read_table", "same_rows", "stage", "violations", "write_partition"]
 
 TABLES = ("trips", "stop_events", "routes", "stops", "feed_quality", "feed_gaps")
 
@@ -34,6 +35,26 @@ def export_csv(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     df.orderBy(*(F.col(k).asc_nulls_last() for k in keys)).coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
+def cells(df: DataFrame, keys: Sequence[str]) -> list[list]:
+    """Header and ordered rows as a spreadsheet takes them, by the columns' types: for published tables, which are small.
+
+    Truth values stay truth values, numbers numbers (whole ones whole, NaN empty), dates and times ISO
+    texts, all else text; a null is an empty text.
+    """
+
+    def cell(x):
+        if x is None or isinstance(x, float) and x != x:
+            return ""
+        if isinstance(x, (bool, int, float)):
+            return x
+        if isinstance(x, Decimal):
+            return int(x) if x == x.to_integral_value() else float(x)
+        return x.isoformat() if hasattr(x, "isoformat") else str(x)
+
+    ordered = df.orderBy(*(F.col(k).asc_nulls_last() for k in keys)).collect()
+    return [list(df.columns), *([cell(x) for x in r] for r in ordered)]
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Whether two tables hold the same rows as often; what was written is read back and compared."""
     return a.exceptAll(b).limit(1).count() == 0 and b.exceptAll(a).limit(1).count() == 0
