@@ -7,8 +7,8 @@ from stoptide.functions.dialect import Spark
 from stoptide.plans.engine import stated
 from stoptide.plans.study import RECURRING, _ambiguous, _recurring
 
-#: The afternoon, in seconds of the day; how many a category shows.
-AFTERNOON, SHOWN = "BETWEEN 54000 AND 64799", 15
+#: The part of the day that is looked at, in seconds, as starts here lie early; how many a category shows (a fixed value).
+PEAK, SHOWN = "BETWEEN 10800 AND 64799", 15
 #: Observed trips that a group needs here; the study asks for 20 of a month's dates.
 LEAST_TRIPS = 2
 ON_TIME = f"BETWEEN {m.EARLY} AND {m.LATE}"
@@ -30,8 +30,8 @@ def _by_category(d: Spark, rows: str, order: str) -> str:
 
 @stated
 def recurring_candidates(d: Spark) -> str:
-    """Per category the afternoon's recurring departures that are late on the most dates, of those that pass the floor."""
-    return _by_category(d, f"(SELECT * FROM {_safe(d)} x WHERE {FLOOR} AND start_s {AFTERNOON})", "late_dates DESC, route_id ASC NULLS LAST, direction_id ASC NULLS LAST, start_s ASC, day_type ASC")
+    """Per category the peak's recurring departures that are late on the most dates, of those that pass the floor."""
+    return _by_category(d, f"(SELECT * FROM {_safe(d)} x WHERE {FLOOR} AND start_s {PEAK})", "late_dates DESC, route_id ASC NULLS LAST, direction_id ASC NULLS LAST, start_s ASC, day_type ASC")
 
 
 def _segments(d: Spark, keys: str, where: str) -> str:
@@ -43,9 +43,9 @@ def _segments(d: Spark, keys: str, where: str) -> str:
 
 @stated
 def segment_candidates(d: Spark) -> str:
-    """Per category the weekday afternoon's sections in which most departures become late, of those that pass the floor."""
-    rows = f"(SELECT *, {m.share('observed_pairs', 'eligible_pairs')} AS coverage FROM ({_segments(d, 'route_id, direction_id, stop_id, next_stop_id', f"day_type = 'weekday' AND start_s {AFTERNOON}")}) g)"
-    order = "became_late DESC, route_id ASC, direction_id ASC NULLS LAST, stop_id ASC, next_stop_id ASC"
+    """Per category the weekday peak's sections in which most departures become late, of those that pass the floor."""
+    rows = f"(SELECT *, {m.share('observed_pairs', 'eligible_pairs')} AS coverage FROM ({_segments(d, 'route_id, stop_id, next_stop_id', f"day_type = 'weekday' AND start_s {PEAK}")}) g)"
+    order = "became_late DESC, route_id ASC, stop_id ASC, next_stop_id ASC"
     return _by_category(d, f"(SELECT * FROM {rows} h WHERE trips >= {LEAST_TRIPS} AND coverage >= 0.9)", order)
 
 
