@@ -1,15 +1,12 @@
 """Shared helpers: reading tables, shared scratch tables, packed columns, and vectorised word hashing.
 
-The scratch folder is the one the cluster names in ``spark.checkpoint.dir``, which every executor
-shares; only where that is unset and all runs on one machine, as in tests, a folder of this process
-is used.
+Scratch tables stand in the folder that the cluster names in ``spark.checkpoint.dir``, which every
+executor shares.
 """
 
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +15,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stoptide.sources.scratch import new_folder
+
 #: The ASCII white space that separates words in every contract: space, tab to carriage return.
 WORD_BREAKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: The same as a Java and Python regular expression.
@@ -32,22 +31,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; set only where the session names none and one machine does all."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        named = f"file://{tempfile.mkdtemp(prefix='stoptide-')}"
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: lineage is cut, lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path

@@ -153,12 +153,14 @@ def judged(feats: DataFrame, model: tuple[float, list[dict]]) -> DataFrame:
 def quality_filter(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that are kept, with the input's columns.
 
-    Rows and features are kept in a shared table: the optimizer would otherwise work out a text's
-    features again for every vote that looks at them.
+    Features are worked out twice, for the fit and for the verdict, as a stored copy of them would have
+    to hold every text too. The number that each row gets keeps the optimizer from moving the verdict
+    below the features, where it would work them out again for every vote that looks at them.
     """
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    feats = stored(text_features(docs.toDF(*names), names[docs.columns.index(text)]), "quality")
-    return judged(feats, fit_rules(feats)).filter("kept").select(*names).toDF(*docs.columns)
+    feats = text_features(docs.toDF(*names), names[docs.columns.index(text)])
+    kept = judged(feats.withColumn("_row", F.monotonically_increasing_id()), fit_rules(feats)).filter("kept AND _row >= 0")
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
