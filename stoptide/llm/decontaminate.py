@@ -7,7 +7,9 @@ Windows of templates are hash-joined; where they meet, the words behind the plac
 compared, and a match counts only if each value of the item stands for one value of the text and
 the other way round, so re-parameterised questions are found and look-alikes are not. Windows of the
 words themselves, in lower case and with no placeholders, are joined too: what stands there word for
-word is a match whatever its capitals, its numbers, or what surrounds it.
+word is a match whatever its capitals, its numbers, or what surrounds it. A window that many items
+hold, such as the standard opening of questions, counts for none of them, unless an item has no other:
+so a text with such an opening neither meets all items nor looks like one.
 
 Defined results: null or empty text or items match nothing; an item shorter than the window is one
 window of its own length; items that are repeated are each matched; a document found twice under
@@ -19,14 +21,16 @@ with different texts, are judged each on its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stoptide.llm.common import forget, read_table, stored, text_key
 
-#: Words in a window, the least share of an item's windows that makes a leak, and the least share of
-#: plain words for a window with placeholders to count.
-WINDOW, SHARE, PLAIN = 8, 0.2, 0.5
+#: Words in a window, the least share of an item's windows that makes a leak, and the plain words that a
+#: window with placeholders needs (half of it, if it is shorter than twice that).
+WINDOW, SHARE, PLAIN = 8, 0.2, 2
+#: A window that more different items than this hold tells none of them apart.
+RARE = 4
 #: The benchmark's windows are sent to all tasks only up to this many (about 64 MB).
 BROADCAST_WINDOWS = 1_000_000
 #: Units that are placeholders after a number.
@@ -72,17 +76,25 @@ def _window_hash(words: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(h, exact, len, j, item_id, n_item, b_slots): every window word for word, and with placeholders
-    every one that has some and enough plain words."""
+    """(h, exact, len, j, item_id, n_item, b_slots): the windows that count, word for word, and with
+    placeholders those that have some and enough plain words.
+
+    Of each kind only an item's rare windows count, if it has any; ``n_item`` is the number of places
+    with a window that counts.
+    """
     t = items.filter("item_id IS NOT NULL").select("item_id", template_words(F.col("text")).alias("_t"), plain_words(F.col("text")).alias("_p"))
-    t = t.filter(F.size("_p") > 0).withColumn("len", F.least(F.size("_p"), F.lit(window)))
+    t = t.filter(F.size("_p") > 0).withColumn("len", F.least(F.size("_p"), F.lit(window))).withColumn("_same", _window_hash(F.col("_p")))
     t = t.select("*", F.explode(F.expr("sequence(0, size(_p) - len)")).alias("j"))
-    t = t.select("*", (F.size("_p") - F.col("len") + 1).alias("n_item"), _slots("_t", "_p", "j", "len").alias("b_slots"))
-    cols = ("len", "j", "item_id", "n_item")
+    t = t.select("*", _slots("_t", "_p", "j", "len").alias("b_slots"))
+    cols = ("len", "j", "item_id", "_same")
     word_for_word = t.select(_window_hash(F.expr("slice(_p, j + 1, len)")).alias("h"), F.lit(True).alias("exact"), *cols, F.filter("b_slots", lambda x: F.lit(False)).alias("b_slots"))
-    typed = t.filter(F.size("b_slots") > 0).filter(F.col("len") - F.size("b_slots") >= F.lit(PLAIN) * F.col("len"))
-    typed = typed.select(_window_hash(F.expr("slice(_t, j + 1, len)")).alias("h"), F.lit(False).alias("exact"), *cols, "b_slots")
-    return word_for_word.union(typed)
+    typed = t.filter(F.size("b_slots") > 0).filter(F.col("len") - F.size("b_slots") >= F.least(F.lit(PLAIN), F.col("len") / 2))
+    every = word_for_word.union(typed.select(_window_hash(F.expr("slice(_t, j + 1, len)")).alias("h"), F.lit(False).alias("exact"), *cols, "b_slots"))
+    held = every.groupBy("h", "exact").agg((F.count_distinct("_same") <= RARE).alias("_rare"))
+    own = Window.partitionBy("item_id", "_same", "exact")
+    counted = every.join(held, ["h", "exact"]).withColumn("_any", F.bool_or("_rare").over(own)).filter("_rare OR NOT _any")
+    places = F.size(F.collect_set("j").over(Window.partitionBy("item_id", "_same")))
+    return counted.withColumn("n_item", places).select("h", "exact", "len", "j", "item_id", "n_item", "b_slots")
 
 
 def _slots(words: str, plain: str, at: str, length: str) -> Column:
@@ -100,7 +112,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     consistent values;
     ``changed`` tells that some value differs, that is, that the question was re-parameterised.
     """
-    bench = benchmark_windows(items, window)
+    bench = stored(benchmark_windows(items, window), "bench")
     rows = bench.groupBy("len").count().collect()  # at most ``window`` rows
     lengths = sorted(r["len"] for r in rows) or [window]
     small = sum(r["count"] for r in rows) <= BROADCAST_WINDOWS
@@ -140,8 +152,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: f
     )
     out = out.filter(F.col("n_windows") >= F.lit(share) * F.col("n_item"))
     out = stored(out.select("doc_id", "item_id", "n_windows", F.col("n_item").cast("long").alias("n_item"), "first_word", "changed"), "found")
-    forget(found)
-    forget(ids)
+    for done in (found, ids, bench):
+        forget(done)
     return out
 
 

@@ -521,6 +521,24 @@ def test_verbatim_copies_leak(spark):
     assert {(r["doc_id"], r["item_id"], r["n_windows"], r["n_item"], r["changed"]) for r in got} == {(1, 10, 10, 10, False), (2, 10, 10, 10, False), (3, 11, 3, 3, False), (4, 12, 1, 1, False)}
 
 
+def test_items_rich_in_names_leak(spark):
+    items = spark.createDataFrame([(1, "Berlin Paris London Rome Madrid Vienna each sent 3 athletes")], "item_id bigint, text string")
+    rows = [(1, "we know that Oslo Bergen Turku Tampere Malmo Lund each sent 5 athletes"), (2, "Oslo Bergen Oslo Tampere Malmo Lund each sent 5 athletes"), (3, "Oslo Bergen Turku Tampere Malmo Lund and 5 others 6 7 8")]
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), items).collect()
+    assert [(r["doc_id"], r["n_windows"], r["n_item"], r["changed"]) for r in got] == [(1, 3, 3, True)]
+
+
+def test_shared_openings_tell_nothing(spark):
+    opening = "read the following question with care and choose the best of these answers"  # 13 words, 6 windows
+    items = [(k, f"{opening} item{k} alpha{k} beta{k} gamma{k} delta{k}") for k in range(50)]
+    family = [(100 + k, f"A farmer sells {k + 3} boxes of {k + 70} pears and keeps {k + 200} of them for later") for k in range(20)]
+    bench = spark.createDataFrame(items + family, "item_id bigint, text string")
+    rows = [(1, opening + " or leave it"), (2, items[7][1]), (3, "A farmer sells 11 boxes of 12 pears and keeps 13 of them for later")]
+    got = [(r["doc_id"], r["item_id"], r["n_windows"], r["n_item"], r["changed"]) for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()]
+    assert [x for x in got if x[0] < 3] == [(2, 7, 5, 5, False)]
+    assert len([x for x in got if x[0] == 3]) == 20 and all(x[4] for x in got if x[0] == 3)  # each is a question of that template
+
+
 # ------------------------------------------------------------- 9 quality
 
 
