@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stoptide.llm.common import read_table, stored
+from stoptide.llm.common import forget, read_table, stored
 from stoptide.llm.decontaminate import drop_leaks
 from stoptide.llm.ngram_join import keep_one_each
 from stoptide.llm.quality import quality_filter
@@ -61,8 +61,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``."""
-    docs = read_table(spark, sf_dir, "documents")
+    """Applies the stages to ``documents``; a stage's table goes once the next one is written."""
+    docs, held = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.split()[0])
+        if held is not None:
+            forget(held)
+        held = docs
     return STAGES[-1][1](spark, docs, sf_dir)
