@@ -347,6 +347,7 @@ def count_links(members: DataFrame, num: int, den: int) -> DataFrame:
         lists = group["tokens"].combine_chunks()
         offsets, tokens = lists.offsets.to_numpy(), lists.values.to_numpy()
         out_nid, out_links = [], []
+        b1, b2 = group["b1"][0].as_py(), group["b2"][0].as_py()
         edge = np.flatnonzero(np.append(True, root[1:] != root[:-1])).tolist() + [len(root)]
         for lo, hi in zip(edge[:-1], edge[1:], strict=True):
             m = hi - lo
@@ -354,9 +355,7 @@ def count_links(members: DataFrame, num: int, den: int) -> DataFrame:
             _, column, count = np.unique(tokens[offsets[lo] : offsets[hi]], return_inverse=True, return_counts=True)
             again = count > 1  # a token of one class alone adds to no pair
             row, column = row[again[column]], (np.cumsum(again) - 1)[column][again[column]]
-            two = block[lo:hi].max() != block[lo:hi].min()
-            left = np.flatnonzero(block[lo:hi] == block[lo:hi].min())
-            right = np.flatnonzero(block[lo:hi] == block[lo:hi].max())
+            left, right = (np.flatnonzero(block[lo:hi] == b) for b in (b1, b2))  # one of two blocks may be empty
             common = np.zeros((len(left), len(right)), dtype=np.float32)
             order = np.argsort(column, kind="stable")
             row, column = row[order], column[order]
@@ -367,11 +366,11 @@ def count_links(members: DataFrame, num: int, den: int) -> DataFrame:
                 common += holds[left] @ holds[right].T
             own = sizes[lo:hi]
             linked = common.astype(np.int64) * (num + den) >= num * (own[left][:, None] + own[right][None, :])
-            if not two:
+            if b1 == b2:
                 np.fill_diagonal(linked, False)
             out_nid.append(nid[lo:hi][left])
             out_links.append(linked @ copies[lo:hi][right])
-            if two:
+            if b1 != b2:
                 out_nid.append(nid[lo:hi][right])
                 out_links.append(linked.T @ copies[lo:hi][left])
         return pa.table({"nid": np.concatenate(out_nid), "links": np.concatenate(out_links).astype(np.int64)})

@@ -201,6 +201,14 @@ def test_components(spark):
     assert star_components(chain).filter("root != 0").count() == 0
 
 
+def test_links_when_a_block_is_empty(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 2)
+    words = lambda k: [f"w{k}x{i}" for i in range(30)]
+    rows = [(3 * k + c, " ".join([*words(k), *["end"] * c])) for k in range(40) for c in range(3)]
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 80, 100).collect()
+    assert {(r["component_id"], r["n_links"]) for r in got} == {(3 * k, 2) for k in range(40)} and len(got) == 120
+
+
 # ------------------------------------------------------------- 3 language id
 
 
