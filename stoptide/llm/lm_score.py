@@ -10,13 +10,17 @@ and triples, N training tokens and V distinct ones:
 * p(w | a b) = (n(a b w) - DISCOUNT) / n(a b), if that triple is an arc, plus p(w | b) times what the
   arcs of a b leave over, which is what failing costs.
 
-Each sums to one over all words. A text is read once from left to right; a position's state is the
-pair before it, the word before it where that pair was never trained on, and so on.
+Each sums to one over all words. A text is read once from left to right: from the state that the words
+so far have led to, the arc of the next word is taken, after as many failures as it needs; their
+logarithms add up, and the arc's target is the next state. A state is the longest of pair, word and
+nothing that was trained on, so any two words fix it. A long text is therefore read in several spans
+side by side, each of which is entered two words early.
 
 No table of arcs is sent whole. Documents are packed into blocks of bounded size. A block asks ranges
 of word hashes, and ranges of pair hashes with the words that follow each pair, for the counts of all
-blocks; keys travel sorted and packed, once there, and only counts come back. Of a word's hash 56 bits
-travel, of a pair's 48, of a following word's 28 beside its pair.
+blocks; keys travel sorted and packed, once there, and only counts come back, from which the block
+builds the part of the automaton that its texts can reach. Of a word's hash 56 bits travel, of a
+pair's 48, of a following word's 28 beside its pair.
 
 Defined results: null or empty text is its end alone; rows without an id are scored and neither
 train nor are held out; repeated rows count and are scored each; without training rows all
@@ -40,6 +44,8 @@ BLOCK_TOKENS, RANGE_BYTES = 1_250_000, 16_000_000
 #: The smoothing: what every word has beside its count, the weight of the lower order under a word, what
 #: a triple's count is lowered by, and the least count of a triple that makes an arc.
 FLOOR, PRIOR, DISCOUNT, LEAST_ARC = 0.5, 10.0, 0.5, 2
+#: Tokens of a span: texts of a block are read side by side, longer ones as several spans.
+SPAN = 512
 #: The end of a text, as a word's hash.
 END = np.uint64(0xE0D0E0D0E0D0D1)
 #: Bits of the hashes of words, of pairs, and of words that follow a pair.
@@ -215,6 +221,89 @@ def gram_counts(blocks: DataFrame, parts: int) -> DataFrame:
     return asked.groupBy("part").applyInArrow(answer, "block bigint, part int, body binary, more binary")
 
 
+class Automaton:
+    """States, arcs and failure arcs; weights are log10 probabilities.
+
+    State 0 is the empty context, 1 to ``words`` are the words, those after it the pairs. ``keys`` are
+    state * words + word of all arcs, in order, with their ``weights`` and ``targets``; ``fail_to`` and
+    ``fail_cost`` are the failure arc of each state. The empty context has an arc for every word.
+    """
+
+    def __init__(self, words: int, arcs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], fail_to: np.ndarray, fail_cost: np.ndarray):
+        self.words, self.fail_to, self.fail_cost = words, fail_to, fail_cost
+        keys = np.concatenate([state * words + word for state, word, _, _ in arcs])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.weights, self.targets = (np.concatenate([x[k] for x in arcs])[order] for k in (2, 3))
+
+    def read(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From each state reads one word: the weight, failures included, and the next state."""
+        weight, after, at = np.zeros(len(state)), np.empty(len(state), dtype=np.int64), np.arange(len(state))
+        while len(at):
+            key = state * self.words + word
+            arc = np.searchsorted(self.keys, key)
+            arc[arc == len(self.keys)] = 0
+            has = self.keys[arc] == key
+            weight[at[has]] += self.weights[arc[has]]
+            after[at[has]] = self.targets[arc[has]]
+            at, state, word = at[~has], state[~has], word[~has]
+            weight[at] += self.fail_cost[state]
+            state = self.fail_to[state]
+        return weight, after
+
+    def traverse(self, ids: np.ndarray, first: np.ndarray, span: int = SPAN) -> np.ndarray:
+        """The weight of every token: all texts are read side by side, a token a step."""
+        sizes = np.diff(first)
+        spans = -(-sizes // span)
+        text = np.repeat(np.arange(len(sizes)), spans)
+        start = first[text] + span * (np.arange(len(text)) - np.repeat(np.cumsum(spans) - spans, spans))
+        stop = np.minimum(start + span, first[text + 1])
+        enter = np.maximum(start - 2, first[text])
+        longest = np.argsort(enter - stop, kind="stable")
+        start, stop, enter = start[longest], stop[longest], enter[longest]
+        weights, state = np.zeros(len(ids)), np.zeros(len(start), dtype=np.int64)
+        for step in range(int((stop - enter).max(initial=0))):
+            n = int(np.searchsorted(enter - stop, -step, side="left"))  # spans that aren't read to their end
+            at = enter[:n] + step
+            weight, state = self.read(state[:n], ids[at])
+            own = at >= start[:n]
+            weights[at[own]] = weight[own]
+        return weights
+
+
+def automaton_of(ids: np.ndarray, g: Grams, c: np.ndarray, n2: np.ndarray, s: np.ndarray, t: np.ndarray, n3: np.ndarray, total: int, distinct: int) -> Automaton:
+    """The part of the automaton that a block's texts reach, from the counts of its words (c), of its pairs
+    (n2, with the sums s and numbers t of the arcs that follow them) and of its triples (n3)."""
+    words, pairs = len(c), len(g.pairs)
+    one = (c + FLOOR) / (total + FLOOR * (distinct + 1))
+    everything = np.arange(words)
+    ends = np.empty(pairs, dtype=np.int64)  # a place that ends each pair
+    ends[g.pair] = g.at2
+    left, right = ids[ends - 1], ids[ends]
+    two = (n2 + PRIOR * one[right]) / (c[left] + PRIOR)
+    known = np.flatnonzero(n2 > 0)
+    rest = np.ones(pairs)
+    rest[known] = (n2 - s + DISCOUNT * t)[known] / n2[known]
+    ends = np.empty(len(g.follow), dtype=np.int64)  # a place that ends each triple
+    ends[g.triple] = g.at3
+    context = np.empty(len(g.follow), dtype=np.int64)
+    context[g.triple] = g.context
+    last = np.full(len(ids), -1, dtype=np.int64)
+    last[g.at2] = g.pair
+    last = last[ends]
+    arc = np.flatnonzero(n3 > 0)
+    three = (n3[arc] - DISCOUNT) / n2[context[arc]] + rest[context[arc]] * two[last[arc]]
+    arcs = [
+        (np.zeros(words, dtype=np.int64), everything, np.log10(one), np.where(c > 0, 1 + everything, 0)),
+        (1 + left[known], right[known], np.log10(two[known]), 1 + words + known),
+        (1 + words + context[arc], ids[ends[arc]], np.log10(three), 1 + words + last[arc]),
+    ]
+    fail_to = np.concatenate([[0], np.zeros(words, dtype=np.int64), 1 + right])
+    with np.errstate(divide="ignore"):  # nothing fails from a pair whose arcs leave nothing over
+        fail_cost = np.log10(np.concatenate([[1.0], PRIOR / (c + PRIOR), rest]))
+    return Automaton(words, arcs, fail_to, fail_cost)
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """From (doc_id, text, train, held), per row: held_out, n_tokens, n_known, train_tokens, base_score, score."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -247,13 +336,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         base = np.log10((c + 1.0) / (total + distinct + 1.0))
         logp = np.zeros(len(ids))
         if total:
-            one = (c + FLOOR) / (total + FLOOR * (distinct + 1))
-            p, g = one[ids], Grams(h[ids], first)
-            p[g.at2] = (n2[g.pair] + PRIOR * p[g.at2]) / (c[ids[g.at2 - 1]] + PRIOR)
-            seen = np.maximum(n2[g.context], 1.0)
-            rest = (seen - s[g.context] + DISCOUNT * t[g.context]) / seen  # a pair never trained on has no arcs and leaves all
-            p[g.at3] = np.where(n3[g.triple] > 0, n3[g.triple] - DISCOUNT, 0.0) / seen + rest * p[g.at3]
-            logp = np.log10(p)
+            logp = automaton_of(ids, Grams(h[ids], first), c, n2, s, t, n3, total, distinct).traverse(ids, first)
         n = len(sizes)
         return pa.table(
             {

@@ -450,6 +450,41 @@ def test_lm_score(spark, texts, monkeypatch, small):
     assert sum(p3(w, a, b) for w in c) + p3("never read", a, b) == pytest.approx(1)
 
 
+def test_lm_states_and_failures():
+    rng = np.random.default_rng(5)
+    first = np.array([0, 1400, 1401, 1900, 3000])
+    ids = rng.integers(1, 12, first[-1])
+    ids[first[1:] - 1] = 0  # the ends
+    ids[-40:-1:2] = 12  # never trained on
+    g = lm_score.Grams(np.arange(1, 14, dtype=np.uint64)[ids] << np.uint64(40), first)
+    trained = np.arange(len(ids)) < first[3]
+    c = np.bincount(ids[trained], minlength=13).astype(float)
+    n2 = np.bincount(g.pair[trained[g.at2]], minlength=len(g.pairs)).astype(float)
+    n3 = np.bincount(g.triple[trained[g.at3]], minlength=len(g.follow)).astype(float)
+    n3[n3 < lm_score.LEAST_ARC] = 0
+    context = np.empty(len(g.follow), dtype=np.int64)
+    context[g.triple] = g.context
+    s, t = np.bincount(context, n3, len(g.pairs)), np.bincount(context[n3 > 0], minlength=len(g.pairs)).astype(float)
+    a = lm_score.automaton_of(ids, g, c, n2, s, t, n3, int(c.sum()), int((c > 0).sum()))
+    assert len(a.fail_to) == 1 + 13 + len(g.pairs) and (a.fail_to[1:14] == 0).all() and ((a.fail_to[14:] >= 1) & (a.fail_to[14:] <= 13)).all()
+    assert a.fail_cost[1:14] == pytest.approx(np.log10(lm_score.PRIOR / (c + lm_score.PRIOR)))
+    assert len(a.keys) == 13 + (n2 > 0).sum() + (n3 > 0).sum()
+    # from the empty context and from every trained word and pair, the end's apart, all words together have probability one
+    going_on = a.fail_to[14:] != 1
+    for state in [0, *(2 + np.flatnonzero(c[1:] > 0)), *(14 + np.flatnonzero((n2 > 0) & going_on))]:
+        assert (10 ** a.read(np.full(13, state), np.arange(13))[0]).sum() == pytest.approx(1)
+    # a state is the longest trained context, and spans that are entered two words early come to the same
+    want, state = [], 0
+    for k, w in enumerate(ids.tolist()):
+        state = 0 if k in first else state
+        weight, after = a.read(np.array([state]), np.array([w]))
+        want.append(weight[0])
+        state = int(after[0])
+        assert state == 0 if not c[w] else state in (1 + w, *(14 + np.flatnonzero(n2 > 0)))
+    for span in (1, 2, 7, 512, 10_000):
+        assert a.traverse(ids, first, span) == pytest.approx(np.array(want))
+
+
 def test_lm_hostile(hostile):
     df = hostile.withColumn("train", F.lit(True)).withColumn("held", F.lit(False))
     got = {r["doc_id"]: r for r in lm_score.score_texts(df).collect()}
