@@ -1,12 +1,12 @@
 """Language identification by bit-sliced Bloom filters over byte n-grams.
 
 One filter holds all languages: every position has a bit per language, and the positions of an
-n-gram, and-ed, name all languages that contain it. A language contains an n-gram if its share of
-the language's n-grams comes near the largest share among languages. Of a text, the n-grams found
-per language are counted, corrected for the filter's false positives (its fill to the power of the
-number of positions), and the largest count decides. The filter is sized by what it holds, up to
-``MOST_POSITIONS``, so what is sent to all tasks is bounded; the counts behind it cover all training
-rows.
+n-gram, and-ed, name all languages that contain it. A language contains an n-gram that was seen twice
+or more in it and makes up ``LEAST_SHARE`` of its n-grams, whatever other languages do; so a language
+has at most 1 / ``LEAST_SHARE`` of them, at any size of the corpus, and each language's slice of the
+filter, sized by the largest language, is at most a third full. Of a text, the n-grams found per
+language are counted, corrected for the filter's false positives (its fill to the power of the number
+of positions), and the largest count decides. The counts behind the filter cover all training rows.
 
 Defined results: ``und`` with score 0 for null text or text without a letter, or if nothing was
 learned; a text of known letters but no known n-gram gets the commonest language with score 0; rows
@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from stoptide.llm.common import crc_mod, forget, mix, pieces, read_table, stored, text_bytes
 
 GRAM, HASHES = 4, 3
-#: Positions of the filter: a power of two, eight to an n-gram of a language, within these bounds (2 and 64 MB).
-LEAST_POSITIONS, MOST_POSITIONS = 1 << 18, 1 << 23
-#: A language contains an n-gram seen this often in it, at this part of the largest share or more.
-LEAST_COUNT, LEAST_PART = 2, 0.25
+#: Positions of the filter: a power of two, at least eight to an n-gram of the largest language, from 2 to 8 MB a 64 languages.
+LEAST_POSITIONS, MOST_POSITIONS = 1 << 18, 1 << 20
+#: A language contains an n-gram seen this often in it, and at this part of its n-grams or more.
+LEAST_COUNT, LEAST_SHARE = 2, 1e-5
 
 _FOLD = np.full(256, 0x20, dtype=np.uint8)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
@@ -122,12 +122,11 @@ def fit_filter(train: DataFrame, size: int | None = None) -> Filter | None:
         return None
     langs = [x for x, _ in sums]
     total, number = F.create_map(*(F.lit(y) for x in sums for y in x)), F.create_map(*(F.lit(y) for x in enumerate(langs) for y in x[::-1]))
-    parts = counts.select("gram", "n", number[F.col("lang")].alias("k"), (F.col("n") / total[F.col("lang")]).alias("part"))
-    best = parts.groupBy("gram").agg(F.max("part").alias("top"), F.collect_list(F.struct("k", "n", "part")).alias("all"))  # a struct a language
-    member = best.select("gram", "top", F.explode("all").alias("a")).filter(f"a.n >= {LEAST_COUNT} AND a.part >= {LEAST_PART} * top").select("gram", F.col("a.k").alias("k"))
-    member = stored(member, "members")
+    contained = (F.col("n") >= LEAST_COUNT) & (F.col("n") >= LEAST_SHARE * total[F.col("lang")])
+    member = stored(counts.filter(contained).select("gram", number[F.col("lang")].alias("k")), "members")
     forget(counts)
-    size = size or min(MOST_POSITIONS, max(LEAST_POSITIONS, 1 << (8 * member.count()).bit_length()))
+    most = member.groupBy("k").count().agg(F.max("count")).first()[0] or 0
+    size = size or min(MOST_POSITIONS, max(LEAST_POSITIONS, 1 << (8 * most).bit_length()))
     words = (len(langs) + 63) // 64
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

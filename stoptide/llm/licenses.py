@@ -333,8 +333,8 @@ def _places(phrase: str) -> str:
     return f"filter(sequence(0, size(_lw) - 1), i -> coalesce({test}, false))"
 
 
-#: Doublings of a running sum or maximum: enough for so many detections in a text, as a power of two.
-DOUBLINGS = 24
+#: Doublings of a running sum or maximum: no array has more elements than these reach.
+DOUBLINGS = 31
 
 
 def _running(values: str, step: str) -> str:

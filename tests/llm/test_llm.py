@@ -228,11 +228,7 @@ def test_langid_is_the_sets_without_a_filter(spark, docs):
     for lang, t in train:
         n[lang].update(grams(t))
     total = {x: sum(y.values()) for x, y in n.items()}
-    top = Counter()
-    for x, y in n.items():
-        for g, k in y.items():
-            top[g] = max(top[g], k / total[x])
-    own = {x: {g for g, k in y.items() if k >= langid.LEAST_COUNT and k / total[x] >= langid.LEAST_PART * top[g]} for x, y in n.items()}
+    own = {x: {g for g, k in y.items() if k >= langid.LEAST_COUNT and k >= langid.LEAST_SHARE * total[x]} for x, y in n.items()}
     model = langid.fit_filter(docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text"))
     got = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
     same = 0
