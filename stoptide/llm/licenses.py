@@ -6,7 +6,7 @@ of license texts and notices, and the forms in which a license is named. A detec
 or more trusted one is suppressed: rules rank by form (an identifier line over a license's own words
 and a notice over an address over a mention over a bare name), then by order in the table. Starts of
 detections are running sums, and what is suppressed follows from running maxima over detections in
-order, both by doubling steps, so the work grows with a text's length, not with its square.
+order, both by steps that reach four times as far each, so the work grows with a text's length, not with its square.
 
 Defined results: null or empty text has no words and no labels; a null doc_id stays null; repeated
 rows are scanned each on its own; an empty table gives an empty result; other columns are ignored.
@@ -38,14 +38,14 @@ FAMILIES = (
     ("mit", r"mit(?: x11)?|expat|massachusetts institute of technology", "mit"),
     ("apache-2", r"apache(?: software)?(?: license)?(?: version)? 2(?: 0)?", "apache 2 0"),
     ("apache-1.1", r"apache(?: software)?(?: license)?(?: version)? 1 1", "apache 1 1"),
-    ("gpl-3", r"gnu (?:gpl|general public license)(?: as published by the free software foundation)?(?: either)?(?: version)? v?3(?: 0)?", "gpl 3 0"),
-    ("gpl-2", r"gnu (?:gpl|general public license)(?: as published by the free software foundation)?(?: either)?(?: version)? v?2(?: 0)?", "gpl 2 0"),
-    ("gpl-1", r"gnu (?:gpl|general public license)(?: version)? v?1(?: 0)?", "gpl 1 0"),
-    ("gpl", r"gnu general public license|gnu gpl|gpl(?: ?v?[123])?", "gpl"),
-    ("lgpl-3", r"gnu (?:lgpl|lesser general public license)(?: version)? v?3(?: 0)?", "lgpl 3 0"),
-    ("lgpl-2.1", r"gnu (?:lgpl|lesser general public license)(?: version)? v?2 1", "lgpl 2 1"),
-    ("lgpl-2", r"gnu (?:lgpl|library general public license)(?: version)? v?2(?: 0)?", "lgpl 2 0"),
-    ("agpl-3", r"(?:gnu )?affero general public license(?: version)? v?3(?: 0)?", "agpl 3 0"),
+    ("gpl-3", r"(?:gnu )?(?:gpl|general public license)(?: as published by the free software foundation)?(?: either)?(?: version)? ?v?3(?: 0)?", "gpl 3 0"),
+    ("gpl-2", r"(?:gnu )?(?:gpl|general public license)(?: as published by the free software foundation)?(?: either)?(?: version)? ?v?2(?: 0)?", "gpl 2 0"),
+    ("gpl-1", r"(?:gnu )?(?:gpl|general public license)(?: version)? ?v?1(?: 0)?", "gpl 1 0"),
+    ("gpl", r"gnu general public license|gnu gpl|gpl", "gpl"),
+    ("lgpl-3", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version)? ?v?3(?: 0)?", "lgpl 3 0"),
+    ("lgpl-2.1", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version)? ?v?2 1", "lgpl 2 1"),
+    ("lgpl-2", r"(?:gnu )?(?:lgpl|library general public license)(?: version)? ?v?2(?: 0)?", "lgpl 2 0"),
+    ("agpl-3", r"(?:gnu )?(?:agpl|affero general public license)(?: version)? ?v?3(?: 0)?", "agpl 3 0"),
     ("gfdl", r"gnu free documentation license(?: version)?(?: 1 [123])?", "gfdl 1 3"),
     ("mpl-2", r"mozilla public license(?: version)? v?2(?: 0)?", "mpl 2 0"),
     ("mpl-1.1", r"mozilla public license(?: version)? v?1 1", "mpl 1 1"),
@@ -99,6 +99,8 @@ FORMS = (
     (3, r"(?:opensource org|spdx org|gnu org|creativecommons org|choosealicense com) licen[sc]es (?:{spdx})", "org|com"),
     (2, r"(?:{name}) licen[sc]ed?", "licen"),
 )
+#: Families whose name is a plain word or another thing's: it names a license only where that word follows.
+PLAIN_NAMES = ("ruby", "openssl", "postgresql", "vim", "curl", "zlib", "ncsa")
 #: Families whose bare name is a mention by itself: it can hardly mean anything else.
 BARE = ("apache-2", "gpl-3", "gpl-2", "lgpl-3", "lgpl-2.1", "agpl-3", "mpl-2", "mpl-1.1", "bsd-2-clause", "bsd-3-clause", "epl-2", "epl-1", "eupl", "cddl", "ofl", "odbl", "cc0", "cc-by", "cc-by-sa", "cc-by-nc", "cc-by-nd", "cc-by-nc-sa", "cc-by-nc-nd", "unlicense", "proprietary")
 #: Label and a sentence, or part of one, of the license's text or of its usual notice, as
@@ -278,6 +280,8 @@ def signature_rules() -> list[tuple[str, str, str, int]]:
     for label, name, spdx in FAMILIES:
         keyword = "|".join(name_keywords(name))
         for rank, form, _ in FORMS:
+            if label in PLAIN_NAMES:
+                form = form.replace("(?: licen[sc]e)?", " licen[sc]e")
             out.append((label, f"(?:{keyword}| spdx| licen[sc]es)", form.replace("{name}", name).replace("{spdx}", spdx), rank))
         if label in BARE:
             out.append((label, f"(?:{keyword})", f"(?:{name})", 1))
@@ -333,22 +337,26 @@ def _places(phrase: str) -> str:
     return f"filter(sequence(0, size(_lw) - 1), i -> coalesce({test}, false))"
 
 
-#: Doublings of a running sum or maximum: no array has more elements than these reach.
-DOUBLINGS = 31
+#: Steps of a running sum or maximum, each over four times as many: no array has more elements than these reach.
+STEPS = 16
 
 
 def _running(values: str, step: str) -> str:
-    """SQL for the running sums or maxima of an array, by doubling: ``step`` puts x and the value y before it together."""
+    """SQL for the running sums or maxima of an array: ``step`` puts x and the value y before it together, if there is one."""
     out = values
-    for k in range(DOUBLINGS):
-        out = f"transform(array({out}), a -> CASE WHEN size(a) > {1 << k} THEN transform(a, (x, i) -> coalesce({step.replace('y', f'get(a, i - {1 << k})')}, x)) ELSE a END)[0]"
+    for k in range(STEPS):
+        joined = "x"
+        for back in (4**k, 2 * 4**k, 3 * 4**k):
+            if back < 1 << 31:
+                joined = step.replace("x", joined).replace("y", f"get(a, i - {back})")
+        out = f"transform(array({out}), a -> CASE WHEN size(a) > {4**k} THEN transform(a, (x, i) -> {joined}) ELSE a END)[0]"
     return out
 
 
 def _hits(norm: str, rule: str) -> str:
     """SQL for a rule's detections: the expression splits the text once, and starts are running sums."""
     steps = "transform(z.ms, (m, k) -> length(get(z.gaps, k)) + coalesce(length(get(z.ms, k - 1)), 0))"
-    spans = f"transform({_running(steps, 'x + y')}, (s, k) -> struct(s AS start, -(s + length(get(z.ms, k))) AS stop, -{rule}.rank AS rank, {rule}.ord AS ord, {rule}.label AS label))"
+    spans = f"transform({_running(steps, 'x + ifnull(y, 0)')}, (s, k) -> struct(s AS start, -(s + length(get(z.ms, k))) AS stop, -{rule}.rank AS rank, {rule}.ord AS ord, {rule}.label AS label))"
     return f"flatten(transform(array(struct(regexp_extract_all({norm}, {rule}.rx, 0) AS ms, split({norm}, {rule}.rx, -1) AS gaps)), z -> {spans}))"
 
 

@@ -313,6 +313,9 @@ def test_license_rules(spark, hostile):
     cases = {
         1: ("SPDX-License-Identifier: GPL-3.0", "gpl-3"), 2: ("cc by nc CC-BY-NC", "cc-by-nc"), 3: ("Released under the BSD 3-Clause License", "bsd-3-clause"),
         4: ("GNU Lesser General Public License version 2.1 applies", "lgpl-2.1"), 5: ("creative commons attribution sharealike 4.0", "cc-by-sa"), 6: ("the admit cat under a tree", ""),
+        7: ("licensed under the GPLv3", "gpl-3"), 8: ("Licensed under GPL version 3 or later", "gpl-3"), 9: ("released under ruby skies we walked", ""), 10: ("available under vim settings", ""),
+        11: ("distributed under the curl of the wave", ""), 12: ("distributed under the curl license", "curl"), 13: ("terms of the Ruby licence", "ruby"), 14: ("under LGPL-2.1 or GPLv2", "gpl-2,lgpl-2.1"),
+        15: ("the AGPLv3 applies", "agpl-3"), 16: ("GNU lesser general public license v3", "lgpl-3"), 17: ("licensed under the GPL", "gpl"),
     }
     df = spark.createDataFrame([(k, v[0]) for k, v in cases.items()], "doc_id int, text string")
     assert {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(df).collect()} == {k: v[1] for k, v in cases.items()}
