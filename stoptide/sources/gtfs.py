@@ -19,7 +19,11 @@ CATEGORIES = ("Växjö city lines", "Other town lines", "Regional lines", "Schoo
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with header, RFC 4180 quotes, all columns text; ids keep their digits and zeros."""
+    """A CSV with header, RFC 4180 quotes, all columns text; ids keep their digits and zeros.
+
+    Lines may end in any of the usual ways, or in a doubled carriage return as some archives write it:
+    the empty line that this leaves is no row.
+    """
     return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False).option("inferSchema", False).csv(path)
 
 

@@ -19,6 +19,14 @@ def test_csv_by_name_with_quotes(spark, tmp_path):
     assert got[1]["stop_name"] is None and got[1]["stop_lat"] is None
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r\r\n"])
+def test_csv_line_ends(spark, tmp_path, end):
+    (tmp_path / "stops.txt").write_bytes(end.join(["stop_id,stop_name,stop_lat,location_type", '007,"a, b",1.5,1', "8,,,", '"9",x,2,0', ""]).encode())
+    got = gtfs.read_schedule_file(spark, str(tmp_path), "stops")
+    assert got.columns == ["stop_id", "stop_name", "stop_lat", "location_type"]
+    assert sorted(map(tuple, got.collect())) == [("007", "a, b", 1.5, 1), ("8", None, None, None), ("9", "x", 2.0, 0)]
+
+
 def test_categories_report_all_problems(spark, tmp_path):
     p = tmp_path / "c.csv"
     p.write_text("route_id,category,town\n1,School routes,\n1,School routes,\n2,Nonsense,\n3,Other town lines,\n")
