@@ -8,15 +8,10 @@ from stoptide.plans.engine import stated
 from stoptide.sources.analogs import GAP_S
 
 
-def _trips_by(keys: str, source: str) -> str:
-    return f"SELECT {keys}, {m.trip_aggregates()} FROM {source} GROUP BY {keys}"
-
-
 def _events_by(d: Spark, keys: str, source: str, having: str = "") -> str:
     return f"SELECT {keys}, {m.event_aggregates(d)} FROM {source} GROUP BY {keys} {having}"
 
 
-DAY_TRIPS = "(SELECT e.month, e.day_type, t.* FROM {trips} t JOIN {day_expanded} e ON t.service_date = e.service_date) x"
 #: Departures that tables measure: in scope and not final.
 DEPARTURES = "(SELECT * FROM {stop_events} WHERE stop_position <> 'final' AND in_scope) v"
 
@@ -40,35 +35,49 @@ def _expanded(rows: str) -> str:
 
 
 def _measures(d: Spark, key: str, rows: str, carried: str = "", more: str = "") -> str:
-    """Measures by month, day type, stop set and a further key, from counts.
+    """Measures by month, day type, stop set and a further key, from counts: rows are read once.
 
-    Rows are counted once by status and delay under their own date's type; only counts are expanded,
-    and quantiles take counts as frequencies. A trip belongs to one date, so distinct trips add up.
+    Rows are counted by status and delay under their own date's type; only counts are expanded, and
+    quantiles take counts as frequencies. A trip belongs to one date, so distinct trips add up: one row
+    of each trip stands for it, an observed one if there is any, of a timing stop before others, so that
+    it counts under just those stop sets in which the trip was observed. Stop events are made by trip,
+    hence the window over trips needs no shuffle of its own.
     """
     if d.name == "duck":
         return _plain_measures(d, key, rows, more)
     key, carried = key and f", {key}", carried and f", {carried}"
-    keys, own = f"month, day_type, stop_set{key}", _own_month(d, rows)
-    delay = f"CASE WHEN {m.OBSERVED} THEN delay_s END"
-    hist = f"SELECT month, own_type{key}{carried}, is_timing_stop, status, {delay} AS delay_s, count(*) AS n FROM {own} GROUP BY month, own_type{key}{carried}, is_timing_stop, status, {delay}"
+    keys, delay = f"month, day_type, stop_set{key}", f"CASE WHEN {m.OBSERVED} THEN delay_s END"
+    stands = f"row_number() OVER (PARTITION BY service_date, trip_id{key} ORDER BY CASE WHEN {m.OBSERVED} THEN 0 ELSE 1 END, CASE WHEN is_timing_stop THEN 0 ELSE 1 END) = 1 AND {m.OBSERVED}"
+    own = _own_month(d, f"(SELECT *, {stands} AS stands FROM {rows})")
+    by = f"month, own_type{key}{carried}, is_timing_stop, status, {delay}"
+    hist = f"SELECT month, own_type{key}{carried}, is_timing_stop, status, {delay} AS delay_s, count(*) AS n, {m.count_if('stands')} AS n_trips FROM {own} GROUP BY {by}"
     counts = ", ".join(f"sum(CASE WHEN {c} THEN n ELSE 0 END) AS {x}" for x, c in m.EVENT_COUNTS.items())
-    qs = ", ".join(f"percentile(delay_s, {q}, n) FILTER (WHERE {m.OBSERVED}) AS {x}" for q, x in ((0.5, "median_delay_s"), (0.9, "p90_delay_s")))
-    seen = f"SELECT month, own_type{key}, service_date, trip_id, bool_or(is_timing_stop) AS is_timing_stop FROM {own} WHERE {m.OBSERVED} GROUP BY month, own_type{key}, service_date, trip_id"
-    seen = f"SELECT month, own_type{key}, is_timing_stop, count(*) AS n FROM ({seen}) t GROUP BY month, own_type{key}, is_timing_stop"
-    on = " AND ".join(f"a.{k.strip()} <=> b.{k.strip()}" for k in keys.split(","))
+    names = ", ".join(m.EVENT_COUNTS)
+    carry = more and f", {more}"
+    last = more and f", {more.rsplit(' ', 1)[1]}"
     return f"""
-        SELECT a.*, coalesce(b.observed_trips, 0L) AS observed_trips FROM (SELECT {keys}, {more and more + ', '}{counts}, {qs} FROM {_expanded(hist)} GROUP BY {keys}) a
-        LEFT JOIN (SELECT {keys}, sum(n) AS observed_trips FROM {_expanded(seen)} GROUP BY {keys}) b ON {on}"""
+        SELECT {keys}{last}, {names}, observed_trips, at_[0] AS median_delay_s, at_[1] AS p90_delay_s
+        FROM (SELECT {keys}{carry}, {counts}, sum(n_trips) AS observed_trips, percentile(delay_s, array(0.5, 0.9), n) FILTER (WHERE {m.OBSERVED}) AS at_ FROM {_expanded(hist)} GROUP BY {keys}) f"""
+
+
+def _trip_counts(d: Spark, key: str = "", source: str = "{trips}") -> str:
+    """The trip block and the dates behind it by month, day type and a further key; trips are counted by date first."""
+    key = key and f", {key}"
+    keys = f"month, day_type{key}"
+    if d.name == "duck":
+        days = f"(SELECT e.month, e.day_type, t.* FROM {source} t JOIN {{day_expanded}} e ON t.service_date = e.service_date) x"
+        return f"SELECT {keys}, count(DISTINCT service_date) AS service_dates, {m.trip_aggregates()} FROM {days} GROUP BY {keys}"
+    dates = f"SELECT service_date{key}, {m.trip_aggregates()} FROM {source} t GROUP BY service_date{key}"
+    sums = ", ".join(f"sum({n}) AS {n}" for n in m.TRIP_COUNTS)
+    return f"SELECT {keys}, count(*) AS service_dates, {sums} FROM (SELECT *, explode(array('all', own_type)) AS day_type FROM {_own_month(d, f'({dates})')}) x GROUP BY {keys}"
 
 
 @stated
 def network_monthly(d: Spark) -> str:
     """One row per month, day type and stop set: trips, punctuality, coverage and the reporting floor."""
     return m.with_floor(f"""
-        SELECT k.month, k.day_type, k.stop_set, k.service_dates, c.month_complete, {m.trip_columns('t')}, {m.event_columns('e')}
-        FROM (SELECT month, day_type, service_dates, {d.explode("'all_stops'", "'timing_stops'")} AS stop_set
-              FROM (SELECT month, day_type, count(DISTINCT service_date) AS service_dates FROM {{day_expanded}} GROUP BY month, day_type) x) k
-        JOIN ({_trips_by('month, day_type', DAY_TRIPS)}) t ON k.month = t.month AND k.day_type = t.day_type
+        SELECT k.month, k.day_type, k.stop_set, k.service_dates, c.month_complete, {m.trip_columns('k')}, {m.event_columns('e')}
+        FROM (SELECT *, {d.explode("'all_stops'", "'timing_stops'")} AS stop_set FROM ({_trip_counts(d)}) x) k
         LEFT JOIN ({_measures(d, '', DEPARTURES)}) e ON k.month = e.month AND k.day_type = e.day_type AND k.stop_set = e.stop_set
         JOIN {{complete}} c ON k.month = c.month""")
 
@@ -80,7 +89,7 @@ def route_monthly(d: Spark) -> str:
         SELECT k.month, k.day_type, k.stop_set, k.route_id, n.n_name AS route_name, k.service_dates, c.month_complete, {m.share('k.in_scope_trips', 'k.scheduled_trips')} AS in_scope_share,
             {m.trip_columns('k')}, {m.event_columns('e')}, coalesce(g.category, 'Unmapped') AS route_category, g.town
         FROM (SELECT *, {d.explode("'all_stops'", "'timing_stops'")} AS stop_set
-              FROM (SELECT month, day_type, route_id, count(DISTINCT service_date) AS service_dates, {m.trip_aggregates()} FROM {DAY_TRIPS} GROUP BY month, day_type, route_id) y) k
+              FROM ({_trip_counts(d, 'route_id')}) y) k
         JOIN {{nation}} n ON k.route_id = n.n_nationkey JOIN {{complete}} c ON k.month = c.month
         LEFT JOIN ({_measures(d, 'route_id', DEPARTURES)}) e
             ON k.month = e.month AND k.day_type = e.day_type AND k.stop_set = e.stop_set AND k.route_id = e.route_id
@@ -136,7 +145,7 @@ def category_monthly(d: Spark) -> str:
 
     return m.with_floor(f"""
         SELECT k.month, k.day_type, k.stop_set, k.route_category, c.month_complete, {m.trip_columns('k')}, {m.event_columns('e')}
-        FROM (SELECT *, {d.explode("'all_stops'", "'timing_stops'")} AS stop_set FROM ({_trips_by('month, day_type, route_category', mapped(DAY_TRIPS))}) y) k
+        FROM (SELECT *, {d.explode("'all_stops'", "'timing_stops'")} AS stop_set FROM ({_trip_counts(d, 'route_category', mapped('{trips}').removesuffix(' w'))}) y) k
         LEFT JOIN ({_measures(d, 'route_category', mapped(DEPARTURES))}) e
             ON k.month = e.month AND k.day_type = e.day_type AND k.stop_set = e.stop_set AND k.route_category = e.route_category
         JOIN {{complete}} c ON k.month = c.month""")
