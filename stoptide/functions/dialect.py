@@ -27,6 +27,9 @@ class Spark:
     def weekday(self, d: str) -> str:
         return f"weekday({d})"
 
+    def day_type(self, d: str) -> str:
+        return f"CASE WHEN {self.weekday(d)} = 5 THEN 'saturday' WHEN {self.weekday(d)} = 6 THEN 'sunday' ELSE 'weekday' END"
+
     def day_epoch(self, d: str) -> str:
         return f"(unix_date({d}) * 86400L)"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from stoptide.functions import measures as m
 from stoptide.functions.dialect import Spark
 from stoptide.plans.engine import stated
+from stoptide.plans.tabs import measured
 
 
 @stated
@@ -51,21 +52,22 @@ def _recurring(d: Spark) -> str:
 
 
 def _recurring_by_date() -> str:
-    """The same in two steps: first per journey and date, whose distinct trips and dates are rows then.
+    """The same from counts by date, status and delay, so that no group's delays are gathered.
 
-    The median is read from the group's sorted delays: linear between the two in the middle.
+    One observed row of a trip stands for it, and the latest observed one of a date for the date.
     """
-    late = f"{m.OBSERVED} AND delay_s > {m.LATE}"
-    step = f"""
-        SELECT {RECURRING}, service_date, x.trip_id, {m.count_if(m.ELIGIBLE)} AS eligible, {m.count_if(m.OBSERVED)} AS observed, {m.count_if(m.EVENT_COUNTS['on_time_departures'])} AS on_time,
-            {m.count_if(late)} AS late, collect_list(CASE WHEN {m.OBSERVED} THEN delay_s END) AS delays
-        FROM (SELECT t.*, j.start_s, j.day_type FROM {{timing}} t JOIN {{journeys}} j ON t.service_date = j.service_date AND t.trip_id = j.trip_id) x GROUP BY {RECURRING}, service_date, x.trip_id"""
-    middle = "CASE WHEN size(ds) > 0 THEN (get(ds, (size(ds) - 1) div 2) + get(ds, size(ds) div 2)) / 2D END"
-    dates = f"SELECT {RECURRING}, service_date, sum(eligible) AS eligible, sum(observed) AS observed, sum(on_time) AS on_time, count_if(observed > 0) AS trips, sum(late) AS late, flatten(collect_list(delays)) AS delays FROM ({step}) s GROUP BY {RECURRING}, service_date"
+    first = f"CASE WHEN {m.OBSERVED} THEN 0 ELSE 1 END"
+    rows = f"SELECT t.route_id, t.direction_id, j.start_s, j.day_type, t.service_date, status, delay_s, row_number() OVER (PARTITION BY t.service_date, t.trip_id ORDER BY {first}) = 1 AND {m.OBSERVED} AS stands FROM {{timing}} t JOIN {{journeys}} j ON t.service_date = j.service_date AND t.trip_id = j.trip_id"
+    hist = f"SELECT {RECURRING}, service_date, status, delay_s, count(*) AS n, count_if(stands) AS n_trips FROM ({rows}) x GROUP BY {RECURRING}, service_date, status, delay_s"
+    dates = f"SELECT *, row_number() OVER (PARTITION BY {RECURRING}, service_date ORDER BY {first}, delay_s DESC) = 1 AND {m.OBSERVED} AS is_date FROM ({hist}) h"
+
+    def total(cond: str) -> str:
+        return f"sum(CASE WHEN {cond} THEN n ELSE 0 END)"
+
     return f"""
-    SELECT {RECURRING}, eligible, observed, observed_trips, observed_dates, on_time, late_dates, {middle} AS median_delay
-    FROM (SELECT {RECURRING}, sum(eligible) AS eligible, sum(observed) AS observed, sum(trips) AS observed_trips, count_if(observed > 0) AS observed_dates, sum(on_time) AS on_time, count_if(late > 0) AS late_dates, array_sort(flatten(collect_list(delays))) AS ds
-          FROM ({dates}) d GROUP BY {RECURRING}) g"""
+    SELECT {RECURRING}, {total(m.ELIGIBLE)} AS eligible, {total(m.OBSERVED)} AS observed, sum(n_trips) AS observed_trips, count_if(is_date) AS observed_dates,
+        {total(m.EVENT_COUNTS['on_time_departures'])} AS on_time, count_if(is_date AND delay_s > {m.LATE}) AS late_dates, percentile(delay_s, 0.5, n) FILTER (WHERE {m.OBSERVED}) AS median_delay
+    FROM ({dates}) d GROUP BY {RECURRING}"""
 
 
 @stated
@@ -153,7 +155,7 @@ def route_direction_hour_cells(d: Spark) -> str:
     """Cells of route, direction and local hour with the reporting floor."""
     source = f"(SELECT *, {d.local_hour('scheduled_s')} AS hour_local FROM {{stop_events}} WHERE in_scope AND stop_position <> 'final') x"
     keys = "route_id, direction_id, hour_local"
-    return m.with_floor(f"SELECT e.route_id, e.direction_id, e.hour_local, {m.event_columns('e')} FROM (SELECT {keys}, {m.event_aggregates(d)} FROM {source} GROUP BY {keys}) e")
+    return m.with_floor(f"SELECT e.route_id, e.direction_id, e.hour_local, {m.event_columns('e')} FROM ({measured(d, keys, source, 'hour_local')}) e")
 
 
 @stated

@@ -5,11 +5,16 @@ from __future__ import annotations
 from stoptide.functions import measures as m
 from stoptide.functions.dialect import Spark
 from stoptide.plans.engine import stated
-from stoptide.sources.analogs import GAP_S
+from stoptide.sources.analogs import GAP_S, month_day
 
 
-def _events_by(d: Spark, keys: str, source: str, having: str = "") -> str:
-    return f"SELECT {keys}, {m.event_aggregates(d)} FROM {source} GROUP BY {keys} {having}"
+def _events_by(d: Spark, keys: str, source: str) -> str:
+    return f"SELECT {keys}, {m.event_aggregates(d)} FROM {source} GROUP BY {keys}"
+
+
+def measured(d: Spark, keys: str, rows: str, within: str = "") -> str:
+    """The measure block by keys; ``within`` names those keys that change inside a trip."""
+    return _events_by(d, keys, rows) if d.name == "duck" else _summed(keys, f"({_histogram(rows, keys, within)}) h")
 
 
 #: Departures that tables measure: in scope and not final.
@@ -24,40 +29,53 @@ def _plain_measures(d: Spark, key: str, rows: str, more: str = "") -> str:
 
 
 def _own_month(d: Spark, source: str) -> str:
-    kind = f"CASE WHEN {d.weekday('service_date')} = 5 THEN 'saturday' WHEN {d.weekday('service_date')} = 6 THEN 'sunday' ELSE 'weekday' END"
-    return f"(SELECT *, {d.month('service_date')} AS month, {kind} AS own_type FROM {source}) o"
+    return f"(SELECT *, {d.month('service_date')} AS month, {d.day_type('service_date')} AS own_type FROM {source}) o"
+
+
+def _both_sets(rows: str) -> str:
+    """Rows of sums under both stop sets that they belong to."""
+    sets = "explode(CASE WHEN is_timing_stop THEN array('all_stops', 'timing_stops') ELSE array('all_stops') END) AS stop_set"
+    return f"(SELECT *, {sets} FROM ({rows}) a) b"
 
 
 def _expanded(rows: str) -> str:
     """Rows of sums under both stop sets and both day types that they belong to."""
-    sets = "explode(CASE WHEN is_timing_stop THEN array('all_stops', 'timing_stops') ELSE array('all_stops') END) AS stop_set"
-    return f"(SELECT *, explode(array('all', own_type)) AS day_type FROM (SELECT *, {sets} FROM ({rows}) a) b) c"
+    return f"(SELECT *, explode(array('all', own_type)) AS day_type FROM {_both_sets(rows)}) c"
+
+
+def _histogram(rows: str, keys: str, within: str = "") -> str:
+    """Rows counted by keys, timing flag, status and delay, and how many trips' standing rows are among them.
+
+    One row of each trip, and of each part of it by ``within``, stands for it: an observed one if there is
+    any, of a timing stop before others, so that it counts under just those stop sets in which the trip was
+    observed. Stop events are made by trip, hence the window over trips needs no shuffle of its own.
+    """
+    delay = f"CASE WHEN {m.OBSERVED} THEN delay_s END"
+    part = "service_date, trip_id" + (within and f", {within}")
+    stands = f"row_number() OVER (PARTITION BY {part} ORDER BY CASE WHEN {m.OBSERVED} THEN 0 ELSE 1 END, CASE WHEN is_timing_stop THEN 0 ELSE 1 END) = 1 AND {m.OBSERVED}"
+    return f"SELECT {keys}, is_timing_stop, status, {delay} AS delay_s, count(*) AS n, {m.count_if('stands')} AS n_trips FROM (SELECT *, {stands} AS stands FROM {rows}) r GROUP BY {keys}, is_timing_stop, status, {delay}"
+
+
+def _summed(keys: str, hist: str, more: str = "") -> str:
+    """The measure block by keys from a histogram, whose counts are the quantiles' frequencies; ``more`` is a further aggregate with its name."""
+    counts = ", ".join(f"sum(CASE WHEN {c} THEN n ELSE 0 END) AS {x}" for x, c in m.EVENT_COUNTS.items())
+    name = more and f", {more.rsplit(' ', 1)[1]}"
+    return f"""
+        SELECT {keys}{name}, {', '.join(m.EVENT_COUNTS)}, observed_trips, at_[0] AS median_delay_s, at_[1] AS p90_delay_s
+        FROM (SELECT {keys}{more and f', {more}'}, {counts}, sum(n_trips) AS observed_trips, percentile(delay_s, array(0.5, 0.9), n) FILTER (WHERE {m.OBSERVED}) AS at_ FROM {hist} GROUP BY {keys}) f"""
 
 
 def _measures(d: Spark, key: str, rows: str, carried: str = "", more: str = "") -> str:
     """Measures by month, day type, stop set and a further key, from counts: rows are read once.
 
-    Rows are counted by status and delay under their own date's type; only counts are expanded, and
-    quantiles take counts as frequencies. A trip belongs to one date, so distinct trips add up: one row
-    of each trip stands for it, an observed one if there is any, of a timing stop before others, so that
-    it counts under just those stop sets in which the trip was observed. Stop events are made by trip,
-    hence the window over trips needs no shuffle of its own.
+    Rows are counted under their own date's type and only counts are expanded. A trip belongs to one
+    date, so distinct trips add up.
     """
     if d.name == "duck":
         return _plain_measures(d, key, rows, more)
-    key, carried = key and f", {key}", carried and f", {carried}"
-    keys, delay = f"month, day_type, stop_set{key}", f"CASE WHEN {m.OBSERVED} THEN delay_s END"
-    stands = f"row_number() OVER (PARTITION BY service_date, trip_id{key} ORDER BY CASE WHEN {m.OBSERVED} THEN 0 ELSE 1 END, CASE WHEN is_timing_stop THEN 0 ELSE 1 END) = 1 AND {m.OBSERVED}"
-    own = _own_month(d, f"(SELECT *, {stands} AS stands FROM {rows})")
-    by = f"month, own_type{key}{carried}, is_timing_stop, status, {delay}"
-    hist = f"SELECT month, own_type{key}{carried}, is_timing_stop, status, {delay} AS delay_s, count(*) AS n, {m.count_if('stands')} AS n_trips FROM {own} GROUP BY {by}"
-    counts = ", ".join(f"sum(CASE WHEN {c} THEN n ELSE 0 END) AS {x}" for x, c in m.EVENT_COUNTS.items())
-    names = ", ".join(m.EVENT_COUNTS)
-    carry = more and f", {more}"
-    last = more and f", {more.rsplit(' ', 1)[1]}"
-    return f"""
-        SELECT {keys}{last}, {names}, observed_trips, at_[0] AS median_delay_s, at_[1] AS p90_delay_s
-        FROM (SELECT {keys}{carry}, {counts}, sum(n_trips) AS observed_trips, percentile(delay_s, array(0.5, 0.9), n) FILTER (WHERE {m.OBSERVED}) AS at_ FROM {_expanded(hist)} GROUP BY {keys}) f"""
+    key_, carried = key and f", {key}", carried and f", {carried}"
+    hist = _histogram(_own_month(d, rows), f"month, own_type{key_}{carried}", key)
+    return _summed(f"month, day_type, stop_set{key_}", _expanded(hist), more)
 
 
 def _trip_counts(d: Spark, key: str = "", source: str = "{trips}") -> str:
@@ -108,7 +126,10 @@ def _daily(d: Spark, events: str) -> str:
 @stated
 def route_daily(d: Spark) -> str:
     """One row per date, route and stop set, with the date's own day type."""
-    return _daily(d, _events_by(d, "service_date, stop_set, route_id", "{set_events}"))
+    keys = "service_date, stop_set, route_id"
+    if d.name == "duck":
+        return _daily(d, _events_by(d, keys, "{set_events}"))
+    return _daily(d, _summed(keys, _both_sets(_histogram(DEPARTURES, "service_date, route_id"))))
 
 
 def _station(d: Spark, more: str) -> str:
@@ -203,10 +224,7 @@ def _feed_days(d: Spark) -> str:
             count(DISTINCT CASE WHEN snapshot_file % 53 = 0 THEN {d.tup('trip_id', 'stop_sequence')} END) AS schedule_mismatch_stop_events FROM {{feed}} GROUP BY {day}) f"""
 
 
-@stated
-def data_quality_daily(d: Spark) -> str:
-    """One row per date from ten relations: the feed's figures, its outages clipped to the day, trips, coverage
-    and unmapped routes; dates without an outage vanish, as published."""
+def _plain_quality(d: Spark) -> str:
     return f"""
     SELECT f.service_date, dt.day_type, f.distinct_snapshots, f.duplicate_snapshots, {d.local('f.first_s')} AS first_snapshot_local, {d.local('f.last_s')} AS last_snapshot_local,
         g.longest_outage_s, {d.local('l.gap_start_s')} AS longest_outage_start_local, {d.local('l.gap_end_s')} AS longest_outage_end_local, g.outages,
@@ -226,6 +244,29 @@ def data_quality_daily(d: Spark) -> str:
     LEFT JOIN (SELECT m.service_date, count(*) AS unmapped_route_trips FROM {{trips}} t JOIN {{month_days}} m ON t.service_date = m.trip_date LEFT JOIN {{categories}} c ON t.route_id = c.route_id WHERE t.in_scope AND c.route_id IS NULL GROUP BY m.service_date) u ON f.service_date = u.service_date"""
 
 
+@stated(plainly=_plain_quality)
+def data_quality_daily(d: Spark) -> str:
+    """One row per date from ten relations: the feed's figures, its outages clipped to the day, trips, coverage
+    and unmapped routes; dates without an outage vanish, as published.
+
+    Outages, trips and stop events are each aggregated once; the day of the feed's month is worked out from a row's own date.
+    """
+    day, dealt = month_day(d, "service_date"), "SELECT * FROM (SELECT *, {0} AS feed_date FROM {1}) r"
+    outages = f"""SELECT service_date, count(*) AS outages, max(gap_s) AS longest_outage_s, min(struct(-gap_s, gap_start_s, gap_end_s)) AS longest,
+            cast(sum(greatest(0, least(gap_end_s, {d.utc_of('service_date', 22)}) - greatest(gap_start_s, {d.utc_of('service_date', 6)}))) AS double) / 60 AS minutes FROM {{clipped}} GROUP BY service_date"""
+    statuses = {"in_scope_trips": "t.in_scope", "trips_no_realtime_data": "t.trip_status = 'no_realtime_data'", "trips_no_realtime_data_in_outage": "t.no_data_in_outage", "cancelled_trips": "t.trip_status = 'cancelled'", "unmapped_route_trips": "t.in_scope AND c.route_id IS NULL"}
+    trips = f"SELECT feed_date, {', '.join(f'{m.count_if(c)} AS {n}' for n, c in statuses.items())} FROM ({dealt.format(day, '{trips}')}) t LEFT JOIN {{categories}} c ON t.route_id = c.route_id GROUP BY feed_date"
+    events = f"""SELECT feed_date, {m.count_if(f'in_scope AND {m.ELIGIBLE}')} AS eligible, {m.count_if(f'in_scope AND {m.OBSERVED}')} AS observed, {m.count_if("status = 'dst_ambiguous'")} AS dst_ambiguous_departures
+        FROM ({dealt.format(day, '{stop_events}')}) e WHERE stop_position <> 'final' GROUP BY feed_date HAVING bool_or(in_scope)"""
+    return f"""
+    SELECT f.service_date, {d.day_type('f.service_date')} AS day_type, f.distinct_snapshots, f.duplicate_snapshots, {d.local('f.first_s')} AS first_snapshot_local, {d.local('f.last_s')} AS last_snapshot_local,
+        g.longest_outage_s, {d.local('g.longest.gap_start_s')} AS longest_outage_start_local, {d.local('g.longest.gap_end_s')} AS longest_outage_end_local, g.outages,
+        round(g.minutes, 2) AS outage_minutes_06_22, f.local_hours_without_snapshots, {m.share('f.with_marker', 'f.with_held')} AS marker_share, f.out_of_scope_trips_in_feed,
+        t.in_scope_trips, t.trips_no_realtime_data, t.trips_no_realtime_data_in_outage, t.cancelled_trips, {m.share('e.observed', 'e.eligible')} AS coverage_share,
+        e.dst_ambiguous_departures, f.schedule_mismatch_stop_events, f.unmatched_realtime_trips, t.unmapped_route_trips
+    FROM {_feed_days(d)} JOIN ({outages}) g ON f.service_date = g.service_date JOIN ({trips}) t ON f.service_date = t.feed_date JOIN ({events}) e ON f.service_date = e.feed_date"""
+
+
 @stated
 def headline_crosscheck(d: Spark) -> str:
     """Headline counts from raw rows against the sums of the published months: the difference is zero."""

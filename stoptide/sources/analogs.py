@@ -36,10 +36,11 @@ def trips(d: Spark) -> str:
 
 @relation
 def stop_rows(d: Spark) -> str:
+    """The trip's id has its name before rows are brought together by it: the join with trips then takes that partitioning over."""
     return """
-    SELECT l_orderkey AS trip_id, l_suppkey AS stop_id, l_partkey, l_quantity, l_linestatus = 'O' AS is_timing_stop, count(*) OVER (PARTITION BY l_orderkey) AS n_stops,
-        cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS int) AS stop_sequence
-    FROM {lineitem}"""
+    SELECT trip_id, stop_id, l_partkey, l_quantity, is_timing_stop, count(*) OVER (PARTITION BY trip_id) AS n_stops,
+        cast(row_number() OVER (PARTITION BY trip_id ORDER BY l_linenumber, l_partkey, stop_id, l_extendedprice) AS int) AS stop_sequence
+    FROM (SELECT l_orderkey AS trip_id, l_suppkey AS stop_id, l_partkey, l_quantity, l_linestatus = 'O' AS is_timing_stop, l_linenumber, l_extendedprice FROM {lineitem}) l"""
 
 
 @relation
@@ -70,8 +71,7 @@ def stop_events(d: Spark) -> str:
 @relation
 def day_types(d: Spark) -> str:
     return f"""
-    SELECT service_date, {d.month('service_date')} AS month,
-        CASE WHEN {d.weekday('service_date')} = 5 THEN 'saturday' WHEN {d.weekday('service_date')} = 6 THEN 'sunday' ELSE 'weekday' END AS day_type
+    SELECT service_date, {d.month('service_date')} AS month, {d.day_type('service_date')} AS day_type
     FROM (SELECT DISTINCT service_date FROM {{trips}}) x"""
 
 
@@ -113,11 +113,17 @@ def positions(d: Spark) -> str:
     FROM (SELECT station_id, min(stop_id) AS k FROM {{stations}} GROUP BY station_id) s CROSS JOIN (SELECT month, service_date FROM {{day_types}} WHERE cast(day(service_date) AS int) % 9 = 1) e"""
 
 
+def month_day(d: Spark, x: str) -> str:
+    """The day of the feed's month that a date of the schedule is dealt to."""
+    if d.name == "spark":
+        return f"date_add({d.day('2024-01-01')}, cast({d.day_epoch(x)} / 86400 % 30 AS int))"
+    return f"({d.day('2024-01-01')} + cast({d.day_epoch(x)} // 86400 % 30 AS int))"
+
+
 @relation
 def month_days(d: Spark) -> str:
     """The schedule's dates dealt over the days of the feed's month, so that both sides of a daily table meet."""
-    day = f"date_add({d.day('2024-01-01')}, cast({d.day_epoch('trip_date')} / 86400 % 30 AS int))" if d.name == "spark" else f"({d.day('2024-01-01')} + cast({d.day_epoch('trip_date')} // 86400 % 30 AS int))"
-    return f"SELECT service_date, trip_date, CASE WHEN {d.weekday('service_date')} = 5 THEN 'saturday' WHEN {d.weekday('service_date')} = 6 THEN 'sunday' ELSE 'weekday' END AS day_type FROM (SELECT {day} AS service_date, trip_date FROM (SELECT DISTINCT service_date AS trip_date FROM {{trips}}) x) y"
+    return f"SELECT service_date, trip_date, {d.day_type('service_date')} AS day_type FROM (SELECT {month_day(d, 'trip_date')} AS service_date, trip_date FROM (SELECT DISTINCT service_date AS trip_date FROM {{trips}}) x) y"
 
 
 @relation
