@@ -6,7 +6,10 @@ import re
 
 import pytest
 
+from stoptide.functions.dialect import SPARK
 from stoptide.plans import load_catalog
+from stoptide.plans.engine import frame
+from stoptide.sources.analogs import RELATIONS
 
 SF = "/root/testdata/sf0.01"
 #: How often a published table's query may read stop events' rows, and files in all.
@@ -57,3 +60,11 @@ def test_single_task_windows_see_only_edges_of_days(spark):
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line and any(" Window " in x for x in lines[max(0, i - 3) : i]):
                 assert re.search(r"day_#\d+L? (ASC|DESC)", lines[i - 1]), (name, lines[i - 1])
+
+
+def test_scheduled_trips_are_estimated_with_their_days(spark):
+    """Joins broadcast what is estimated to be small; the estimate of an explode is that of its input."""
+    runs = frame(spark, SF, RELATIONS["runs"](SPARK)).select("trip_id", "service_date")
+    size = int(str(runs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert runs.count() == 30 * spark.read.parquet(f"{SF}/customer.parquet").count()
+    assert size >= 12 * runs.count()
