@@ -7,7 +7,7 @@ import re
 import pytest
 
 from stoptide.functions.dialect import SPARK
-from stoptide.plans import load_catalog
+from stoptide.plans import daily, load_catalog
 from stoptide.plans.engine import frame
 from stoptide.sources.analogs import RELATIONS
 
@@ -68,3 +68,20 @@ def test_scheduled_trips_are_estimated_with_their_days(spark):
     size = int(str(runs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     assert runs.count() == 30 * spark.read.parquet(f"{SF}/customer.parquet").count()
     assert size >= 12 * runs.count()
+
+
+def test_checks_across_tables_read_stored_departures(spark, monkeypatch):
+    """The rows behind the published tables are made once and stored; no table reads stop events by itself."""
+    made = []
+
+    def kept(spark, sf_dir, text, relations=None):
+        made.append((text, relations))
+        return frame(spark, sf_dir, text, relations)
+
+    monkeypatch.setattr(daily, "frame", kept)
+    daily.table_consistency(spark, "/root/testdata/sf0.001")
+    tables = made[len(daily.STORED) :]
+    assert len(tables) == len(daily.TABLES)
+    for text, relations in tables:
+        plan = frame(spark, "/root/testdata/sf0.001", text, relations)._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet [l_" not in plan and "FileScan parquet [o_" not in plan
