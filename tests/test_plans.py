@@ -85,3 +85,10 @@ def test_checks_across_tables_read_stored_departures(spark, monkeypatch):
     for text, relations in tables:
         plan = frame(spark, "/root/testdata/sf0.001", text, relations)._jdf.queryExecution().executedPlan().toString()
         assert "FileScan parquet [l_" not in plan and "FileScan parquet [o_" not in plan
+
+
+def test_latest_positions_are_those_of_all_dates_and_paired_by_month(spark):
+    latest = frame(spark, SF, "SELECT month, station_id, max_by(lat, service_date) FILTER (WHERE lat IS NOT NULL) AS lat, max_by(lon, service_date) FILTER (WHERE lon IS NOT NULL) AS lon FROM {positions} GROUP BY month, station_id")
+    got = frame(spark, SF, "SELECT month, station_id, lat, lon FROM {latest_positions}")
+    assert sorted(map(str, got.collect())) == sorted(map(str, latest.collect()))
+    assert "% 9" in plan_of(spark, "station_monthly") and not re.search(r"HashAggregate\(keys=\[month#\d+, service_date#\d+, station_id#\d+, lat", plan_of(spark, "station_monthly"))
