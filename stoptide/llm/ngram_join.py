@@ -5,8 +5,10 @@ token among the first ``size - ceil(t * size) + 1`` of each, whatever order all
 
 1. Equal sets are one class, named by a 128-bit fingerprint; copies are never expanded into pairs.
 2. Under the first order (by hash) the classes stay that share enough tokens of a lengthened prefix:
-   one of k tokens more must hold k tokens of the overlap. Prefix tokens travel once, sorted and
-   packed, by ranges of their hashes; a bit for each comes back.
+   one of k tokens more must hold k tokens of the overlap. The k is one and a half plain prefixes, so
+   three fifths of the lengthened one must stand elsewhere; sets that share only what is frequent
+   in a large corpus don't reach that. Prefix tokens travel once, sorted and packed, by ranges of
+   their hashes; a bit for each comes back.
 3. Of those, the frequency of each shingle gives the second order (rare first, by hash) and the
    third (rare first, by another hash). A pair is proposed by the second, if sizes and positions of
    the shared token still allow the threshold; it is verified only if prefixes also meet under the
@@ -42,7 +44,7 @@ LEADERS = (1, 16)
 #: Bits of the filter that spares the second reading's rows; rows beyond its use only cost time.
 FILTER_BITS = 1 << 23
 #: Prefix tokens that a task packs at once, and bytes of text to a range of their hashes.
-CHUNK_TOKENS, RANGE_BYTES = 1 << 20, 32_000_000
+CHUNK_TOKENS, RANGE_BYTES = 1 << 20, 20_000_000
 #: Classes of a component in a block, on average, and tokens that a product of two blocks takes at once.
 BLOCK, SLICE = 1024, 4096
 #: Rows of keys that are sent to all tasks, at most (about 100 MB).
@@ -83,7 +85,7 @@ def _fingerprint(x: np.ndarray) -> bytes:
 def _agree(size, num: int, den: int):
     """Tokens that two linked sets are sure to share in their heads, for the smaller set's size."""
     least = -(-num * size // den)
-    return np.maximum(1, np.minimum(1 + size - least, least) // 2)
+    return np.maximum(1, np.minimum((1 + size - least) * 3 // 2, least))
 
 
 def _head_length(size: int, num: int, den: int) -> int:

@@ -176,6 +176,18 @@ def test_ngram_join_of_many_near_copies(spark):
     assert 1 < len({v[1] for v in want.values()}) < 150
 
 
+def test_ngram_join_drops_what_shares_only_frequent_tokens(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [*(f"w{k}" for k in rng.choice(2000, 130, replace=False)), *(f"own{i}x{k}" for k in range(170))]) for i in range(80)]
+    rows += [(100 + i, [*rows[i][1][1:], "else"]) for i in range(5)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "key bigint, text string")
+    table = stored(ngram_join.class_table(docs, 1, 90, 100, 3), "classes")
+    assert 10 <= ngram_join.wanted_classes(table, 90, 100).count() < 30
+    got = {r["key"]: tuple(r)[1:] for r in ngram_join.components_of(docs, 1, 90, 100, True).collect()}
+    assert got == components([(i, " ".join(w)) for i, w in rows], 1, 90, 100)
+    assert all(got[100 + i][1] == i for i in range(5))
+
+
 def test_ngram_join_hostile(hostile):
     got = sorted(map(tuple, ngram_join.ngram_components(hostile).collect()), key=str)
     assert len(got) == len(HOSTILE)
