@@ -1,11 +1,10 @@
 """Token-id files: an adaptive context-mixing range coder in independently reset, checksummed blocks.
 
-Per id, the last id seen after the same two ids and after the same one id are predicted; whether
-the better one hits is coded with a probability that mixes, in the logistic domain and with weights
-that learn, what orders 1 and 2 make of their predictions and how often order 0 has seen the predicted
-id in the block; then the other one; an id that both miss is coded by the order-0 model, nibble by
-nibble with adaptive distributions. All arithmetic is on integers, so any machine decodes what another
-wrote.
+Per id, the last id seen after the same two ids is predicted, or else the one seen after the same one
+id; whether it hits is coded with a probability that mixes, in the logistic domain and with weights
+that learn, what orders 1 and 2 make of their predictions and how frequent order 0 finds the predicted
+id; an id that is missed is coded by order 0, whose counts are those of the segment and stand in its
+file. All arithmetic is exact, so any machine decodes what another wrote.
 
 A shard is a range of documents in ascending order of ids; it consists of segments of whole
 documents, closed before they pass ``SEGMENT`` ids (a longer document is one by itself), and a
@@ -21,6 +20,7 @@ raises ValueError.
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,171 +35,221 @@ from pyspark.sql import functions as F
 from stoptide.llm.common import pieces, read_table, stored, text_bytes
 
 END_ID = 2
-BLOCK, SEGMENT = 4096, 2_000_000
-MAGIC = b"TIDE1"
-SLOTS = 4096
+BLOCK, SEGMENT = 2048, 4_000_000
+MAGIC = b"TIDE2"
+SLOTS = 1024
 #: Bytes of text that are encoded at once.
-PIECE_BYTES = 1_000_000
-TOP, BOT = np.uint64(1 << 48), np.uint64(1 << 32)
-_W = np.uint64(16)
+PIECE_BYTES = 4_000_000
+#: A lane's range stays from 2^32 to 2^48; words have 16 bits.
+_MASK, _LEAST = (1 << 48) - 1, 1 << 32
 
 # ---------------------------------------------------------------- integer logistic tables
 
 _GRID = np.arange(4096)
 #: ln(p / (1 - p)) in 1/256, for p in 1/4096, and back; rounded once here to integers.
 STRETCH = np.round(256 * np.log((_GRID + 0.5) / (4095.5 - _GRID))).astype(np.int32)
-SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256.0))), 16, 4080).astype(np.int32)
-#: Distributions over 16 nibbles that a row moves to when it sees a nibble; each keeps every nibble possible.
-_FLOOR = 24
-TARGET = np.array([[_FLOOR * i + (65536 - 16 * _FLOOR) * (i > s) for i in range(16)] for s in range(16)], dtype=np.int32)
-RATE = 4
-
-
-class _Coder:
-    """The range coder of many lanes; a lane's words are 16 bits."""
-
-    def __init__(self, lanes: int, words: np.ndarray | None = None):
-        self.low = np.zeros(lanes, dtype=np.uint64)
-        self.range = np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-        self.at = np.zeros(lanes, dtype=np.int64)
-        self.decoding = words is not None
-        if self.decoding:
-            self.words, self.code = words, np.zeros(lanes, dtype=np.uint64)
-            for _ in range(4):
-                self.code = self.code << _W | words[np.arange(lanes), self.at].astype(np.uint64)
-                self.at += 1
-        else:
-            self.words = np.zeros((lanes, BLOCK * 2 + 64), dtype=np.uint16)
-
-    def value(self, who: np.ndarray) -> np.ndarray:
-        """Where in 0..65535 each lane's code stands."""
-        return np.minimum((self.code[who] - self.low[who]) // (self.range[who] >> _W), np.uint64(65535)).astype(np.int32)
-
-    def narrow(self, who: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> None:
-        """Takes [lo, hi) of 65536 for the lanes, and shifts words until the range is wide again."""
-        unit = self.range[who] >> _W
-        low = self.low[who] + unit * lo.astype(np.uint64)
-        width = unit * (hi - lo).astype(np.uint64)
-        self.low[who], self.range[who] = low, width
-        while True:
-            same = (low ^ (low + width)) < TOP
-            small = ~same & (width < BOT)
-            go = same | small
-            if not go.any():
-                return
-            who, low, width, small = who[go], low[go], width[go], small[go]
-            width = np.where(small, (~low + np.uint64(1)) & (BOT - np.uint64(1)), width)
-            if self.decoding:
-                self.code[who] = self.code[who] << _W | self.words[who, self.at[who]].astype(np.uint64)
-            else:
-                self.words[who, self.at[who]] = (low >> np.uint64(48)).astype(np.uint16)
-            self.at[who] += 1
-            low, width = low << _W, width << _W
-            self.low[who], self.range[who] = low, width
-
-    def finish(self) -> None:
-        lanes = np.arange(len(self.low))
-        for _ in range(4):
-            self.words[lanes, self.at] = (self.low >> np.uint64(48)).astype(np.uint16)
-            self.low = self.low << _W
+SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256.0))), 16, 4080).astype(np.int64)
+#: What a guess's trust (0 to 7) changes by where it misses and where it hits; missed at 1 or less it is replaced.
+_STEP = np.array([*((t >> 1) - t for t in range(8)), *(min(t + 1, 7) - t for t in range(8))], dtype=np.int32)
+
+
+class _Order0:
+    """The frequencies of a segment's ids, at least one each, which add up to 2^bits."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids, self.counts, n = ids, counts, len(ids)
+        self.bits = max(16, int(n).bit_length() + 2)
+        spare, total = (1 << self.bits) - n, max(1, int(counts.sum()))
+        freq = 1 + counts * spare // total
+        if n:
+            freq[np.argmax(counts)] += (1 << self.bits) - int(freq.sum())
+        self.freq, self.low = np.zeros(65536, dtype=np.int64), np.zeros(65536, dtype=np.int64)
+        self.freq[ids], self.low[ids] = freq, np.cumsum(freq) - freq
+        self.holder = np.repeat(ids, freq) if n else np.zeros(1 << self.bits, dtype=np.int64)
+        self.stretch = STRETCH[np.minimum(self.freq >> self.bits - 12, 4095)]
+
+    def packed(self) -> bytes:
+        body = zlib.compress(self.ids.astype("<u2").tobytes() + self.counts.astype("<u4").tobytes(), 1)
+        return struct.pack("<II", len(self.ids), zlib.crc32(body)) + body
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> _Order0:
+        n, crc = struct.unpack_from("<II", data)
+        if zlib.crc32(data[8:]) != crc:
+            raise ValueError("the counts are damaged")
+        body = zlib.decompress(data[8:])
+        return cls(np.frombuffer(body, "<u2", n).astype(np.int64), np.frombuffer(body, "<u4", n, 2 * n).astype(np.int64))
+
+
+class _Encoder:
+    """The range coder of many lanes; a carry is added to the word that is out."""
+
+    def __init__(self, lanes: int):
+        self.low, self.range = np.zeros(lanes, dtype=np.int64), np.full(lanes, 1 << 48, dtype=np.int64)
+        self.room = 2 * BLOCK + 8  # an id takes 28 bits at most
+        self.words = np.zeros(lanes * self.room, dtype=np.int32)
+        self.at = np.arange(lanes) * self.room
+
+    def code(self, k: int, p: np.ndarray, best: np.ndarray, order0: _Order0, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes an id in each of the first k lanes: whether it is best, with probability p / 4096, else by order 0."""
+        low, width, at = self.low[:k], self.range[:k], self.at[:k]
+        hit = ids == best
+        cut = (width >> 12) * p
+        unit = width - cut >> order0.bits
+        low += np.where(hit, 0, cut + unit * order0.low.take(ids))
+        width[:] = np.where(hit, cut, unit * order0.freq.take(ids))
+        over = np.flatnonzero(low > _MASK)
+        if len(over):
+            self.words[at[over] - 1] += 1
+            low &= _MASK
+        self.words[at] = low >> 32
+        small = width < _LEAST
+        shift = small * 16
+        low <<= shift
+        low &= _MASK
+        width <<= shift
+        at += small
+        while len(again := np.flatnonzero(width < _LEAST)):
+            self.words[at[again]] = low[again] >> 32
+            low[again] = low[again] << 16 & _MASK
+            width[again] <<= 16
+            at[again] += 1
+        return hit, ids
+
+    def finish(self) -> list[bytes]:
+        """Each lane's words, with its carries carried on."""
+        for _ in range(3):
+            self.words[self.at] = self.low >> 32
+            self.low = self.low << 16 & _MASK
+            self.at += 1
+        while len(over := np.flatnonzero(self.words > 65535)):
+            self.words[over] -= 65536
+            self.words[over - 1] += 1
+        words = self.words.astype("<u2")
+        return [words[self.room * b : end].tobytes() for b, end in enumerate(self.at.tolist())]
+
+
+class _Decoder:
+    """The same from the lanes' words; what a damaged lane reads is kept within its bounds."""
+
+    def __init__(self, bodies: list[np.ndarray]):
+        size = np.array([len(x) for x in bodies], dtype=np.int64)
+        self.words = np.concatenate([*bodies, np.zeros(8, np.uint16)]).astype(np.int64)
+        self.at, self.last = np.cumsum(size) - size, len(self.words) - 1
+        self.range, self.value = np.full(len(bodies), 1 << 48, dtype=np.int64), np.zeros(len(bodies), dtype=np.int64)
+        for _ in range(3):
+            self.value = self.value << 16 | self.words[np.minimum(self.at, self.last)]
             self.at += 1
 
-    def bit(self, who: np.ndarray, p: np.ndarray, bit: np.ndarray | None) -> np.ndarray:
-        """Codes a bit that is one with probability p / 4096."""
-        cut = p << 4
-        if bit is None:
-            bit = self.value(who) < cut
-        self.narrow(who, np.where(bit, 0, cut), np.where(bit, cut, 65536))
-        return bit
+    def code(self, k: int, p: np.ndarray, best: np.ndarray, order0: _Order0, ids: None = None) -> tuple[np.ndarray, np.ndarray]:
+        value, width, at = self.value[:k], self.range[:k], self.at[:k]
+        cut = (width >> 12) * p
+        hit = value < cut
+        unit = width - cut >> order0.bits
+        rest = value - cut
+        # exact: both are under 2^48 and the quotient is under 2^20, so no quotient is rounded up to a whole number
+        place = (rest / unit).astype(np.int64)
+        out = order0.holder.take(place, mode="clip")
+        value[:] = np.where(hit, value, rest - unit * order0.low.take(out))
+        width[:] = np.where(hit, cut, unit * order0.freq.take(out))
+        small = width < _LEAST
+        shift = small * 16
+        value <<= shift
+        value |= self.words.take(at, mode="clip") * small
+        width <<= shift
+        at += small
+        while len(again := np.flatnonzero(width < _LEAST)):
+            value[again] = value[again] << 16 | self.words.take(at[again], mode="clip")
+            width[again] <<= 16
+            at[again] += 1
+        np.minimum(value, width, out=value)  # only a damaged lane's value reaches its range
+        return hit, np.where(hit, best, out)
 
 
 class _Model:
     """The predictions of many lanes."""
 
-    def __init__(self, lanes: int):
-        self.guess = [np.zeros(lanes * SLOTS, dtype=np.int32) for _ in range(2)]  # orders 1 and 2: the id last seen
-        self.trust = [np.zeros(lanes * SLOTS, dtype=np.int8) for _ in range(2)]  # and for how long, 0 to 7
-        self.hit = np.full((lanes, 2, 8), 2048, dtype=np.int32)  # per order and trust: how often it is right
-        self.seen = np.zeros(lanes * SLOTS, dtype=np.uint16)  # order 0: how often each id (by its low bits) came
-        self.other = np.full((lanes, 8), 1024, dtype=np.int32)
-        self.weight = np.full((lanes, 3), 24000, dtype=np.int32)
-        start = (np.arange(16, dtype=np.int32) * 4096).astype(np.uint16)
-        self.rows = [np.tile(start, (lanes * n, 1)) for n in (1, 16, 256, 4096)]
-
-    def code(self, coder: _Coder, t: int, k: int, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        """Codes the t-th id in each of the first k lanes; one and two are the ids before."""
-        lane = np.arange(k)
-        slot = [lane * SLOTS + (one * 40503 >> 4) % SLOTS, lane * SLOTS + ((two * 60493 + one * 40503) >> 3) % SLOTS]
-        guess, trust = [g[s] for g, s in zip(self.guess, slot, strict=True)], [t[s].astype(np.int64) for t, s in zip(self.trust, slot, strict=True)]
-        best = np.where(trust[1] > 0, guess[1], guess[0])
-        common = (self.seen[lane * SLOTS + (best & SLOTS - 1)].astype(np.int32) * 4096 + 2048) // (t + 2)
-        inputs = [self.hit[lane, 0, trust[0]], self.hit[lane, 1, trust[1]], np.minimum(common, 4095)]
-        st = np.stack([STRETCH[x] for x in inputs], axis=1)
-        st[:, 0] = np.where(guess[0] == best, st[:, 0], -st[:, 0])
-        dot = np.clip((self.weight[:k] * st).sum(axis=1) >> 16, -2047, 2047)
-        p = SQUASH[dot + 2047]
-        hit = coder.bit(lane, p, None if ids is None else ids == best)
-        out = np.where(hit, best, -1)
+    def __init__(self, lanes: int, order0: _Order0):
+        self.order0 = order0
+        self.guess = np.zeros(2 * lanes * SLOTS, dtype=np.int32)  # orders 1 and 2: the id last seen, times 8, and its trust
+        self.right = np.full(lanes * 16, 2048, dtype=np.int32)  # per order and trust: how often it is right, of 4096
+        self.weight = np.full((3, lanes), 24000, dtype=np.int32)
+        lane = np.arange(lanes)
+        self.base = np.stack([lane * SLOTS, (lanes + lane) * SLOTS])
+        self.rate = np.stack([lane * 16, lane * 16 + 8])
+
+    def code(self, coder: _Encoder | _Decoder, k: int, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+        """Codes an id in each of the first k lanes; one and two are the ids before."""
+        slot = np.empty((2, k), dtype=np.int64)
+        near = one * 40503
+        slot[0] = near >> 4
+        slot[1] = two * 60493 + near >> 3
+        slot &= SLOTS - 1
+        slot += self.base[:, :k]
+        entry = self.guess.take(slot)
+        guess, trust = entry >> 3, entry & 7
+        best = np.where(trust[1] > 0, guess[1], guess[0]).astype(np.int64)
+        which = self.rate[:, :k] + trust
+        rate = self.right.take(which)
+        st = np.empty((3, k), dtype=np.int32)
+        STRETCH.take(rate, out=st[:2], mode="clip")
+        self.order0.stretch.take(best, out=st[2], mode="clip")
+        st[0] *= (guess[0] == best) * np.int32(2) - np.int32(1)
+        weight = self.weight[:, :k]
+        dot = np.add.reduce(weight * st, axis=0, dtype=np.int32)
+        dot >>= 16
+        dot += 2047
+        p = SQUASH.take(dot, mode="clip")
+        hit, out = coder.code(k, p, best, self.order0, ids)
         # learn: weights by the error, each order's rate by whether it was right
-        error = (np.where(hit, 4096, 0) - p)[:, None]
-        self.weight[:k] = np.clip(self.weight[:k] + (st * error >> 9), 0, 1 << 18)
-        second = np.flatnonzero(~hit & (trust[0] > 0) & (guess[0] != best))
-        if len(second):
-            p2 = np.clip(self.other[second, trust[0][second]], 16, 4080)
-            hit2 = coder.bit(second, p2, None if ids is None else ids[second] == guess[0][second])
-            self.other[second, trust[0][second]] += (np.where(hit2, 4095, 0) - p2) >> 4
-            out[second[hit2]] = guess[0][second[hit2]]
-        miss = np.flatnonzero(out < 0)
-        if len(miss):
-            out[miss] = self._order0(coder, miss, None if ids is None else ids[miss])
-        self.seen[lane * SLOTS + (out & SLOTS - 1)] += 1
-        for order in range(2):
-            right = guess[order] == out
-            self.hit[lane, order, trust[order]] += (np.where(right, 4095, 0) - inputs[order]) >> 5
-            self.guess[order][slot[order]] = np.where(right | (trust[order] > 1), guess[order], out)
-            self.trust[order][slot[order]] = np.where(right, np.minimum(trust[order] + 1, 7), np.where(trust[order] > 1, trust[order] >> 1, 1))
+        error = ((hit * 4096) - p).astype(np.int32)
+        st *= error
+        st >>= 9
+        weight += st
+        np.maximum(weight, 0, out=weight)
+        np.minimum(weight, 1 << 18, out=weight)
+        good = guess == out
+        self.right[which] = rate + ((good * np.int32(4095)) - rate >> 5)
+        kept = entry + _STEP.take(trust + good * np.int32(8))
+        self.guess[slot] = np.where(good | (trust > 1), kept, out * 8 + 1)
         return out
 
-    def _order0(self, coder: _Coder, who: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        context = np.zeros(len(who), dtype=np.int64)
-        n = np.arange(len(who))
-        for level, shift in enumerate((12, 8, 4, 0)):
-            at = who * (1 << 4 * level) + context
-            row = self.rows[level][at].astype(np.int32)
-            s = (row <= coder.value(who)[:, None]).sum(axis=1) - 1 if ids is None else ids >> shift & 15
-            high = np.where(s < 15, row[n, np.minimum(s + 1, 15)], 65536)
-            coder.narrow(who, row[n, s], high)
-            self.rows[level][at] = row + ((TARGET[s] - row) >> RATE)
-            context = context << 4 | s
-        return context
+
+def _shape(n_ids: int) -> tuple[int, np.ndarray]:
+    n = -(-n_ids // BLOCK)
+    return n, np.minimum(BLOCK, n_ids - BLOCK * np.arange(n))
+
+
+def _pass(grid: np.ndarray, size: np.ndarray, coder: _Encoder | _Decoder, order0: _Order0) -> None:
+    """Codes the lanes' ids step by step; a decoder fills the grid."""
+    n, model = len(size), _Model(len(size), order0)
+    zero = np.zeros(n, dtype=np.int64)
+    for t in range(int(size.max()) if n else 0):
+        k = n if t < size[-1] else n - 1  # only the last block can be shorter
+        one, two = grid[t - 1] if t else zero, grid[t - 2] if t > 1 else zero
+        grid[t, :k] = model.code(coder, k, one[:k], two[:k], grid[t, :k] if isinstance(coder, _Encoder) else None)
 
 
 def encode_blocks(ids: np.ndarray) -> bytes:
-    """Ids under 65536 as blocks: per block its count, its bytes, the CRC-32 of its ids, then its words."""
+    """Ids under 65536 as blocks: per block its count, its bytes, the CRC-32 of its ids, then its words; at the end order 0's counts."""
     if len(ids) and not 0 <= ids.min() <= ids.max() < 65536:
         raise ValueError("ids must be under 65536")
-    n = -(-len(ids) // BLOCK)
-    size = np.minimum(BLOCK, len(ids) - BLOCK * np.arange(n))
+    n, size = _shape(len(ids))
     padded = np.zeros(n * BLOCK, dtype=np.int64)
     padded[: len(ids)] = ids
-    grid = np.ascontiguousarray(padded.reshape(n, BLOCK).T)
-    coder, model = _Coder(n), _Model(n)
-    zero = np.zeros(n, dtype=np.int64)
-    for t in range(int(size.max()) if n else 0):
-        k = n if t < size[-1] else n - 1  # only the last block can be shorter
-        one, two = grid[t - 1] if t else zero, grid[t - 2] if t > 1 else zero
-        model.code(coder, t, k, one[:k], two[:k], grid[t, :k])
-    coder.finish()
+    counts = np.bincount(ids.astype(np.int64), minlength=1)
+    seen = np.flatnonzero(counts)
+    order0, coder = _Order0(seen, counts[seen]), _Encoder(n)
+    _pass(np.ascontiguousarray(padded.reshape(n, BLOCK).T), size, coder, order0)
+    own = ids.astype("<u4").tobytes()
     out = [MAGIC, struct.pack("<I", n)]
-    for b in range(n):
-        body = coder.words[b, : coder.at[b]].astype("<u2").tobytes()
-        own = ids[b * BLOCK : b * BLOCK + size[b]].astype("<u4").tobytes()
-        out += [struct.pack("<III", size[b], len(body), zlib.crc32(own)), body]
-    return b"".join(out)
+    for b, body in enumerate(coder.finish()):
+        out += [struct.pack("<III", size[b], len(body), zlib.crc32(own[4 * b * BLOCK : 4 * (b + 1) * BLOCK])), body]
+    return b"".join([*out, order0.packed()])
 
 
 def decode_blocks(data: bytes) -> np.ndarray:
-    """The ids; raises ValueError if a block's checksum doesn't fit."""
+    """The ids; raises ValueError if a block's checksum doesn't fit, or that of the counts."""
     if data[: len(MAGIC)] != MAGIC:
         raise ValueError("not a token file")
     (n,), at = struct.unpack_from("<I", data, len(MAGIC)), len(MAGIC) + 4
@@ -209,21 +259,15 @@ def decode_blocks(data: bytes) -> np.ndarray:
         bodies.append(np.frombuffer(data, dtype="<u2", count=length // 2, offset=at + 12))
         crc.append(check)
         at += 12 + length
-    words = np.zeros((n, max((len(x) for x in bodies), default=0) + 8), dtype=np.uint16)
-    for b, x in enumerate(bodies):
-        words[b, : len(x)] = x
-    coder, model = _Coder(n, words), _Model(n)
+    order0 = _Order0.unpacked(data[at:])
     grid = np.zeros((BLOCK, n), dtype=np.int64)
-    zero = np.zeros(n, dtype=np.int64)
-    for t in range(int(size.max()) if n else 0):
-        k = n if t < size[-1] else n - 1
-        one, two = grid[t - 1] if t else zero, grid[t - 2] if t > 1 else zero
-        grid[t, :k] = model.code(coder, t, k, one[:k], two[:k], None)
-    out = [grid[: size[b], b] for b in range(n)]
-    for b, x in enumerate(out):
-        if zlib.crc32(x.astype("<u4").tobytes()) != crc[b]:
+    _pass(grid, size, _Decoder(bodies), order0)
+    out = np.ascontiguousarray(grid.T).reshape(-1)[: int(size.sum())]
+    own = out.astype("<u4").tobytes()
+    for b in range(n):
+        if zlib.crc32(own[4 * b * BLOCK : 4 * (b + 1) * BLOCK]) != crc[b]:
             raise ValueError(f"block {b} is damaged")
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+    return out
 
 
 # ---------------------------------------------------------------- tokens
@@ -243,51 +287,112 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _runs(table: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs table[start : start + size] on end."""
+    ends = np.cumsum(size)
+    return table[np.arange(int(size.sum())) - np.repeat(ends - size - start, size)]
+
+
 class Encoder:
     """Encodes texts chunk by chunk.
 
     The tokenizer drops white space and no token crosses it, so a text's ids are those of its parts
-    between ASCII white space; each distinct part is given to the library once.
+    between ASCII white space; each distinct part is given to the library once. Where the tokenizer
+    lower-cases and marks the ends of words, a part of letters and closing marks is its letters (those of
+    ASCII in lower case) and its marks, and many runs of letters are one text for the library.
     """
 
-    MOST = 200_000
+    MOST, AT_ONCE = 500_000, 500
     #: Parts whose ids must be those of the whole, whatever white space is between and around them.
     PROBES = ("a", "The", "end.", "42", "don't", "é", "漢字", "x" * 30)
+    MARKS = ".,;:!?"
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        if max(self.tokenizer.get_vocab().values()) >= 65536:
+        vocab = self.tokenizer.get_vocab()
+        if max(vocab.values()) >= 65536:
             raise ValueError(f"{path}: ids must be under 65536")
         ids = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
         for gap in (" ", "\t", "\n", "\x0b", "\x0c", "\r", "  \n"):
             if ids(gap + gap.join(self.PROBES) + gap) != [y for x in self.PROBES for y in ids(x)]:
                 raise ValueError(f"{path}: its tokens cross white space")
-        self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.closes = np.zeros(65536, dtype=bool)
+        self.closes[[i for x, i in vocab.items() if x.endswith("</w>")]] = True
+        letters = (string.ascii_uppercase, "The", "enD", *string.ascii_uppercase)
+        self.plain = all(ids(x + y) == ids(x.lower()) + ids(y) and self.closes[ids(x)].sum() == 1 for x in letters for y in (*self.MARKS, "?!", "...", self.MARKS))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {"": 0}  # where a unit stands in start and size
+        self.start, self.size, self.table = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.new_ids: list[np.ndarray] = []
+        self.new_sizes: list[np.ndarray] = []
+
+    def _add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(units, range(len(self.known), len(self.known) + len(units)), strict=True))
+        self.new_ids.append(ids)
+        self.new_sizes.append(sizes)
+
+    def _learn(self, new: pa.Array) -> None:
+        alone = new
+        if self.plain:  # every run of letters has a closing token, so as many as there are runs means one each
+            runs = new.filter(pc.utf8_is_alpha(new)).to_pylist()
+            alone = [new.filter(pc.invert(pc.utf8_is_alpha(new)))]
+            groups = [runs[i : i + self.AT_ONCE] for i in range(0, len(runs), self.AT_ONCE)]
+            for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(x) for x in groups], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, dtype=np.int32)
+                ends = np.flatnonzero(self.closes[ids]) + 1
+                if len(ends) == len(group):
+                    self._add(group, ids, np.diff(ends, prepend=0))
+                else:  # letters that fall apart once they are normalised
+                    alone.append(pa.array(group, pa.large_string()))
+            alone = pa.concat_arrays(alone)
+        if len(alone):
+            own = [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(alone.to_pylist(), add_special_tokens=False)]
+            self._add(alone.to_pylist(), np.concatenate(own), np.array([len(x) for x in own], dtype=np.int64))
+        self.size, self.table = np.concatenate([self.size, *self.new_sizes]), np.concatenate([self.table, *self.new_ids])
+        self.start = np.cumsum(self.size) - self.size
+        self.new_sizes, self.new_ids = [], []
+
+    def _units(self, words: pa.Array) -> np.ndarray:
+        """Two units for each word: its letters and its marks, or the word and nothing."""
+        first, second = words, pa.array([""] * len(words), pa.large_string())
+        if self.plain:
+            core = pc.ascii_rtrim(words, characters=self.MARKS)
+            plain = pc.utf8_is_alpha(core)
+            first = pc.if_else(plain, pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core), words)
+            marks = pc.replace_substring_regex(words, "(?s)^.*?([" + self.MARKS + "]*)$", "\\1")
+            second = pc.if_else(plain, marks, "")
+        both = pa.concat_arrays([first, second]).dictionary_encode()
+        names = both.dictionary.to_pylist()
+        new = np.array([x not in self.known for x in names], dtype=bool)
+        if new.any():
+            self._learn(both.dictionary.filter(pa.array(new)))
+        at = np.fromiter(map(self.known.__getitem__, names), dtype=np.int64, count=len(names))
+        return at[both.indices.to_numpy(zero_copy_only=False)].reshape(2, -1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids on end, each text's closed by the end id, and the number of ids of each."""
         if len(self.known) > self.MOST:
-            self.known, self.ids = {}, []
+            self._forget()
         parts = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         at = parts.offsets.to_numpy()
         flat = parts.flatten().dictionary_encode()
-        words = flat.dictionary.to_pylist()
-        new = [w for w in words if w not in self.known]
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[w] = len(self.ids)
-            self.ids.append(np.array(e.ids, dtype=np.int64))
-        own = [self.ids[self.known[w]] for w in words] + [np.array([END_ID])]
-        size = np.array([len(x) for x in own])
+        unit = self._units(flat.dictionary).T
+        size = self.size[unit]
+        table = np.append(_runs(self.table, self.start[unit.reshape(-1)], size.reshape(-1)), np.int32(END_ID))
+        size = np.append(size.sum(axis=1), 1)
         start = np.cumsum(size) - size
-        table = np.concatenate(own)
-        order = np.insert(flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), at[1:] - at[0], len(words))
+        order = np.insert(flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), at[1:] - at[0], len(unit))
         lengths = size[order]
-        ends = np.cumsum(lengths)
-        take = np.arange(int(lengths.sum())) - np.repeat(ends - lengths - start[order], lengths)
         last = at[1:] - at[0] + np.arange(len(texts))
-        upto = ends[last]
-        return table[take], np.diff(np.concatenate([[0], upto]))
+        return _runs(table, start[order], lengths), np.diff(np.cumsum(lengths)[last], prepend=0)
+
+
+@cache
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a worker: what it knows is bounded, and the next task's words are much the same."""
+    return Encoder(path)
 
 
 FILE_SCHEMA = "shard int, seq int, first bigint, n_ids bigint, doc_ids array<{id}>, sizes array<int>, payload binary"
@@ -301,7 +406,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, name: str = "tokens",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shard, encoder = TaskContext.get().partitionId(), Encoder(path)
+        shard, encoder = TaskContext.get().partitionId(), _encoder(path)
         seq = first = held = 0
         ids: list[np.ndarray] = []
         names: list = []

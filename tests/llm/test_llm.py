@@ -107,6 +107,50 @@ def test_encoder_is_the_library():
         at += n
 
 
+def test_token_blocks_are_quick_and_dense():
+    rng = np.random.default_rng(1)
+    ids = np.minimum(rng.zipf(1.3, 1_000_000), 40_000)
+    begun = time.process_time()
+    data = token_files.encode_blocks(ids)
+    assert (token_files.decode_blocks(data) == ids).all()
+    assert time.process_time() - begun < 3  # some 6 s with a model that adapts order 0 nibble by nibble
+    assert len(data) < len(zlib.compress(ids.astype("<u2").tobytes(), 9))
+    damaged = bytearray(data)
+    damaged[-3] ^= 1
+    with pytest.raises(ValueError, match="counts"):
+        token_files.decode_blocks(bytes(damaged))
+
+
+def test_token_blocks_carry_and_survive_damage():
+    rng = np.random.default_rng(2)
+    ids = np.where(rng.random(300_000) < 0.999, 7, rng.integers(0, 65536, 300_000))
+    data = token_files.encode_blocks(ids)
+    assert (token_files.decode_blocks(data) == ids).all()
+    for at in rng.integers(21, 3000, 20).tolist():
+        damaged = bytearray(token_files.encode_blocks(rng.integers(0, 65536, 5000)))
+        damaged[at] ^= 1 << at % 8
+        with pytest.raises(ValueError, match="block 0 is damaged"):
+            token_files.decode_blocks(bytes(damaged))
+
+
+def test_encoder_gives_a_word_once(monkeypatch):
+    e, tok = token_files.Encoder(token_files.default_tokenizer()), token_files._tokenizer(token_files.default_tokenizer())
+    given = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            given.extend(y for x in texts for y in x.split())
+            return tok.encode_batch_fast(texts, **kw)
+
+    monkeypatch.setattr(e, "tokenizer", Counted())
+    e.encode(pa.array(["Word word, WORD. word?! (word)"]))
+    assert given.count("word") == 1 and not {"Word", "WORD.", "word,"} & set(given)
+    odd = ["Word word, WORD. word?! (word)", "ΟΔΟΣ. ΑΣ, क़ क़. İx. ﬁn ẞ! éa. 漢字. ªº. ʰ <|STARTOFTEXT|> that's.", "word. word"]
+    ids, size = e.encode(pa.array(odd))
+    assert ids.tolist() == [y for x in odd for y in [*tok.encode(x, add_special_tokens=False).ids, 2]] and size.sum() == len(ids)
+    assert given.count("word") == 1
+
+
 def test_token_files_hostile(hostile):
     got = token_files.read_tokens(token_files.write_tokens(hostile)).orderBy("start").collect()
     assert len(got) == len(HOSTILE) and got[0]["doc_id"] is None and got[1]["doc_id"] == 1 and got[1]["n_tokens"] == 1
