@@ -25,6 +25,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,11 @@ from pyspark.sql import functions as F
 from stoptide.llm.common import pieces, read_table, stored, text_bytes
 
 END_ID = 2
-BLOCK, SEGMENT = 2048, 4_000_000
+BLOCK, SEGMENT = 1024, 4_000_000
 MAGIC = b"TIDE2"
 SLOTS = 1024
 #: Bytes of text that are encoded at once.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 8_000_000
 #: A lane's range stays from 2^32 to 2^48; words have 16 bits.
 _MASK, _LEAST = (1 << 48) - 1, 1 << 32
 
@@ -87,8 +88,8 @@ class _Encoder:
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, dtype=np.int64), np.full(lanes, 1 << 48, dtype=np.int64)
         self.room = 2 * BLOCK + 8  # an id takes 28 bits at most
-        self.words = np.zeros(lanes * self.room, dtype=np.int32)
-        self.at = np.arange(lanes) * self.room
+        self.lanes, self.words = lanes, np.zeros(lanes * self.room, dtype=np.int32)  # a place's lanes stand together
+        self.at = np.arange(lanes)
 
     def code(self, k: int, p: np.ndarray, best: np.ndarray, order0: _Order0, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes an id in each of the first k lanes: whether it is best, with probability p / 4096, else by order 0."""
@@ -100,20 +101,21 @@ class _Encoder:
         width[:] = np.where(hit, cut, unit * order0.freq.take(ids))
         over = np.flatnonzero(low > _MASK)
         if len(over):
-            self.words[at[over] - 1] += 1
+            self.words[at[over] - self.lanes] += 1
             low &= _MASK
         self.words[at] = low >> 32
-        small = width < _LEAST
-        shift = small * 16
+        small = (width < _LEAST).astype(np.int64)
+        shift = small << 4
         low <<= shift
         low &= _MASK
         width <<= shift
+        small *= self.lanes
         at += small
         while len(again := np.flatnonzero(width < _LEAST)):
             self.words[at[again]] = low[again] >> 32
             low[again] = low[again] << 16 & _MASK
             width[again] <<= 16
-            at[again] += 1
+            at[again] += self.lanes
         return hit, ids
 
     def finish(self) -> list[bytes]:
@@ -121,25 +123,28 @@ class _Encoder:
         for _ in range(3):
             self.words[self.at] = self.low >> 32
             self.low = self.low << 16 & _MASK
-            self.at += 1
+            self.at += self.lanes
         while len(over := np.flatnonzero(self.words > 65535)):
             self.words[over] -= 65536
-            self.words[over - 1] += 1
-        words = self.words.astype("<u2")
-        return [words[self.room * b : end].tobytes() for b, end in enumerate(self.at.tolist())]
+            self.words[over - self.lanes] += 1
+        words = np.ascontiguousarray(self.words.astype("<u2").reshape(self.room, -1).T) if self.lanes else self.words
+        return [words[b, : end // self.lanes].tobytes() for b, end in enumerate(self.at.tolist())]
 
 
 class _Decoder:
     """The same from the lanes' words; what a damaged lane reads is kept within its bounds."""
 
     def __init__(self, bodies: list[np.ndarray]):
-        size = np.array([len(x) for x in bodies], dtype=np.int64)
-        self.words = np.concatenate([*bodies, np.zeros(8, np.uint16)]).astype(np.int64)
-        self.at, self.last = np.cumsum(size) - size, len(self.words) - 1
+        self.lanes, most = len(bodies), max((len(x) for x in bodies), default=0)
+        words = np.zeros((self.lanes, most + 8), dtype=np.int64)
+        for b, x in enumerate(bodies):
+            words[b, : len(x)] = x
+        self.words = np.ascontiguousarray(words.T).reshape(-1)
+        self.at = np.arange(self.lanes)
         self.range, self.value = np.full(len(bodies), 1 << 48, dtype=np.int64), np.zeros(len(bodies), dtype=np.int64)
         for _ in range(3):
-            self.value = self.value << 16 | self.words[np.minimum(self.at, self.last)]
-            self.at += 1
+            self.value = self.value << 16 | self.words[self.at]
+            self.at += self.lanes
 
     def code(self, k: int, p: np.ndarray, best: np.ndarray, order0: _Order0, ids: None = None) -> tuple[np.ndarray, np.ndarray]:
         value, width, at = self.value[:k], self.range[:k], self.at[:k]
@@ -152,16 +157,17 @@ class _Decoder:
         out = order0.holder.take(place, mode="clip")
         value[:] = np.where(hit, value, rest - unit * order0.low.take(out))
         width[:] = np.where(hit, cut, unit * order0.freq.take(out))
-        small = width < _LEAST
-        shift = small * 16
+        small = (width < _LEAST).astype(np.int64)
+        shift = small << 4
         value <<= shift
         value |= self.words.take(at, mode="clip") * small
         width <<= shift
+        small *= self.lanes
         at += small
         while len(again := np.flatnonzero(width < _LEAST)):
             value[again] = value[again] << 16 | self.words.take(at[again], mode="clip")
             width[again] <<= 16
-            at[again] += 1
+            at[again] += self.lanes
         np.minimum(value, width, out=value)  # only a damaged lane's value reaches its range
         return hit, np.where(hit, best, out)
 
@@ -175,7 +181,7 @@ class _Model:
         self.right = np.full(lanes * 16, 2048, dtype=np.int32)  # per order and trust: how often it is right, of 4096
         self.weight = np.full((3, lanes), 24000, dtype=np.int32)
         lane = np.arange(lanes)
-        self.base = np.stack([lane * SLOTS, (lanes + lane) * SLOTS])
+        self.lanes, self.base = lanes, np.stack([lane, lanes * SLOTS + lane])  # a slot's lanes stand together
         self.rate = np.stack([lane * 16, lane * 16 + 8])
 
     def code(self, coder: _Encoder | _Decoder, k: int, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
@@ -185,16 +191,18 @@ class _Model:
         slot[0] = near >> 4
         slot[1] = two * 60493 + near >> 3
         slot &= SLOTS - 1
+        slot *= self.lanes
         slot += self.base[:, :k]
         entry = self.guess.take(slot)
         guess, trust = entry >> 3, entry & 7
-        best = np.where(trust[1] > 0, guess[1], guess[0]).astype(np.int64)
+        pick = np.where(trust[1] > 0, guess[1], guess[0])
+        best = pick.astype(np.int64)
         which = self.rate[:, :k] + trust
         rate = self.right.take(which)
         st = np.empty((3, k), dtype=np.int32)
         STRETCH.take(rate, out=st[:2], mode="clip")
         self.order0.stretch.take(best, out=st[2], mode="clip")
-        st[0] *= (guess[0] == best) * np.int32(2) - np.int32(1)
+        st[0] *= ((guess[0] == pick).astype(np.int32) << 1) - 1
         weight = self.weight[:, :k]
         dot = np.add.reduce(weight * st, axis=0, dtype=np.int32)
         dot >>= 16
@@ -202,16 +210,18 @@ class _Model:
         p = SQUASH.take(dot, mode="clip")
         hit, out = coder.code(k, p, best, self.order0, ids)
         # learn: weights by the error, each order's rate by whether it was right
-        error = ((hit * 4096) - p).astype(np.int32)
+        error = (hit.astype(np.int64) << 12) - p
+        error = error.astype(np.int32)
         st *= error
         st >>= 9
         weight += st
         np.maximum(weight, 0, out=weight)
         np.minimum(weight, 1 << 18, out=weight)
-        good = guess == out
+        last = out.astype(np.int32)
+        good = guess == last
         self.right[which] = rate + ((good * np.int32(4095)) - rate >> 5)
         kept = entry + _STEP.take(trust + good * np.int32(8))
-        self.guess[slot] = np.where(good | (trust > 1), kept, out * 8 + 1)
+        self.guess[slot] = np.where(good | (trust > 1), kept, (last << 3) + 1)
         return out
 
 
@@ -293,6 +303,10 @@ def _runs(table: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return table[np.arange(int(size.sum())) - np.repeat(ends - size - start, size)]
 
 
+def _strings(x: pa.Array) -> list[str]:
+    return x.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Encodes texts chunk by chunk.
 
@@ -308,6 +322,8 @@ class Encoder:
     MARKS = ".,;:!?"
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
         self.tokenizer = _tokenizer(path)
         vocab = self.tokenizer.get_vocab()
         if max(vocab.values()) >= 65536:
@@ -320,6 +336,11 @@ class Encoder:
         self.closes[[i for x, i in vocab.items() if x.endswith("</w>")]] = True
         letters = (string.ascii_uppercase, "The", "enD", *string.ascii_uppercase)
         self.plain = all(ids(x + y) == ids(x.lower()) + ids(y) and self.closes[ids(x)].sum() == 1 for x in letters for y in (*self.MARKS, "?!", "...", self.MARKS))
+        # lower-case ASCII letters stay as they are and together, so their runs need only the tokenizer's model
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer, self.bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        runs = " ".join([*string.ascii_lowercase, *(x.removesuffix("</w>") for x in list(vocab)[::97] if x.removesuffix("</w>").isalpha() and x.isascii() and x.islower())])
+        self.plain &= self.bare.encode(runs, add_special_tokens=False).ids == ids(runs)
         self._forget()
 
     def _forget(self) -> None:
@@ -336,20 +357,23 @@ class Encoder:
     def _learn(self, new: pa.Array) -> None:
         alone = new
         if self.plain:  # every run of letters has a closing token, so as many as there are runs means one each
-            runs = new.filter(pc.utf8_is_alpha(new)).to_pylist()
-            alone = [new.filter(pc.invert(pc.utf8_is_alpha(new)))]
-            groups = [runs[i : i + self.AT_ONCE] for i in range(0, len(runs), self.AT_ONCE)]
-            for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(x) for x in groups], add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, dtype=np.int32)
-                ends = np.flatnonzero(self.closes[ids]) + 1
-                if len(ends) == len(group):
-                    self._add(group, ids, np.diff(ends, prepend=0))
-                else:  # letters that fall apart once they are normalised
-                    alone.append(pa.array(group, pa.large_string()))
+            run, ascii_only = pc.utf8_is_alpha(new), pc.string_is_ascii(new)
+            alone = [new.filter(pc.invert(run))]
+            for tokenizer, own in ((self.bare, pc.and_(run, ascii_only)), (self.tokenizer, pc.and_not(run, ascii_only))):
+                runs = _strings(new.filter(own))
+                groups = [runs[i : i + self.AT_ONCE] for i in range(0, len(runs), self.AT_ONCE)]
+                for group, e in zip(groups, tokenizer.encode_batch_fast([" ".join(x) for x in groups], add_special_tokens=False), strict=True):
+                    ids = np.array(e.ids, dtype=np.int32)
+                    ends = np.flatnonzero(self.closes[ids]) + 1
+                    if len(ends) == len(group):
+                        self._add(group, ids, np.diff(ends, prepend=0))
+                    else:  # letters that fall apart once they are normalised
+                        alone.append(pa.array(group, pa.large_string()))
             alone = pa.concat_arrays(alone)
         if len(alone):
-            own = [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(alone.to_pylist(), add_special_tokens=False)]
-            self._add(alone.to_pylist(), np.concatenate(own), np.array([len(x) for x in own], dtype=np.int64))
+            names = _strings(alone)
+            own = [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
+            self._add(names, np.concatenate(own), np.array([len(x) for x in own], dtype=np.int64))
         self.size, self.table = np.concatenate([self.size, *self.new_sizes]), np.concatenate([self.table, *self.new_ids])
         self.start = np.cumsum(self.size) - self.size
         self.new_sizes, self.new_ids = [], []
@@ -361,14 +385,16 @@ class Encoder:
             core = pc.ascii_rtrim(words, characters=self.MARKS)
             plain = pc.utf8_is_alpha(core)
             first = pc.if_else(plain, pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core), words)
-            marks = pc.replace_substring_regex(words, "(?s)^.*?([" + self.MARKS + "]*)$", "\\1")
-            second = pc.if_else(plain, marks, "")
+            marked = pc.and_(plain, pc.not_equal(pc.binary_length(core), pc.binary_length(words)))
+            second = pc.replace_with_mask(second, marked, pc.replace_substring_regex(words.filter(marked), f"[^{self.MARKS}]+", ""))
         both = pa.concat_arrays([first, second]).dictionary_encode()
-        names = both.dictionary.to_pylist()
-        new = np.array([x not in self.known for x in names], dtype=bool)
-        if new.any():
-            self._learn(both.dictionary.filter(pa.array(new)))
-        at = np.fromiter(map(self.known.__getitem__, names), dtype=np.int64, count=len(names))
+        names = _strings(both.dictionary)
+        at = np.fromiter(map(self.known.get, names, repeat(-1)), dtype=np.int64, count=len(names))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            own = both.dictionary.take(pa.array(new))
+            self._learn(own)
+            at[new] = list(map(self.known.__getitem__, _strings(own)))
         return at[both.indices.to_numpy(zero_copy_only=False)].reshape(2, -1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
