@@ -20,6 +20,7 @@ raises ValueError.
 
 from __future__ import annotations
 
+import os
 import string
 import struct
 import zlib
@@ -42,7 +43,7 @@ SLOTS = 1024
 #: Bytes of text that are encoded at once.
 PIECE_BYTES = 8_000_000
 #: A lane's range stays from 2^32 to 2^48; words have 16 bits.
-_MASK, _LEAST = (1 << 48) - 1, 1 << 32
+_MASK, _LEAST, _WIDE = (1 << 48) - 1, 1 << 32, (1 << 32) - 1
 
 # ---------------------------------------------------------------- integer logistic tables
 
@@ -50,12 +51,10 @@ _GRID = np.arange(4096)
 #: ln(p / (1 - p)) in 1/256, for p in 1/4096, and back; rounded once here to integers.
 STRETCH = np.round(256 * np.log((_GRID + 0.5) / (4095.5 - _GRID))).astype(np.int32)
 SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256.0))), 16, 4080).astype(np.int64)
-#: What a guess's trust (0 to 7) changes by where it misses and where it hits; missed at 1 or less it is replaced.
-_STEP = np.array([*((t >> 1) - t for t in range(8)), *(min(t + 1, 7) - t for t in range(8))], dtype=np.int32)
 
 
 class _Order0:
-    """The frequencies of a segment's ids, at least one each, which add up to 2^bits."""
+    """The frequencies of a segment's ids, at least one each, which add up to 2^bits; lookups are narrow, so that they stay in the cache."""
 
     def __init__(self, ids: np.ndarray, counts: np.ndarray):
         self.ids, self.counts, n = ids, counts, len(ids)
@@ -64,10 +63,10 @@ class _Order0:
         freq = 1 + counts * spare // total
         if n:
             freq[np.argmax(counts)] += (1 << self.bits) - int(freq.sum())
-        self.freq, self.low = np.zeros(65536, dtype=np.int64), np.zeros(65536, dtype=np.int64)
-        self.freq[ids], self.low[ids] = freq, np.cumsum(freq) - freq
-        self.holder = np.repeat(ids, freq) if n else np.zeros(1 << self.bits, dtype=np.int64)
-        self.stretch = STRETCH[np.minimum(self.freq >> self.bits - 12, 4095)]
+        self.span = np.zeros(65536, dtype=np.int64)  # where an id's share begins, times 2^32, and its frequency
+        self.span[ids] = np.cumsum(freq) - freq << 32 | freq
+        self.holder = np.repeat(ids.astype(np.uint16), freq) if n else np.zeros(1 << self.bits, dtype=np.uint16)
+        self.stretch = STRETCH[np.minimum((self.span & _WIDE) >> self.bits - 12, 4095)]
 
     def packed(self) -> bytes:
         body = zlib.compress(self.ids.astype("<u2").tobytes() + self.counts.astype("<u4").tobytes(), 1)
@@ -82,28 +81,38 @@ class _Order0:
         return cls(np.frombuffer(body, "<u2", n).astype(np.int64), np.frombuffer(body, "<u4", n, 2 * n).astype(np.int64))
 
 
+# In the coders and the model, masks are multiplied: half of a lane's choices can't be foreseen, which np.where pays for.
+
+
 class _Encoder:
     """The range coder of many lanes; a carry is added to the word that is out."""
 
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, dtype=np.int64), np.full(lanes, 1 << 48, dtype=np.int64)
         self.room = 2 * BLOCK + 8  # an id takes 28 bits at most
-        self.lanes, self.words = lanes, np.zeros(lanes * self.room, dtype=np.int32)  # a place's lanes stand together
+        self.lanes, self.words = lanes, np.zeros(lanes * self.room, dtype=np.uint16)  # a place's lanes stand together
         self.at = np.arange(lanes)
 
     def code(self, k: int, p: np.ndarray, best: np.ndarray, order0: _Order0, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes an id in each of the first k lanes: whether it is best, with probability p / 4096, else by order 0."""
         low, width, at = self.low[:k], self.range[:k], self.at[:k]
-        hit = ids == best
+        own = ids.astype(np.int64)
+        miss = (own != best).astype(np.int64)
+        span = order0.span.take(own)
         cut = (width >> 12) * p
         unit = width - cut >> order0.bits
-        low += np.where(hit, 0, cut + unit * order0.low.take(ids))
-        width[:] = np.where(hit, cut, unit * order0.freq.take(ids))
+        low += (cut + unit * (span >> 32)) * miss
+        np.add(cut, (unit * (span & _WIDE) - cut) * miss, out=width)
         over = np.flatnonzero(low > _MASK)
         if len(over):
-            self.words[at[over] - self.lanes] += 1
             low &= _MASK
-        self.words[at] = low >> 32
+            over = at[over]
+            while len(over):
+                over -= self.lanes
+                more = self.words[over] + np.uint16(1)
+                self.words[over] = more
+                over = over[more == 0]
+        self.words[at] = (low >> 32).astype(np.uint16)
         small = (width < _LEAST).astype(np.int64)
         shift = small << 4
         low <<= shift
@@ -111,23 +120,22 @@ class _Encoder:
         width <<= shift
         small *= self.lanes
         at += small
-        while len(again := np.flatnonzero(width < _LEAST)):
+        again = np.flatnonzero(width < _LEAST)
+        while len(again):
             self.words[at[again]] = low[again] >> 32
             low[again] = low[again] << 16 & _MASK
             width[again] <<= 16
             at[again] += self.lanes
-        return hit, ids
+            again = again[width[again] < _LEAST]
+        return miss, ids
 
     def finish(self) -> list[bytes]:
-        """Each lane's words, with its carries carried on."""
+        """Each lane's words."""
         for _ in range(3):
             self.words[self.at] = self.low >> 32
             self.low = self.low << 16 & _MASK
             self.at += self.lanes
-        while len(over := np.flatnonzero(self.words > 65535)):
-            self.words[over] -= 65536
-            self.words[over - self.lanes] += 1
-        words = np.ascontiguousarray(self.words.astype("<u2").reshape(self.room, -1).T) if self.lanes else self.words
+        words = np.ascontiguousarray(self.words.astype("<u2", copy=False).reshape(self.room, -1).T) if self.lanes else self.words
         return [words[b, : end // self.lanes].tobytes() for b, end in enumerate(self.at.tolist())]
 
 
@@ -136,7 +144,7 @@ class _Decoder:
 
     def __init__(self, bodies: list[np.ndarray]):
         self.lanes, most = len(bodies), max((len(x) for x in bodies), default=0)
-        words = np.zeros((self.lanes, most + 8), dtype=np.int64)
+        words = np.zeros((self.lanes, most + 8), dtype=np.uint16)
         for b, x in enumerate(bodies):
             words[b, : len(x)] = x
         self.words = np.ascontiguousarray(words.T).reshape(-1)
@@ -149,27 +157,32 @@ class _Decoder:
     def code(self, k: int, p: np.ndarray, best: np.ndarray, order0: _Order0, ids: None = None) -> tuple[np.ndarray, np.ndarray]:
         value, width, at = self.value[:k], self.range[:k], self.at[:k]
         cut = (width >> 12) * p
-        hit = value < cut
+        miss = (value >= cut).astype(np.int64)
         unit = width - cut >> order0.bits
-        rest = value - cut
         # exact: both are under 2^48 and the quotient is under 2^20, so no quotient is rounded up to a whole number
-        place = (rest / unit).astype(np.int64)
-        out = order0.holder.take(place, mode="clip")
-        value[:] = np.where(hit, value, rest - unit * order0.low.take(out))
-        width[:] = np.where(hit, cut, unit * order0.freq.take(out))
+        place = ((value - cut) / unit).astype(np.int64)
+        out = order0.holder.take(place, mode="clip").astype(np.int64)
+        span = order0.span.take(out)
+        value -= (cut + unit * (span >> 32)) * miss
+        np.add(cut, (unit * (span & _WIDE) - cut) * miss, out=width)
         small = (width < _LEAST).astype(np.int64)
         shift = small << 4
         value <<= shift
-        value |= self.words.take(at, mode="clip") * small
+        value |= self.words.take(at, mode="clip").astype(np.int64) * small
         width <<= shift
         small *= self.lanes
         at += small
-        while len(again := np.flatnonzero(width < _LEAST)):
+        again = np.flatnonzero(width < _LEAST)
+        while len(again):
             value[again] = value[again] << 16 | self.words.take(at[again], mode="clip")
             width[again] <<= 16
             at[again] += self.lanes
+            again = again[width[again] < _LEAST]
         np.minimum(value, width, out=value)  # only a damaged lane's value reaches its range
-        return hit, np.where(hit, best, out)
+        out -= best
+        out *= miss
+        out += best
+        return miss, out.astype(np.int32)
 
 
 class _Model:
@@ -185,44 +198,65 @@ class _Model:
         self.rate = np.stack([lane * 16, lane * 16 + 8])
 
     def code(self, coder: _Encoder | _Decoder, k: int, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        """Codes an id in each of the first k lanes; one and two are the ids before."""
-        slot = np.empty((2, k), dtype=np.int64)
-        near = one * 40503
-        slot[0] = near >> 4
-        slot[1] = two * 60493 + near >> 3
-        slot &= SLOTS - 1
+        """Codes an id in each of the first k lanes; one and two are the ids before, in 32 bits, whose products may wrap."""
+        place = np.empty((2, k), dtype=np.int32)
+        near = one * np.int32(40503)
+        np.right_shift(near, 4, out=place[0])
+        near += two * np.int32(60493)
+        np.right_shift(near, 3, out=place[1])
+        place &= SLOTS - 1
+        slot = place.astype(np.int64)
         slot *= self.lanes
         slot += self.base[:, :k]
         entry = self.guess.take(slot)
         guess, trust = entry >> 3, entry & 7
-        pick = np.where(trust[1] > 0, guess[1], guess[0])
+        pick = guess[1] - guess[0]
+        pick *= trust[1] > 0
+        pick += guess[0]
         best = pick.astype(np.int64)
-        which = self.rate[:, :k] + trust
+        which = trust.astype(np.int64)
+        which += self.rate[:, :k]
         rate = self.right.take(which)
         st = np.empty((3, k), dtype=np.int32)
         STRETCH.take(rate, out=st[:2], mode="clip")
         self.order0.stretch.take(best, out=st[2], mode="clip")
-        st[0] *= ((guess[0] == pick).astype(np.int32) << 1) - 1
+        sign = (guess[0] == pick).view(np.int8) << 1
+        sign -= 1
+        st[0] *= sign
         weight = self.weight[:, :k]
-        dot = np.add.reduce(weight * st, axis=0, dtype=np.int32)
+        part = weight * st
+        dot = part[0] + part[1]
+        dot += part[2]
         dot >>= 16
         dot += 2047
         p = SQUASH.take(dot, mode="clip")
-        hit, out = coder.code(k, p, best, self.order0, ids)
+        miss, last = coder.code(k, p, best, self.order0, ids)
         # learn: weights by the error, each order's rate by whether it was right
-        error = (hit.astype(np.int64) << 12) - p
-        error = error.astype(np.int32)
-        st *= error
+        error = 1 - miss
+        error <<= 12
+        error -= p
+        st *= error.astype(np.int32)
         st >>= 9
         weight += st
         np.maximum(weight, 0, out=weight)
         np.minimum(weight, 1 << 18, out=weight)
-        last = out.astype(np.int32)
         good = guess == last
-        self.right[which] = rate + ((good * np.int32(4095)) - rate >> 5)
-        kept = entry + _STEP.take(trust + good * np.int32(8))
-        self.guess[slot] = np.where(good | (trust > 1), kept, (last << 3) + 1)
-        return out
+        aim = good * np.int32(4095)
+        aim -= rate
+        aim >>= 5
+        aim += rate
+        self.right[which] = aim
+        # trust rises by one where it hits, up to 7, and is halved where it misses; missed at 1 or less the guess is replaced
+        old = trust.astype(np.int8)
+        new = np.maximum(old >> 1, 1)
+        new += (np.minimum(old + 1, 7) - new) * good.view(np.int8)
+        guess -= last
+        guess *= old > 1
+        guess += last
+        guess <<= 3
+        guess += new
+        self.guess[slot] = guess
+        return last
 
 
 def _shape(n_ids: int) -> tuple[int, np.ndarray]:
@@ -233,11 +267,13 @@ def _shape(n_ids: int) -> tuple[int, np.ndarray]:
 def _pass(grid: np.ndarray, size: np.ndarray, coder: _Encoder | _Decoder, order0: _Order0) -> None:
     """Codes the lanes' ids step by step; a decoder fills the grid."""
     n, model = len(size), _Model(len(size), order0)
-    zero = np.zeros(n, dtype=np.int64)
+    zero, known = np.zeros(n, dtype=np.int32), isinstance(coder, _Encoder)
     for t in range(int(size.max()) if n else 0):
         k = n if t < size[-1] else n - 1  # only the last block can be shorter
         one, two = grid[t - 1] if t else zero, grid[t - 2] if t > 1 else zero
-        grid[t, :k] = model.code(coder, k, one[:k], two[:k], grid[t, :k] if isinstance(coder, _Encoder) else None)
+        out = model.code(coder, k, one[:k], two[:k], grid[t, :k] if known else None)
+        if not known:
+            grid[t, :k] = out
 
 
 def encode_blocks(ids: np.ndarray) -> bytes:
@@ -245,7 +281,7 @@ def encode_blocks(ids: np.ndarray) -> bytes:
     if len(ids) and not 0 <= ids.min() <= ids.max() < 65536:
         raise ValueError("ids must be under 65536")
     n, size = _shape(len(ids))
-    padded = np.zeros(n * BLOCK, dtype=np.int64)
+    padded = np.zeros(n * BLOCK, dtype=np.int32)
     padded[: len(ids)] = ids
     counts = np.bincount(ids.astype(np.int64), minlength=1)
     seen = np.flatnonzero(counts)
@@ -270,7 +306,7 @@ def decode_blocks(data: bytes) -> np.ndarray:
         crc.append(check)
         at += 12 + length
     order0 = _Order0.unpacked(data[at:])
-    grid = np.zeros((BLOCK, n), dtype=np.int64)
+    grid = np.zeros((BLOCK, n), dtype=np.int32)
     _pass(grid, size, _Decoder(bodies), order0)
     out = np.ascontiguousarray(grid.T).reshape(-1)[: int(size.sum())]
     own = out.astype("<u4").tobytes()
@@ -300,7 +336,9 @@ def _tokenizer(path: str):
 def _runs(table: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The runs table[start : start + size] on end."""
     ends = np.cumsum(size)
-    return table[np.arange(int(size.sum())) - np.repeat(ends - size - start, size)]
+    at = np.repeat(start - ends + size, size)
+    at += np.arange(len(at))
+    return table.take(at)
 
 
 def _strings(x: pa.Array) -> list[str]:
@@ -313,13 +351,16 @@ class Encoder:
     The tokenizer drops white space and no token crosses it, so a text's ids are those of its parts
     between ASCII white space; each distinct part is given to the library once. Where the tokenizer
     lower-cases and marks the ends of words, a part of letters and closing marks is its letters (those of
-    ASCII in lower case) and its marks, and many runs of letters are one text for the library.
+    Latin-1 in lower case) and its marks, and many runs of letters are one text for the library.
     """
 
     MOST, AT_ONCE = 500_000, 500
     #: Parts whose ids must be those of the whole, whatever white space is between and around them.
     PROBES = ("a", "The", "end.", "42", "don't", "é", "漢字", "x" * 30)
-    MARKS = ".,;:!?"
+    MARKS = string.punctuation
+    NO_MARKS = "[^" + "".join("\\" + x for x in MARKS) + "]+"
+    #: Letters whose lower case is one letter and which normal forms leave alone.
+    LATIN, LATIN_LOWER = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$", "^[a-zß-öø-ÿ]+$"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -335,12 +376,17 @@ class Encoder:
         self.closes = np.zeros(65536, dtype=bool)
         self.closes[[i for x, i in vocab.items() if x.endswith("</w>")]] = True
         letters = (string.ascii_uppercase, "The", "enD", *string.ascii_uppercase)
-        self.plain = all(ids(x + y) == ids(x.lower()) + ids(y) and self.closes[ids(x)].sum() == 1 for x in letters for y in (*self.MARKS, "?!", "...", self.MARKS))
-        # lower-case ASCII letters stay as they are and together, so their runs need only the tokenizer's model
-        self.bare = Tokenizer.from_file(path)
-        self.bare.normalizer, self.bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        self.plain = all(ids(x + y) == ids(x.lower()) + ids(y) and self.closes[ids(x)].sum() == 1 for x in letters for y in (*self.MARKS, "?!", "...", "***", self.MARKS))
+        # lower-case letters stay as they are and together, so their runs need only the tokenizer's model, and its bytes beyond ASCII
+        self.bare, self.latin = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.bare.normalizer = self.latin.normalizer = normalizers.Sequence([])
+        split, as_bytes = pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bare.pre_tokenizer, self.latin.pre_tokenizer = split, pre_tokenizers.Sequence([split, as_bytes])
         runs = " ".join([*string.ascii_lowercase, *(x.removesuffix("</w>") for x in list(vocab)[::97] if x.removesuffix("</w>").isalpha() and x.isascii() and x.islower())])
         self.plain &= self.bare.encode(runs, add_special_tokens=False).ids == ids(runs)
+        upper = [chr(x) for x in (*range(0xC0, 0xD7), *range(0xD8, 0xDF))]
+        runs = [*map(str.lower, upper), "ß", "ÿ", *("en" + x.lower() + "on" for x in upper), "".join(upper).lower() + "ßÿ"]
+        self.plain &= self.latin.encode(" ".join(runs), add_special_tokens=False).ids == ids(" ".join(runs)) and all(ids(x) == ids(x.lower()) for x in upper)
         self._forget()
 
     def _forget(self) -> None:
@@ -358,9 +404,10 @@ class Encoder:
         alone = new
         if self.plain:  # every run of letters has a closing token, so as many as there are runs means one each
             run, ascii_only = pc.utf8_is_alpha(new), pc.string_is_ascii(new)
-            alone = [new.filter(pc.invert(run))]
-            for tokenizer, own in ((self.bare, pc.and_(run, ascii_only)), (self.tokenizer, pc.and_not(run, ascii_only))):
-                runs = _strings(new.filter(own))
+            alone, beyond = [new.filter(pc.invert(run))], new.filter(pc.and_not(run, ascii_only))
+            latin = pc.match_substring_regex(beyond, self.LATIN_LOWER)
+            for tokenizer, own in ((self.bare, new.filter(pc.and_(run, ascii_only))), (self.latin, beyond.filter(latin)), (self.tokenizer, beyond.filter(pc.invert(latin)))):
+                runs = _strings(own)
                 groups = [runs[i : i + self.AT_ONCE] for i in range(0, len(runs), self.AT_ONCE)]
                 for group, e in zip(groups, tokenizer.encode_batch_fast([" ".join(x) for x in groups], add_special_tokens=False), strict=True):
                     ids = np.array(e.ids, dtype=np.int32)
@@ -380,22 +427,37 @@ class Encoder:
 
     def _units(self, words: pa.Array) -> np.ndarray:
         """Two units for each word: its letters and its marks, or the word and nothing."""
-        first, second = words, pa.array([""] * len(words), pa.large_string())
-        if self.plain:
-            core = pc.ascii_rtrim(words, characters=self.MARKS)
-            plain = pc.utf8_is_alpha(core)
-            first = pc.if_else(plain, pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core), words)
-            marked = pc.and_(plain, pc.not_equal(pc.binary_length(core), pc.binary_length(words)))
-            second = pc.replace_with_mask(second, marked, pc.replace_substring_regex(words.filter(marked), f"[^{self.MARKS}]+", ""))
-        both = pa.concat_arrays([first, second]).dictionary_encode()
-        names = _strings(both.dictionary)
+        at = np.zeros((len(words), 2), dtype=np.int64)
+        if not self.plain:
+            at[:, 0] = self._places(words)
+            return at
+        core = pc.ascii_rtrim(words, characters=self.MARKS)
+        plain = pc.utf8_is_alpha(core)
+        beyond = pc.and_not(plain, pc.string_is_ascii(core))
+        letters = core.filter(beyond)
+        latin = pc.match_substring_regex(letters, self.LATIN)
+        # a few letters are a letter and a sign once they are normalised, and the sign stands with the marks
+        whole = pc.and_not(pc.utf8_is_alpha(pc.utf8_normalize(letters, "NFC")), pc.match_substring(letters, "\u0130"))
+        plain = pc.replace_with_mask(plain, beyond, pc.or_(latin, whole))
+        letters = pc.if_else(latin, pc.utf8_lower(letters), pc.if_else(whole, letters, words.filter(beyond)))
+        first = pc.replace_with_mask(pc.if_else(plain, pc.ascii_lower(core), words), beyond, letters)
+        marked = pc.and_(plain, pc.not_equal(pc.binary_length(core), pc.binary_length(words)))
+        marks = pc.replace_substring_regex(words.filter(marked), self.NO_MARKS, "")
+        places = self._places(pa.concat_arrays([first, marks]))
+        at[:, 0] = places[: len(words)]
+        at[marked.to_numpy(zero_copy_only=False), 1] = places[len(words) :]
+        return at
+
+    def _places(self, units: pa.Array) -> np.ndarray:
+        """Where the units stand; new ones are learned."""
+        own = units.dictionary_encode()
+        names = _strings(own.dictionary)
         at = np.fromiter(map(self.known.get, names, repeat(-1)), dtype=np.int64, count=len(names))
         new = np.flatnonzero(at < 0)
         if len(new):
-            own = both.dictionary.take(pa.array(new))
-            self._learn(own)
-            at[new] = list(map(self.known.__getitem__, _strings(own)))
-        return at[both.indices.to_numpy(zero_copy_only=False)].reshape(2, -1)
+            self._learn(own.dictionary.take(pa.array(new)))
+            at[new] = np.fromiter(map(self.known.__getitem__, [names[i] for i in new.tolist()]), dtype=np.int64, count=len(new))
+        return at.take(own.indices.to_numpy(zero_copy_only=False))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids on end, each text's closed by the end id, and the number of ids of each."""
@@ -404,10 +466,10 @@ class Encoder:
         parts = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         at = parts.offsets.to_numpy()
         flat = parts.flatten().dictionary_encode()
-        unit = self._units(flat.dictionary).T
+        unit = self._units(flat.dictionary)
         size = self.size[unit]
         table = np.append(_runs(self.table, self.start[unit.reshape(-1)], size.reshape(-1)), np.int32(END_ID))
-        size = np.append(size.sum(axis=1), 1)
+        size = np.append(size[:, 0] + size[:, 1], 1)
         start = np.cumsum(size) - size
         order = np.insert(flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), at[1:] - at[0], len(unit))
         lengths = size[order]
@@ -417,7 +479,11 @@ class Encoder:
 
 @cache
 def _encoder(path: str) -> Encoder:
-    """One for all tasks of a worker: what it knows is bounded, and the next task's words are much the same."""
+    """One for all tasks of a worker: what it knows is bounded, and the next task's words are much the same.
+
+    A task has one core, and its worker has others beside it: the library's own threads would only take turns there.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return Encoder(path)
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import re
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -155,6 +158,37 @@ def test_encoder_gives_a_word_once(monkeypatch):
     assert given.count("word") == 1
 
 
+def test_encoder_gives_letters_without_marks(monkeypatch):
+    e, tok = token_files.Encoder(token_files.default_tokenizer()), token_files._tokenizer(token_files.default_tokenizer())
+    given = []
+    learn = e._learn
+    monkeypatch.setattr(e, "_learn", lambda new: (given.extend(new.to_pylist()), learn(new)))
+    text = "Canción*** canción### CANCIÓN word$$$ Word'. word%]"
+    ids, _ = e.encode(pa.array([text]))
+    assert ids.tolist() == [*tok.encode(text, add_special_tokens=False).ids, 2]
+    assert sorted(given) == sorted({"canción", "word", "***", "###", "$$$", "'.", "%]"})
+
+
+def test_encoder_keeps_letters_that_fall_apart():
+    e, tok = token_files.Encoder(token_files.default_tokenizer()), token_files._tokenizer(token_files.default_tokenizer())
+    for text in ("\u0130.", "x\u0130***", "\u0958, \u0958", "\ufb1d! a\u0344. \u00c5\u0301;", "it's' 'S. <|endoftext|>. a<|endoftext|>*"):
+        assert e.encode(pa.array([text]))[0].tolist() == [*tok.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_encoder_of_a_task_starts_no_threads():
+    code = """
+import os, pyarrow as pa
+from stoptide.llm import token_files
+e = token_files._encoder(token_files.default_tokenizer())
+before = len(os.listdir("/proc/self/task"))
+e.encode(pa.array([" ".join(chr(97 + i % 26) * (i % 9 + 1) + chr(97 + i // 26 % 26) for i in range(20_000))]))
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env=env | {"PYTHONPATH": os.pathsep.join(sys.path)})
+    assert out.stdout.split()[-1] == "0"
+
+
 def test_token_files_hostile(hostile):
     got = token_files.read_tokens(token_files.write_tokens(hostile)).orderBy("start").collect()
     assert len(got) == len(HOSTILE) and got[0]["doc_id"] is None and got[1]["doc_id"] == 1 and got[1]["n_tokens"] == 1
