@@ -26,7 +26,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -90,8 +90,8 @@ class _Encoder:
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, dtype=np.int64), np.full(lanes, 1 << 48, dtype=np.int64)
         self.room = 2 * BLOCK + 8  # an id takes 28 bits at most
-        self.lanes, self.words = lanes, np.zeros(lanes * self.room, dtype=np.uint16)  # a place's lanes stand together
-        self.at = np.arange(lanes)
+        self.words = np.zeros(lanes * self.room, dtype=np.uint16)  # a lane's words stand together
+        self.at = np.arange(lanes) * self.room
 
     def code(self, k: int, p: np.ndarray, best: np.ndarray, order0: _Order0, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes an id in each of the first k lanes: whether it is best, with probability p / 4096, else by order 0."""
@@ -108,7 +108,7 @@ class _Encoder:
             low &= _MASK
             over = at[over]
             while len(over):
-                over -= self.lanes
+                over -= 1
                 more = self.words[over] + np.uint16(1)
                 self.words[over] = more
                 over = over[more == 0]
@@ -118,14 +118,13 @@ class _Encoder:
         low <<= shift
         low &= _MASK
         width <<= shift
-        small *= self.lanes
         at += small
         again = np.flatnonzero(width < _LEAST)
         while len(again):
             self.words[at[again]] = low[again] >> 32
             low[again] = low[again] << 16 & _MASK
             width[again] <<= 16
-            at[again] += self.lanes
+            at[again] += 1
             again = again[width[again] < _LEAST]
         return miss, ids
 
@@ -134,25 +133,22 @@ class _Encoder:
         for _ in range(3):
             self.words[self.at] = self.low >> 32
             self.low = self.low << 16 & _MASK
-            self.at += self.lanes
-        words = np.ascontiguousarray(self.words.astype("<u2", copy=False).reshape(self.room, -1).T) if self.lanes else self.words
-        return [words[b, : end // self.lanes].tobytes() for b, end in enumerate(self.at.tolist())]
+            self.at += 1
+        words = self.words.astype("<u2", copy=False)
+        return [words[b * self.room : end].tobytes() for b, end in enumerate(self.at.tolist())]
 
 
 class _Decoder:
-    """The same from the lanes' words; what a damaged lane reads is kept within its bounds."""
+    """The same from the lanes' words; a damaged lane may read those of others, and its checksum tells."""
 
     def __init__(self, bodies: list[np.ndarray]):
-        self.lanes, most = len(bodies), max((len(x) for x in bodies), default=0)
-        words = np.zeros((self.lanes, most + 8), dtype=np.uint16)
-        for b, x in enumerate(bodies):
-            words[b, : len(x)] = x
-        self.words = np.ascontiguousarray(words.T).reshape(-1)
-        self.at = np.arange(self.lanes)
+        self.words = np.concatenate([*bodies, np.zeros(8, dtype=np.uint16)])
+        size = np.array([len(x) for x in bodies], dtype=np.int64)
+        self.at = np.cumsum(size) - size
         self.range, self.value = np.full(len(bodies), 1 << 48, dtype=np.int64), np.zeros(len(bodies), dtype=np.int64)
         for _ in range(3):
-            self.value = self.value << 16 | self.words[self.at]
-            self.at += self.lanes
+            self.value = self.value << 16 | self.words.take(self.at, mode="clip")
+            self.at += 1
 
     def code(self, k: int, p: np.ndarray, best: np.ndarray, order0: _Order0, ids: None = None) -> tuple[np.ndarray, np.ndarray]:
         value, width, at = self.value[:k], self.range[:k], self.at[:k]
@@ -170,13 +166,12 @@ class _Decoder:
         value <<= shift
         value |= self.words.take(at, mode="clip").astype(np.int64) * small
         width <<= shift
-        small *= self.lanes
         at += small
         again = np.flatnonzero(width < _LEAST)
         while len(again):
             value[again] = value[again] << 16 | self.words.take(at[again], mode="clip")
             width[again] <<= 16
-            at[again] += self.lanes
+            at[again] += 1
             again = again[width[again] < _LEAST]
         np.minimum(value, width, out=value)  # only a damaged lane's value reaches its range
         out -= best
@@ -211,7 +206,7 @@ class _Model:
         entry = self.guess.take(slot)
         guess, trust = entry >> 3, entry & 7
         pick = guess[1] - guess[0]
-        pick *= trust[1] > 0
+        pick *= np.minimum(trust[1], 1)
         pick += guess[0]
         best = pick.astype(np.int64)
         which = trust.astype(np.int64)
@@ -220,7 +215,8 @@ class _Model:
         st = np.empty((3, k), dtype=np.int32)
         STRETCH.take(rate, out=st[:2], mode="clip")
         self.order0.stretch.take(best, out=st[2], mode="clip")
-        sign = (guess[0] == pick).view(np.int8) << 1
+        sign = (guess[0] == pick).astype(np.int32)
+        sign <<= 1
         sign -= 1
         st[0] *= sign
         weight = self.weight[:, :k]
@@ -240,21 +236,29 @@ class _Model:
         weight += st
         np.maximum(weight, 0, out=weight)
         np.minimum(weight, 1 << 18, out=weight)
-        good = guess == last
-        aim = good * np.int32(4095)
+        good = (guess == last).astype(np.int32)
+        aim = good * 4095
         aim -= rate
         aim >>= 5
         aim += rate
         self.right[which] = aim
         # trust rises by one where it hits, up to 7, and is halved where it misses; missed at 1 or less the guess is replaced
-        old = trust.astype(np.int8)
-        new = np.maximum(old >> 1, 1)
-        new += (np.minimum(old + 1, 7) - new) * good.view(np.int8)
+        half = trust >> 1
+        kept = np.minimum(half, 1)
         guess -= last
-        guess *= old > 1
+        guess *= kept
         guess += last
         guess <<= 3
-        guess += new
+        guess += half
+        guess -= kept
+        guess += 1
+        kept -= half
+        kept += trust
+        trust += 1
+        trust >>= 3
+        kept -= trust
+        kept *= good
+        guess += kept
         self.guess[slot] = guess
         return last
 
@@ -387,14 +391,24 @@ class Encoder:
         upper = [chr(x) for x in (*range(0xC0, 0xD7), *range(0xD8, 0xDF))]
         runs = [*map(str.lower, upper), "ß", "ÿ", *("en" + x.lower() + "on" for x in upper), "".join(upper).lower() + "ßÿ"]
         self.plain &= self.latin.encode(" ".join(runs), add_special_tokens=False).ids == ids(" ".join(runs)) and all(ids(x) == ids(x.lower()) for x in upper)
-        self._forget()
 
-    def _forget(self) -> None:
         self.known: dict[str, int] = {"": 0}  # where a unit stands in start and size
         self.start, self.size, self.table = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.seen = np.zeros(1, np.int32)  # in how many chunks, those before the last forgetting for half
         self.new_ids: list[np.ndarray] = []
         self.new_sizes: list[np.ndarray] = []
 
+    def _forget(self) -> None:
+        """Forgets the units that stood in the fewest chunks; half of the most stay, or fewer."""
+        half = min(self.MOST // 2, len(self.seen))
+        keep = self.seen > np.partition(self.seen, -half)[-half]
+        keep[0] = True
+        own = np.flatnonzero(keep)
+        self.known = dict(zip(compress(self.known, keep.tolist()), range(len(own)), strict=True))
+        self.table = _runs(self.table, self.start[own], self.size[own])
+        self.size, self.seen = self.size[own], self.seen[own] >> 1
+        self.start = np.cumsum(self.size) - self.size
+
     def _add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.known.update(zip(units, range(len(self.known), len(self.known) + len(units)), strict=True))
         self.new_ids.append(ids)
@@ -423,6 +437,7 @@ class Encoder:
             self._add(names, np.concatenate(own), np.array([len(x) for x in own], dtype=np.int64))
         self.size, self.table = np.concatenate([self.size, *self.new_sizes]), np.concatenate([self.table, *self.new_ids])
         self.start = np.cumsum(self.size) - self.size
+        self.seen = np.append(self.seen, np.zeros(len(self.size) - len(self.seen), np.int32))
         self.new_sizes, self.new_ids = [], []
 
     def _units(self, words: pa.Array) -> np.ndarray:
@@ -457,6 +472,7 @@ class Encoder:
         if len(new):
             self._learn(own.dictionary.take(pa.array(new)))
             at[new] = np.fromiter(map(self.known.__getitem__, [names[i] for i in new.tolist()]), dtype=np.int64, count=len(new))
+        self.seen[at] += 1
         return at.take(own.indices.to_numpy(zero_copy_only=False))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

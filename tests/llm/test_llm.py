@@ -175,6 +175,20 @@ def test_encoder_keeps_letters_that_fall_apart():
         assert e.encode(pa.array([text]))[0].tolist() == [*tok.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_encoder_forgets_what_is_rare(monkeypatch):
+    e, tok = token_files.Encoder(token_files.default_tokenizer()), token_files._tokenizer(token_files.default_tokenizer())
+    monkeypatch.setattr(e, "MOST", 40)
+    given = []
+    learn = e._learn
+    monkeypatch.setattr(e, "_learn", lambda new: (given.extend(new.to_pylist()), learn(new)))
+    for chunk in range(30):
+        text = "the word. stays " + " ".join("x" * (chunk + 1) + chr(97 + i) for i in range(12))
+        ids, _ = e.encode(pa.array([text, None]))
+        assert ids.tolist() == [*tok.encode(text, add_special_tokens=False).ids, 2, 2]
+        assert len(e.known) < 60
+    assert [given.count(x) for x in ("the", "word", ".", "stays")] == [1] * 4
+
+
 def test_encoder_of_a_task_starts_no_threads():
     code = """
 import os, pyarrow as pa
